@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -169,15 +169,13 @@ def stg_products(products: DataFrame, translations: DataFrame) -> DataFrame:
     })
 
 
-def build_silver(bronze: Bronze) -> dict[str, DataFrame]:
-    """All silver relations from the declared bronze tables."""
-    return {
-        "stg_orders": stg_orders(bronze["orders"], bronze["live_orders"]),
-        "stg_order_items": stg_order_items(bronze["order_items"], bronze["live_order_items"]),
-        "stg_order_payments": stg_order_payments(
-            bronze["order_payments"], bronze["live_order_payments"]
-        ),
-        "stg_customers": stg_customers(bronze["customers"]),
-        "stg_products": stg_products(bronze["products"], bronze["product_category_translation"]),
-        "stg_sellers": stg_sellers(bronze["sellers"]),
-    }
+SILVER: dict[str, Callable[[Bronze], DataFrame]] = {
+    "stg_orders": lambda b: stg_orders(b["orders"], b["live_orders"]),
+    "stg_order_items": lambda b: stg_order_items(b["order_items"], b["live_order_items"]),
+    "stg_order_payments": lambda b: stg_order_payments(
+        b["order_payments"], b["live_order_payments"]
+    ),
+    "stg_customers": lambda b: stg_customers(b["customers"]),
+    "stg_products": lambda b: stg_products(b["products"], b["product_category_translation"]),
+    "stg_sellers": lambda b: stg_sellers(b["sellers"]),
+}

@@ -7,8 +7,11 @@ live) a row gets, never whether it is read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 HISTORY_TIME = "2024-01-01T00:00:00+00:00"
 LIVE_START = "2024-01-02 00:00:00"
@@ -27,8 +30,15 @@ def _live_time(hours: Column) -> Column:
     return F.concat(F.translate(_text(instant), " ", "T"), F.lit("+00:00"))
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    """A driver table; its schema is read from the file footer once per process."""
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _plus_days(ts: str, days: Column | int) -> Column:
@@ -235,17 +245,36 @@ def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history_side(rows, "sellers.csv")
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All ten declared bronze tables over one scale directory."""
-    order_sides = orders(spark, sf_dir)
-    item_sides = order_items(spark, sf_dir)
-    payment_sides = order_payments(spark, sf_dir)
-    return {
-        "orders": order_sides[0], "live_orders": order_sides[1],
-        "order_items": item_sides[0], "live_order_items": item_sides[1],
-        "order_payments": payment_sides[0], "live_order_payments": payment_sides[1],
-        "customers": customers(spark, sf_dir),
-        "products": products(spark, sf_dir),
-        "product_category_translation": translations(spark, sf_dir),
-        "sellers": sellers(spark, sf_dir),
+class Bronze(Mapping):
+    """The ten declared bronze tables over one scale directory, each built when asked for."""
+
+    _PAIRS = {
+        "orders": (orders, 0), "live_orders": (orders, 1),
+        "order_items": (order_items, 0), "live_order_items": (order_items, 1),
+        "order_payments": (order_payments, 0), "live_order_payments": (order_payments, 1),
+    }
+    _SINGLES = {
+        "customers": customers,
+        "products": products,
+        "product_category_translation": translations,
+        "sellers": sellers,
     }
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in self._PAIRS:
+            build, side = self._PAIRS[name]
+            return build(self._spark, self._sf_dir)[side]
+        return self._SINGLES[name](self._spark, self._sf_dir)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter([*self._PAIRS, *self._SINGLES])
+
+    def __len__(self) -> int:
+        return len(self._PAIRS) + len(self._SINGLES)
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
+    return Bronze(spark, sf_dir)
