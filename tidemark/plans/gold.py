@@ -251,13 +251,25 @@ def mart_category_performance(items: DataFrame, fct: DataFrame, products: DataFr
 def revenue_totals(
     fct: DataFrame, daily: DataFrame, category: DataFrame, persons: DataFrame
 ) -> DataFrame:
-    """Valid revenue as each gold relation reports it: one row, four columns."""
-    def total(df: DataFrame, column: str, name: str) -> DataFrame:
-        return df.agg(F.coalesce(F.sum(column), F.lit(0)).cast(_MONEY_SUM).alias(name))
+    """Valid revenue as each gold relation reports it: one row, four columns.
 
-    return (
-        fct.agg(_valid_sum("order_total").alias("fct_orders_revenue"))
-        .crossJoin(total(daily, "revenue", "daily_revenue"))
-        .crossJoin(total(category, "total_revenue", "category_revenue"))
-        .crossJoin(total(persons, "lifetime_value", "customer_revenue"))
+    Four one-row totals, stacked and folded into one row.
+    """
+    names = ("fct_orders_revenue", "daily_revenue", "category_revenue", "customer_revenue")
+    totals = (
+        fct.agg(_valid_sum("order_total").alias("amount")),
+        daily.agg(F.sum("revenue").cast(_MONEY_SUM).alias("amount")),
+        category.agg(F.sum("total_revenue").cast(_MONEY_SUM).alias("amount")),
+        persons.agg(F.sum("lifetime_value").cast(_MONEY_SUM).alias("amount")),
     )
+    stacked = None
+    for name, total in zip(names, totals):
+        tagged = total.select(F.lit(name).alias("relation"), "amount")
+        stacked = tagged if stacked is None else stacked.unionByName(tagged)
+    amount = F.col("amount")
+    return stacked.agg(*[
+        F.coalesce(F.max(F.when(F.col("relation") == name, amount)), F.lit(0))
+        .cast(_MONEY_SUM)
+        .alias(name)
+        for name in names
+    ])

@@ -37,6 +37,7 @@ def local_session(cpus: int | str = "*", memory: str = "20g", **extra: str) -> S
         .appName("tidemark")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "tidemark-wh"))
