@@ -9,10 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import duckdb_sql as D
+from tidemark import config as C
 from tidemark.functions import utc_wall_clock
-from tidemark.plans import gold, silver
-from tidemark.session import prepare
-from tidemark.sources import testbed
+from tidemark.operators import history, quality
+from tidemark.operators.joins import left_join_spread_nulls
+from tidemark.operators.latest import latest_per_key
+from tidemark.operators.sample import sample_rows
+from tidemark.plans import checks, gold, item_fact, profile, silver
+from tidemark.session import prepare, scratch_dir
+from tidemark.sources import csv_history, landing, testbed
+from tidemark.sources.lake import Lake
 from tidemark.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +95,513 @@ def _gold(name: str) -> None:
 
 for _name in _GOLD_MONEY:
     _gold(_name)
+
+
+def all_tables(w: Warehouse) -> dict[str, DataFrame]:
+    """The twelve relations the checks look at."""
+    tables = {name: w.silver(name) for name in silver.SILVER}
+    tables.update({name: getattr(w, name) for name in _GOLD_MONEY})
+    tables["fct_order_items"] = item_fact.fact_rows(w.silver("stg_order_items"))
+    return tables
+
+
+# --- operators ------------------------------------------------------------------------------
+
+
+@register("union_history_live", D.relation("b_orders", drop="k"))
+def union_history_live(spark, sf_dir):
+    b = testbed.bronze(spark, sf_dir)
+    return silver.union_sources(b["orders"], b["live_orders"], C.ORDER_COLUMNS)
+
+
+@register("dedupe_orders", D.sql("""
+    SELECT order_id, arg_max(order_status, (ingested_at, source_file)) AS order_status,
+           arg_max(source_system, (ingested_at, source_file)) AS source_system,
+           max(ingested_at) AS ingested_at
+    FROM clean_orders GROUP BY order_id"""))
+def dedupe_orders(spark, sf_dir):
+    b = testbed.bronze(spark, sf_dir)
+    raw = silver.union_sources(b["orders"], b["live_orders"], C.ORDER_COLUMNS)
+    copies = silver.clean_orders(raw).select(
+        "order_id", "order_status", "source_system", "ingested_at", "source_file"
+    )
+    return latest_per_key(copies, C.ORDER_KEY).drop("source_file")
+
+
+@register("dedupe_items", D.sql("""
+    SELECT order_id, order_item_id, arg_max(product_id, (_ingested_at, _source_file)) AS product_id,
+           arg_max(price, (_ingested_at, _source_file)) AS price
+    FROM b_items GROUP BY order_id, order_item_id"""))
+def dedupe_items(spark, sf_dir):
+    b = testbed.bronze(spark, sf_dir)
+    copies = silver.union_sources(b["order_items"], b["live_order_items"], C.ITEM_COLUMNS).select(
+        "order_id", "order_item_id", "product_id", "price", "_ingested_at", "_source_file"
+    )
+    newest = latest_per_key(copies, C.ITEM_KEY, ["_ingested_at", "_source_file"])
+    return newest.drop("_ingested_at", "_source_file")
+
+
+@register("orders_left_join_customers", D.sql("""
+    SELECT o.order_id, o.customer_id, c.customer_unique_id, c.state, c.zip_code_prefix
+    FROM stg_orders o LEFT JOIN stg_customers c ON o.customer_id = c.customer_id"""))
+def orders_left_join_customers(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    orders = w.silver("stg_orders").select("order_id", "customer_id")
+    people = w.silver("stg_customers").select(
+        "customer_id", "customer_unique_id", "state", "zip_code_prefix"
+    )
+    return left_join_spread_nulls(orders, people, "customer_id", "order_id")
+
+
+register("items_per_order", D.relation("items_per_order", "items_value freight_value order_total"))(
+    lambda spark, sf_dir: gold.items_per_order(warehouse(spark, sf_dir).silver("stg_order_items"))
+)
+register("payments_per_order", D.relation("payments_per_order", "total_paid"))(
+    lambda spark, sf_dir: gold.payments_per_order(
+        warehouse(spark, sf_dir).silver("stg_order_payments")
+    )
+)
+
+
+@register("filtered_aggregates_daily", D.sql(f"""
+    SELECT order_date, source_system, count(*) FILTER (is_valid_for_revenue) AS valid_orders,
+           ifnull(sum(order_total) FILTER (is_valid_for_revenue), 0)::DOUBLE AS revenue,
+           {D.half_up("10000 * count(*) FILTER (is_late_delivery)",
+                      "count(delivered_to_customer_at)")} AS late_delivery_pct
+    FROM fct_orders GROUP BY ALL"""))
+def filtered_aggregates_daily(spark, sf_dir):
+    valid = F.col("is_valid_for_revenue")
+    late = 100 * F.count_if("is_late_delivery")
+    return warehouse(spark, sf_dir).fct_orders.groupBy("order_date", "source_system").agg(
+        F.count_if(valid).alias("valid_orders"),
+        F.coalesce(F.sum(F.when(valid, F.col("order_total"))), F.lit(0)).alias("revenue"),
+        gold.ratio(late, F.count("delivered_to_customer_at")).alias("late_delivery_pct"),
+    )
+
+
+@register("distinct_filtered_customers", D.sql("""
+    SELECT customer_state, count(DISTINCT customer_unique_id) AS persons,
+           count(DISTINCT customer_unique_id) FILTER (is_valid_for_revenue) AS paying_persons
+    FROM fct_orders GROUP BY ALL"""))
+def distinct_filtered_customers(spark, sf_dir):
+    paying = F.when(F.col("is_valid_for_revenue"), F.col("customer_unique_id"))
+    return warehouse(spark, sf_dir).fct_orders.groupBy("customer_state").agg(
+        F.count_distinct("customer_unique_id").alias("persons"),
+        F.count_distinct(paying).alias("paying_persons"),
+    )
+
+
+@register("category_share_and_rank", D.sql(f"""
+    SELECT state, sum(lifetime_value)::DOUBLE AS revenue,
+           {D.half_up("sum(lifetime_value) * 1000000",
+                      "sum(sum(lifetime_value)) OVER () * 100")} AS share_pct,
+           rank() OVER (ORDER BY sum(lifetime_value) DESC NULLS FIRST) AS revenue_rank
+    FROM dim_customers GROUP BY state"""))
+def category_share_and_rank(spark, sf_dir):
+    per_state = warehouse(spark, sf_dir).dim_customers.groupBy("state").agg(
+        F.sum("lifetime_value").alias("revenue")
+    )
+    return gold.with_share_and_rank(per_state, "revenue", "share_pct", "revenue_rank")
+
+
+@register("latest_location", D.relation("latest_location"))
+def latest_location(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return gold.latest_location(w.fct_orders, w.silver("stg_customers"))
+
+
+@register("delivery_metrics", D.sql("""
+    SELECT order_id, delivery_days, is_late_delivery, payment_gap::DOUBLE AS payment_gap
+    FROM fct_orders WHERE delivered_to_customer_at IS NOT NULL"""))
+def delivery_metrics(spark, sf_dir):
+    return warehouse(spark, sf_dir).fct_orders.where("delivered_to_customer_at IS NOT NULL").select(
+        "order_id", "delivery_days", "is_late_delivery", "payment_gap"
+    )
+
+
+@register("value_segments", D.sql("""
+    SELECT value_segment, is_repeat_customer, count(*) AS persons,
+           sum(lifetime_value)::DOUBLE AS lifetime_value
+    FROM dim_customers GROUP BY ALL"""))
+def value_segments(spark, sf_dir):
+    return warehouse(spark, sf_dir).dim_customers.groupBy(
+        "value_segment", "is_repeat_customer"
+    ).agg(F.count("*").alias("persons"), F.sum("lifetime_value").alias("lifetime_value"))
+
+
+@register("size_bands", D.sql("""
+    SELECT size_band, count(*) AS products, min(volume_cm3) AS smallest_cm3,
+           max(volume_cm3) AS largest_cm3
+    FROM dim_products GROUP BY ALL"""))
+def size_bands(spark, sf_dir):
+    return warehouse(spark, sf_dir).dim_products.groupBy("size_band").agg(
+        F.count("*").alias("products"),
+        F.min("volume_cm3").alias("smallest_cm3"),
+        F.max("volume_cm3").alias("largest_cm3"),
+    )
+
+
+# --- increment, upsert, history -------------------------------------------------------------
+
+_MARK = "2024-01-03 12:00:00"
+_FACT_COLUMNS = ", ".join(
+    f"{c}::DOUBLE AS {c}" if c in ("price", "freight_value", "item_total") else c
+    for c in item_fact.COLUMNS
+)
+
+
+@register("increment_after_watermark", D.sql(f"""
+    SELECT {_FACT_COLUMNS} FROM stg_order_items
+    WHERE ingested_at > TIMESTAMP '{_MARK}' - INTERVAL 1 HOUR"""))
+def increment_after_watermark(spark, sf_dir):
+    b = testbed.bronze(spark, sf_dir)
+    mark = F.lit(f"{_MARK}+00:00").cast("timestamp")
+    rows = item_fact.increment(b["order_items"], b["live_order_items"], mark)
+    return rows.select(*item_fact.COLUMNS)
+
+
+@register("upsert_delete_insert", D.sql(f"SELECT {_FACT_COLUMNS} FROM stg_order_items"))
+def upsert_delete_insert(spark, sf_dir):
+    """Two runs of the incremental fact: what had arrived by noon, then everything."""
+    b = testbed.bronze(spark, sf_dir)
+    lake = Lake(spark, scratch_dir(spark, "upsert"))
+    by_noon = b["live_order_items"].where(
+        F.col("_ingested_at").cast("timestamp") <= F.lit(f"{_MARK}+00:00").cast("timestamp")
+    )
+    item_fact.update_item_fact(lake, b["order_items"], by_noon, "run-1", buckets=4)
+    item_fact.update_item_fact(lake, b["order_items"], b["live_order_items"], "run-2", buckets=4)
+    return lake.read("gold", "fct_order_items").select(*item_fact.COLUMNS)
+
+
+register("fct_order_items", D.sql(f"SELECT {_FACT_COLUMNS} FROM stg_order_items"))(
+    lambda spark, sf_dir: item_fact.fact_rows(
+        warehouse(spark, sf_dir).silver("stg_order_items")
+    ).drop("processed_at")
+)
+
+_SNAPSHOT_TIMES = ("2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00")
+CHECKED = ("zip_code_prefix", "city", "state")
+
+
+def _customer_states(customers: DataFrame) -> list[DataFrame]:
+    """Three states of the customer list: N5 joins at the second; there N1 and N2 move, N3
+    loses its zip and N7 is missing; the third is the list as it is."""
+    state = F.col("state")
+    second = customers.where(state != "N7").withColumns({
+        "city": F.when(state.isin("N1", "N2"), F.upper("city")).otherwise(F.col("city")),
+        "zip_code_prefix": F.when(state != "N3", F.col("zip_code_prefix")),
+    })
+    return [customers.where(state != "N5"), second, customers]
+
+
+def _scd_rows(start: int, end: str, where: str, replace: str = "") -> str:
+    t = f"TIMESTAMP '{_SNAPSHOT_TIMES[start]}'"
+    return f"""
+    SELECT * {f"REPLACE ({replace})" if replace else ""},
+           md5(customer_id || '|{_SNAPSHOT_TIMES[start]}') AS scd_id, {t} AS updated_at,
+           {t} AS valid_from, {end} AS valid_to
+    FROM stg_customers WHERE {where}"""
+
+
+_T2, _T3 = (f"TIMESTAMP '{t}'" for t in _SNAPSHOT_TIMES[1:])
+_SCD_ORACLE = "UNION ALL".join((
+    _scd_rows(0, f"CASE WHEN state IN ('N1', 'N2', 'N3') THEN {_T2} END", "state <> 'N5'"),
+    _scd_rows(1, "NULL", "state = 'N5'"),
+    _scd_rows(1, _T3, "state IN ('N1', 'N2')", "upper(city) AS city"),
+    _scd_rows(1, _T3, "state = 'N3'", "NULL AS zip_code_prefix"),
+    _scd_rows(2, "NULL", "state IN ('N1', 'N2', 'N3')"),
+))
+
+
+def _moment(text: str):
+    return F.lit(f"{text}+00:00").cast("timestamp")
+
+
+@register("scd2_after_three_runs", D.sql(_SCD_ORACLE))
+def scd2_after_three_runs(spark, sf_dir):
+    lake = Lake(spark, scratch_dir(spark, "history"))
+    customers = warehouse(spark, sf_dir).silver("stg_customers")
+    for n, (state, time) in enumerate(zip(_customer_states(customers), _SNAPSHOT_TIMES)):
+        history.update_history(
+            lake, "snap_customers", state, "customer_id", CHECKED, _moment(time), f"run-{n}"
+        )
+    return history.read_history(lake, "snap_customers")
+
+
+@register("history_valid_at", D.sql(f"""
+    SELECT customer_id, city, state, zip_code_prefix, valid_from FROM ({_SCD_ORACLE})
+    WHERE valid_from <= TIMESTAMP '2024-02-15'
+      AND (valid_to IS NULL OR valid_to > TIMESTAMP '2024-02-15')"""))
+def history_valid_at(spark, sf_dir):
+    versions = None
+    customers = warehouse(spark, sf_dir).silver("stg_customers")
+    for state, time in zip(_customer_states(customers), _SNAPSHOT_TIMES):
+        versions = history.snapshot_check(versions, state, "customer_id", CHECKED, _moment(time))
+    return history.valid_at(versions, _moment("2024-02-15 00:00:00")).select(
+        "customer_id", "city", "state", "zip_code_prefix", "valid_from"
+    )
+
+
+# --- loading --------------------------------------------------------------------------------
+
+_RAW_ORDERS = ", ".join(f"nullif({c}, '') AS {c}" for c in C.ORDER_COLUMNS)
+
+
+@register("csv_full_refresh", D.sql(f"""
+    SELECT {_RAW_ORDERS}, _source_file FROM (
+      SELECT * REPLACE ('olist_orders_dataset.csv' AS _source_file) FROM b_orders
+      WHERE source_system = 'olist')"""))
+def csv_full_refresh(spark, sf_dir):
+    """The history orders written as CSV, loaded twice by the full-refresh loader."""
+    root = scratch_dir(spark, "csv")
+    rows = testbed.bronze(spark, sf_dir)["orders"].select(*C.ORDER_COLUMNS)
+    file_name = "olist_orders_dataset.csv"
+    rows.write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(f"{root}/raw/{file_name}")
+    lake = Lake(spark, f"{root}/lake")
+    for batch_id in ("load-1", "load-2"):
+        csv_history.load_history(lake, f"{root}/raw", batch_id, {file_name: "orders"})
+    return lake.read("bronze", "orders").select(*C.ORDER_COLUMNS, "_source_file")
+
+
+@register("landing_exactly_once", D.sql(f"""
+    SELECT {_RAW_ORDERS}, 1 AS copies FROM b_orders WHERE source_system = 'live'"""))
+def landing_exactly_once(spark, sf_dir):
+    """The live orders exported as JSON Lines, loaded, and offered to the loader again."""
+    root = scratch_dir(spark, "landing")
+    rows = testbed.bronze(spark, sf_dir)["live_orders"].select(*C.ORDER_COLUMNS)
+    landing.export_landing(rows, f"{root}/landing", "orders", "a")
+    lake = Lake(spark, f"{root}/lake")
+    for batch_id in ("load-1", "load-2"):
+        landing.ingest_landing(lake, f"{root}/landing", batch_id)
+    return (
+        landing.live_table(lake, "orders")
+        .groupBy(*C.ORDER_COLUMNS)
+        .agg(F.count("*").cast("int").alias("copies"))
+    )
+
+
+@register("ingest_classify_files", D.sql("""
+    SELECT _source_file AS source_file, count(*) AS file_length,
+           CASE WHEN any_value(_ingested_at) >= '2024-01-04' THEN 'new'
+                WHEN any_value(_ingested_at) >= '2024-01-03' THEN 'check' ELSE 'known' END AS status
+    FROM b_orders WHERE source_system = 'live' GROUP BY ALL"""))
+def ingest_classify_files(spark, sf_dir):
+    """Live order files against a log that ends with the second day, when files were still
+    being completed."""
+    files = (
+        testbed.bronze(spark, sf_dir)["live_orders"]
+        .groupBy(F.col("_source_file").alias("source_file"))
+        .agg(
+            F.count("*").alias("file_length"),
+            F.max(F.col("_ingested_at").cast("timestamp")).alias("modified_at"),
+        )
+        .withColumn("path", F.col("source_file"))
+    )
+    day_two, day_three = _moment("2024-01-03 00:00:00"), _moment("2024-01-04 00:00:00")
+    log = files.where(F.col("modified_at") < day_three).select(
+        "source_file",
+        F.lit("0" * 64).alias("file_sha256"),
+        (F.col("file_length") - (F.col("modified_at") >= day_two).cast("int")).alias("file_length"),
+        "modified_at",
+    )
+    return landing.classify(files, log).select("source_file", "file_length", "status")
+
+
+# --- profiles and samples -------------------------------------------------------------------
+
+
+@register("defect_profile", D.sql(f"""
+    SELECT 'duplicate_order' AS issue, count(*) - count(DISTINCT order_id) AS row_count FROM b_orders
+    UNION ALL SELECT 'missing_customer', count(*) FROM b_orders WHERE coalesce(trim(customer_id), '') = ''
+    UNION ALL SELECT 'messy_status', count(*) FROM b_orders WHERE order_status <> lower(trim(order_status))
+    UNION ALL SELECT 'iso_timestamp', count(*) FROM b_orders WHERE order_purchase_timestamp LIKE '%T%'
+    UNION ALL SELECT 'negative_price', count(*) FROM b_items WHERE price LIKE '-%' AND price::DOUBLE < 0
+    UNION ALL SELECT 'unknown_payment_type', count(*) FROM b_payments
+              WHERE lower(trim(payment_type)) NOT IN {D.ACCEPTED}"""))
+def defect_profile(spark, sf_dir):
+    b = testbed.bronze(spark, sf_dir)
+    return profile.defect_profile(
+        b["orders"].unionByName(b["live_orders"]),
+        b["order_items"].unionByName(b["live_order_items"]),
+        b["order_payments"].unionByName(b["live_order_payments"]),
+    )
+
+
+_AVG_PRICE = D.half_up("sum(price::DECIMAL(18,4)) * 1000000", "count(price)", 1000000)
+_PAIRS = f"""
+    SELECT product_id, seller_id, {_AVG_PRICE} AS avg_price FROM b_items
+    WHERE source_system = 'olist' GROUP BY product_id, seller_id"""
+
+
+@register("product_seller_avg_price", D.sql(_PAIRS))
+def product_seller_avg_price(spark, sf_dir):
+    return profile.product_seller_avg_price(testbed.bronze(spark, sf_dir)["order_items"])
+
+
+@register("sample_product_sellers", D.sql(f"""
+    SELECT * FROM ({_PAIRS}) ORDER BY md5('7:' || product_id || ':' || seller_id), product_id, seller_id
+    LIMIT 500"""))
+def sample_product_sellers(spark, sf_dir):
+    pairs = profile.product_seller_avg_price(testbed.bronze(spark, sf_dir)["order_items"])
+    return sample_rows(pairs, ["product_id", "seller_id"], 500, seed=7)
+
+
+@register("sample_customers", D.sql("""
+    SELECT customer_id FROM b_customers ORDER BY md5('7:' || customer_id), customer_id LIMIT 500"""))
+def sample_customers(spark, sf_dir):
+    ids = testbed.bronze(spark, sf_dir)["customers"].select("customer_id")
+    return sample_rows(ids, ["customer_id"], 500, seed=7)
+
+
+# --- data quality ---------------------------------------------------------------------------
+# Each check runs where the test bed has defects, so that failing rows are compared.
+
+
+@register("dq_unique", D.sql("""
+    SELECT customer_unique_id AS unique_field, count(*) AS n_records FROM stg_customers
+    WHERE customer_unique_id IS NOT NULL GROUP BY ALL HAVING count(*) > 1"""))
+def dq_unique(spark, sf_dir):
+    return quality.unique(warehouse(spark, sf_dir).silver("stg_customers"), "customer_unique_id")
+
+
+@register("dq_not_null", D.sql("SELECT * FROM stg_orders WHERE customer_id IS NULL"))
+def dq_not_null(spark, sf_dir):
+    return quality.not_null(warehouse(spark, sf_dir).silver("stg_orders"), "customer_id")
+
+
+@register("dq_relationships", D.sql("""
+    SELECT category_name_pt AS from_field, count(*) AS n_records FROM stg_products
+    WHERE category_name_pt IS NOT NULL AND category_name_pt NOT IN (SELECT pt FROM b_translation)
+    GROUP BY ALL"""))
+def dq_relationships(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return quality.relationships(
+        w.silver("stg_products"), "category_name_pt",
+        w.bronze["product_category_translation"], "product_category_name",
+    )
+
+
+@register("dq_accepted_values", D.sql(f"""
+    SELECT order_status AS value_field, count(*) AS n_records FROM b_orders
+    WHERE order_status NOT IN {D.STATUSES} GROUP BY ALL"""))
+def dq_accepted_values(spark, sf_dir):
+    b = testbed.bronze(spark, sf_dir)
+    raw = silver.union_sources(b["orders"], b["live_orders"], C.ORDER_COLUMNS)
+    return quality.accepted_values(raw, "order_status", C.ORDER_STATUSES)
+
+
+@register("dq_not_flagged", D.sql("""
+    SELECT * REPLACE (price::DOUBLE AS price, freight_value::DOUBLE AS freight_value,
+                      item_total::DOUBLE AS item_total)
+    FROM stg_order_items WHERE is_negative_price"""))
+def dq_not_flagged(spark, sf_dir):
+    return quality.not_flagged(warehouse(spark, sf_dir).silver("stg_order_items"), "is_negative_price")
+
+
+@register("dq_unique_combination", D.sql("""
+    SELECT order_id, order_item_id, count(*) AS duplicate_count FROM b_items
+    GROUP BY ALL HAVING count(*) > 1"""))
+def dq_unique_combination(spark, sf_dir):
+    b = testbed.bronze(spark, sf_dir)
+    raw = silver.union_sources(b["order_items"], b["live_order_items"], C.ITEM_COLUMNS)
+    return quality.unique_combination(raw, C.ITEM_KEY)
+
+
+@register("dq_delivered_without_date", D.sql("""
+    SELECT order_id, order_status, purchased_at, delivered_to_customer_at, source_system
+    FROM stg_orders WHERE order_status = 'delivered' AND delivered_to_customer_at IS NULL"""))
+def dq_delivered_without_date(spark, sf_dir):
+    orders = warehouse(spark, sf_dir).silver("stg_orders")
+    return orders.where(checks.delivered_without_date()).select(*checks.DELIVERED_COLUMNS)
+
+
+def _totals(w: Warehouse, persons: DataFrame) -> DataFrame:
+    return gold.revenue_totals(
+        w.fct_orders, w.mart_daily_revenue, w.mart_category_performance, persons
+    )
+
+
+_TOTALS = """
+    SELECT (SELECT sum(order_total) FROM fct_orders WHERE is_valid_for_revenue)::DOUBLE
+             AS fct_orders_revenue,
+           (SELECT sum(revenue) FROM mart_daily_revenue)::DOUBLE AS daily_revenue,
+           (SELECT sum(total_revenue) FROM mart_category_performance)::DOUBLE AS category_revenue,
+           (SELECT sum(lifetime_value) FROM dim_customers {where})::DOUBLE AS customer_revenue"""
+
+
+@register("revenue_totals", D.sql(_TOTALS.format(where="")))
+def revenue_totals(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return _totals(w, w.dim_customers)
+
+
+@register("dq_revenue_reconciles", D.sql(f"""
+    SELECT * FROM ({_TOTALS.format(where="")})
+    WHERE abs(fct_orders_revenue - daily_revenue) > 0.01
+       OR abs(fct_orders_revenue - category_revenue) > 0.01
+       OR abs(fct_orders_revenue - customer_revenue) > 0.01"""))
+def dq_revenue_reconciles(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return checks.revenue_drift(_totals(w, w.dim_customers))
+
+
+@register("dq_revenue_drift", D.sql(_TOTALS.format(where="WHERE state <> 'N0'")))
+def dq_revenue_drift(spark, sf_dir):
+    """The same check when the customer dimension lost a state: the totals come back."""
+    w = warehouse(spark, sf_dir)
+    return checks.revenue_drift(_totals(w, w.dim_customers.where("state <> 'N0'")))
+
+
+def _suite_oracle() -> str:
+    def row(name: str, severity: str, count: str) -> str:
+        return (
+            f"SELECT '{name}' AS \"check\", '{severity}' AS severity, "
+            f"({count})::BIGINT AS failures"
+        )
+
+    def source(table: str) -> str:
+        return "stg_order_items" if table == "fct_order_items" else table
+
+    rows = []
+    for table, column in checks.NOT_NULL:
+        rows.append(row(f"not_null_{table}_{column}", "error",
+                        f"SELECT count(*) FROM {source(table)} WHERE {column} IS NULL"))
+    for table, column in checks.UNIQUE:
+        rows.append(row(f"unique_{table}_{column}", "error",
+                        f"SELECT count(*) FROM (SELECT {column} FROM {table} "
+                        f"WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"))
+    for table, columns in checks.UNIQUE_COMBINATION:
+        keys = ", ".join(columns)
+        rows.append(row(f"unique_combination_{table}_{'_'.join(columns)}", "error",
+                        f"SELECT count(*) FROM (SELECT {keys} FROM {source(table)} "
+                        f"GROUP BY {keys} HAVING count(*) > 1)"))
+    for table, column, parent, key in checks.RELATIONSHIPS:
+        rows.append(row(f"relationships_{table}_{column}_{parent}", "error",
+                        f"SELECT count(*) FROM {table} AS c WHERE c.{column} IS NOT NULL AND "
+                        f"NOT EXISTS (SELECT 1 FROM {parent} AS p WHERE p.{key} = c.{column})"))
+    for table, column in checks.NOT_FLAGGED:
+        rows.append(row(f"not_flagged_{table}_{column}", "warn",
+                        f"SELECT count(*) FROM {table} WHERE {column}"))
+    rows.append(row("accepted_values_stg_orders_order_status", "error",
+                    f"SELECT count(DISTINCT order_status) FROM stg_orders "
+                    f"WHERE order_status NOT IN {D.STATUSES}"))
+    rows.append(row("delivered_orders_have_delivery_date", "warn",
+                    "SELECT count(*) FROM stg_orders WHERE order_status = 'delivered' "
+                    "AND delivered_to_customer_at IS NULL"))
+    rows.append(row("gold_revenue_reconciles", "error",
+                    f"SELECT count(*) FROM ({_TOTALS.format(where='')}) "
+                    "WHERE greatest(abs(fct_orders_revenue - daily_revenue), "
+                    "abs(fct_orders_revenue - category_revenue), "
+                    "abs(fct_orders_revenue - customer_revenue)) > 0.01"))
+    union = " UNION ALL ".join(rows)
+    return D.sql(f"""
+        SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'error' THEN 'fail'
+                       ELSE 'warn' END AS status
+        FROM ({union})""")
+
+
+@register("quality_report", _suite_oracle())
+def quality_report(spark, sf_dir):
+    return quality.report(checks.build_suite(all_tables(warehouse(spark, sf_dir))))

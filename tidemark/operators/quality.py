@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -80,7 +80,7 @@ class Check:
 class Suite:
     """Checks over named relations, collected with one line each."""
 
-    def __init__(self, tables: dict[str, DataFrame]):
+    def __init__(self, tables: Mapping[str, DataFrame]):
         self.tables = tables
         self.checks: list[Check] = []
 

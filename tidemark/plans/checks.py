@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tidemark import config as C
 from tidemark.operators.quality import WARN, Suite
 from tidemark.plans.gold import revenue_totals
 
-_DELIVERED_COLUMNS = (
+DELIVERED_COLUMNS = (
     "order_id", "order_status", "purchased_at", "delivered_to_customer_at", "source_system",
 )
 
@@ -30,57 +32,65 @@ def revenue_drift(totals: DataFrame, tolerance: str = C.RECONCILE_TOLERANCE) ->
     )
 
 
-def build_suite(tables: dict[str, DataFrame]) -> Suite:
-    """All 41 checks over the six silver and six gold relations, named as in the layers."""
-    s = Suite(tables)
+# What has to hold, per kind of check (fixed values).
+
+NOT_NULL = (
+    ("stg_orders", "order_id"), ("stg_orders", "purchased_at"),
+    ("stg_order_items", "order_id"),
+    ("stg_customers", "customer_id"), ("stg_customers", "customer_unique_id"),
+    ("stg_products", "product_id"), ("stg_sellers", "seller_id"),
+    ("fct_orders", "order_id"), ("fct_orders", "order_total"),
+    ("fct_orders", "is_valid_for_revenue"),
+    ("dim_customers", "customer_unique_id"), ("dim_customers", "lifetime_value"),
+    ("dim_products", "product_id"), ("dim_products", "category"),
+    ("mart_daily_revenue", "order_date"), ("mart_category_performance", "category"),
+    ("fct_order_items", "order_id"), ("fct_order_items", "item_total"),
+)
+UNIQUE = (
+    ("stg_orders", "order_id"), ("stg_customers", "customer_id"),
+    ("stg_products", "product_id"), ("stg_sellers", "seller_id"),
+    ("fct_orders", "order_id"), ("dim_customers", "customer_unique_id"),
+    ("dim_products", "product_id"), ("mart_daily_revenue", "order_date"),
+    ("mart_category_performance", "category"),
+)
+UNIQUE_COMBINATION = (
+    ("stg_order_items", tuple(C.ITEM_KEY)),
+    ("stg_order_payments", tuple(C.PAYMENT_KEY)),
+    ("fct_order_items", tuple(C.ITEM_KEY)),
+)
+RELATIONSHIPS = (
+    ("stg_orders", "customer_id", "stg_customers", "customer_id"),
+    ("stg_order_items", "order_id", "stg_orders", "order_id"),
+    ("stg_order_items", "product_id", "stg_products", "product_id"),
+    ("stg_order_payments", "order_id", "stg_orders", "order_id"),
+    ("fct_orders", "customer_unique_id", "dim_customers", "customer_unique_id"),
+)
+NOT_FLAGGED = (
+    ("stg_orders", "is_missing_customer"),
+    ("stg_order_items", "is_negative_price"),
+    ("stg_order_payments", "is_unknown_payment_type"),
+)
+ACCEPTED_VALUES = (("stg_orders", "order_status", C.ORDER_STATUSES),)
 
-    s.unique("stg_orders", "order_id")
-    s.not_null("stg_orders", "order_id")
-    s.not_null("stg_orders", "purchased_at")
-    s.relationships("stg_orders", "customer_id", "stg_customers", "customer_id")
-    s.not_flagged("stg_orders", "is_missing_customer")
-    s.accepted_values("stg_orders", "order_status", C.ORDER_STATUSES)
-
-    s.unique_combination("stg_order_items", C.ITEM_KEY)
-    s.not_null("stg_order_items", "order_id")
-    s.relationships("stg_order_items", "order_id", "stg_orders", "order_id")
-    s.relationships("stg_order_items", "product_id", "stg_products", "product_id")
-    s.not_flagged("stg_order_items", "is_negative_price")
-
-    s.unique_combination("stg_order_payments", C.PAYMENT_KEY)
-    s.relationships("stg_order_payments", "order_id", "stg_orders", "order_id")
-    s.not_flagged("stg_order_payments", "is_unknown_payment_type")
-
-    s.unique("stg_customers", "customer_id")
-    s.not_null("stg_customers", "customer_id")
-    s.not_null("stg_customers", "customer_unique_id")
-    for table, key in (("stg_products", "product_id"), ("stg_sellers", "seller_id")):
-        s.unique(table, key)
-        s.not_null(table, key)
-
-    s.unique("fct_orders", "order_id")
-    for column in ("order_id", "order_total", "is_valid_for_revenue"):
-        s.not_null("fct_orders", column)
-    s.relationships("fct_orders", "customer_unique_id", "dim_customers", "customer_unique_id")
-
-    s.unique("dim_customers", "customer_unique_id")
-    for column in ("customer_unique_id", "lifetime_value"):
-        s.not_null("dim_customers", column)
-    s.unique("dim_products", "product_id")
-    for column in ("product_id", "category"):
-        s.not_null("dim_products", column)
-    s.unique("mart_daily_revenue", "order_date")
-    s.not_null("mart_daily_revenue", "order_date")
-    s.unique("mart_category_performance", "category")
-    s.not_null("mart_category_performance", "category")
-
-    s.unique_combination("fct_order_items", C.ITEM_KEY)
-    s.not_null("fct_order_items", "order_id")
-    s.not_null("fct_order_items", "item_total")
 
+def build_suite(tables: Mapping[str, DataFrame]) -> Suite:
+    """All 41 checks over the six silver and six gold relations, named as in the layers."""
+    s = Suite(tables)
+    for check in NOT_NULL:
+        s.not_null(*check)
+    for check in UNIQUE:
+        s.unique(*check)
+    for check in UNIQUE_COMBINATION:
+        s.unique_combination(*check)
+    for check in RELATIONSHIPS:
+        s.relationships(*check)
+    for check in NOT_FLAGGED:
+        s.not_flagged(*check)
+    for check in ACCEPTED_VALUES:
+        s.accepted_values(*check)
     s.rows_where(
         "delivered_orders_have_delivery_date", "stg_orders", delivered_without_date(),
-        _DELIVERED_COLUMNS, WARN,
+        DELIVERED_COLUMNS, WARN,
     )
     s.query("gold_revenue_reconciles", revenue_drift(revenue_totals(
         tables["fct_orders"], tables["mart_daily_revenue"],

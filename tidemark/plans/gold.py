@@ -214,6 +214,18 @@ def valid_items(items: DataFrame, fct: DataFrame) -> DataFrame:
     )
 
 
+def with_share_and_rank(groups: DataFrame, amount: str, share: str, position: str) -> DataFrame:
+    """Percentage of the grand total and rank by amount, ties sharing a rank, NULL first.
+
+    For aggregated input only: both windows span all rows, here one per group.
+    """
+    whole = F.sum(amount).over(Window.partitionBy()).cast("decimal(22,2)")
+    return groups.withColumns({
+        share: F.round(100 * F.col(amount).cast("decimal(22,2)") / whole, 2),
+        position: F.rank().over(Window.orderBy(F.desc_nulls_first(amount))),
+    })
+
+
 def mart_category_performance(items: DataFrame, fct: DataFrame, products: DataFrame) -> DataFrame:
     """Volume, revenue, share and rank per category over valid orders.
 
@@ -234,17 +246,15 @@ def mart_category_performance(items: DataFrame, fct: DataFrame, products: DataFr
         F.sum("item_total").cast(_MONEY_SUM).alias("total_revenue"),
         F.count("price").alias("priced_units"),
     )
-    everything = Window.partitionBy()
-    share = (
-        100 * F.col("total_revenue").cast("decimal(22,2)")
-        / F.sum("total_revenue").over(everything).cast("decimal(22,2)")
+    with_mean = per_category.withColumn(
+        "avg_item_price", ratio(F.col("items_revenue"), F.col("priced_units"))
     )
-    return per_category.select(
+    return with_share_and_rank(
+        with_mean, "total_revenue", "revenue_share_pct", "revenue_rank"
+    ).select(
         "category", "units_sold", "orders", "customers",
         "items_revenue", "freight_revenue", "total_revenue",
-        ratio(F.col("items_revenue"), F.col("priced_units")).alias("avg_item_price"),
-        F.round(share, 2).alias("revenue_share_pct"),
-        F.rank().over(Window.orderBy(F.desc_nulls_first("total_revenue"))).alias("revenue_rank"),
+        "avg_item_price", "revenue_share_pct", "revenue_rank",
     )
 
 

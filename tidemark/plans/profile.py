@@ -11,7 +11,7 @@ from tidemark.functions import blank_to_null, tidy
 
 def product_seller_avg_price(items: DataFrame) -> DataFrame:
     """Mean listed price per product and seller over the raw history items."""
-    price = F.col("price").cast("decimal(18,4)")
+    price = blank_to_null("price").cast("decimal(18,4)")
     sums = items.groupBy("product_id", "seller_id").agg(
         F.sum(price).cast("decimal(22,4)").alias("total"),
         F.count(price).cast("decimal(12,0)").alias("n"),
@@ -42,7 +42,7 @@ def defect_profile(
         .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_order"))
     )
     prices = items.agg(
-        F.count_if(F.col("price").cast("decimal(18,4)") < 0).alias("negative_price")
+        F.count_if(blank_to_null("price").cast("decimal(18,4)") < 0).alias("negative_price")
     )
     unknown = ~F.lower(tidy("payment_type")).isin(*accepted)
     kinds = payments.agg(F.count_if(unknown).alias("unknown_payment_type"))
