@@ -19,6 +19,7 @@ from tidemark.plans import checks, gold, item_fact, profile, silver
 from tidemark.session import prepare, scratch_dir
 from tidemark.sources import csv_history, landing, testbed
 from tidemark.sources.lake import Lake
+from tidemark.streaming import live
 from tidemark.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -409,6 +410,26 @@ def ingest_classify_files(spark, sf_dir):
     return landing.classify(files, log).select("source_file", "file_length", "status")
 
 
+@register("stream_landing_to_silver", D.relation("stg_orders", drop="ingested_at source_file batch_id"))
+def stream_landing_to_silver(spark, sf_dir):
+    """Live orders arrive as files in two goes; a stream loads them and upserts silver over
+    the history."""
+    root = scratch_dir(spark, "stream")
+    b = testbed.bronze(spark, sf_dir)
+    lake = Lake(spark, f"{root}/lake")
+    lake.replace("bronze", "orders", b["orders"], "history")
+    arrivals = b["live_orders"]
+    noon = F.col("_ingested_at").cast("timestamp") <= _moment(_MARK)
+    for tag, rows in (("a", arrivals.where(noon)), ("b", arrivals.where(~noon))):
+        landing.export_landing(rows.select(*C.ORDER_COLUMNS), f"{root}/landing", "orders", tag)
+        live.stream_landing(
+            lake, f"{root}/landing", "orders", f"{root}/checkpoint", upsert_buckets=4
+        ).awaitTermination()
+    return lake.read("silver", live.current_table("orders")).drop(
+        "ingested_at", "source_file", "batch_id"
+    )
+
+
 # --- profiles and samples -------------------------------------------------------------------
 
 

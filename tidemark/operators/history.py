@@ -96,12 +96,13 @@ def update_history(
     """Store one more state. Closed versions are only ever appended; the open ones, which
     every run compares in full, are replaced. Both become visible in one commit."""
     open_table, closed_table = f"{table}_open", f"{table}_closed"
-    if not lake.exists(layer, open_table):
+    current = lake.state(layer, open_table)
+    if not current.exists:
         first = open_versions(state, key, as_of)
         changes = lake.stage(layer, open_table, first, run_id, "replace")
         lake.commit(changes)
         return {"open": changes[0].row_count, "closed": 0}
-    moved = compare_versions(lake.read(layer, open_table), state, key, check, as_of)
+    moved = compare_versions(current.read(), state, key, check, as_of)
     # Written once: the comparison is split into its open and its closed rows.
     work = f"{lake.table_path(layer, open_table)}/incoming={run_id}"
     moved.write.mode("overwrite").parquet(work)

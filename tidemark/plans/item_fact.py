@@ -48,8 +48,9 @@ def update_item_fact(
     ``buckets`` is the number of hash parts per load day: choose it so that one part of a
     full-history load stays around a gigabyte or two.
     """
-    if lake.parts(LAYER, TABLE):
-        newest = lake.read(LAYER, TABLE).agg(F.max("ingested_at")).first()[0]
+    state = lake.state(LAYER, TABLE)
+    if state.exists:
+        newest = state.read().agg(F.max("ingested_at")).first()[0]
         mark = F.lit(newest).cast("timestamp")
         items = increment(history, live, mark, lookback_hours)
     else:

@@ -44,6 +44,51 @@ class Change:
     part: str = ""
 
 
+@dataclass(frozen=True)
+class TableState:
+    """The committed state of a table at the time it was looked up."""
+
+    lake: Lake
+    layer: str
+    table: str
+    entries: tuple
+
+    @property
+    def exists(self) -> bool:
+        return bool(self.entries)
+
+    @property
+    def parts(self) -> set[str]:
+        return {e.part for e in self.entries if e.row_count > 0}
+
+    @property
+    def versions(self) -> list[str]:
+        """Oldest first."""
+        return list(dict.fromkeys(e.version for e in self.entries))
+
+    def read(
+        self, schema: StructType | None = None, parts: Iterable[str] | None = None
+    ) -> DataFrame:
+        """The rows, or those of some parts only: files of other parts are not opened."""
+        spark = self.lake.spark
+        if not self.entries:
+            if schema is None:
+                raise FileNotFoundError(f"no committed table {self.layer}.{self.table}")
+            return spark.createDataFrame([], schema)
+        wanted = None if parts is None else set(parts)
+        root = self.lake.table_path(self.layer, self.table)
+        paths = [
+            f"{root}/version={e.version}" + (f"/part={e.part}" if e.part else "")
+            for e in self.entries
+            if (e.row_count > 0 or not e.part) and (wanted is None or e.part in wanted)
+        ]
+        if not paths:
+            written = spark.read.parquet(root).drop("version", "part").schema
+            return spark.createDataFrame([], written)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(*paths)
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -68,56 +113,37 @@ class Lake:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._log)
 
-    def _live_entries(self, layer: str, table: str) -> list:
-        """The entries that make up the current table: metadata, one row per part or batch."""
-        entries = self.commits().where((F.col("layer") == layer) & (F.col("table_name") == table))
-        restarted = entries.where("mode = 'replace'").agg(F.max("seq")).first()[0]
+    def _own_commits(self, layer: str, table: str) -> DataFrame:
+        return self.commits().where((F.col("layer") == layer) & (F.col("table_name") == table))
+
+    def state(self, layer: str, table: str) -> TableState:
+        """What makes up the table now: metadata, one row per part or appended batch."""
         unit = F.when(F.col("mode") == "append", F.col("version")).otherwise(F.lit(""))
-        return (
-            entries.where(F.col("seq") >= (restarted or 0))
+        units = (
+            self._own_commits(layer, table)
             .groupBy("part", unit.alias("unit"))
-            .agg(F.max_by(F.struct("seq", "version", "row_count"), "seq").alias("last"))
-            .select("part", "last.*")
-            .orderBy("seq", "part")
+            .agg(
+                F.max_by(F.struct("seq", "version", "row_count"), "seq").alias("last"),
+                F.max(F.when(F.col("mode") == "replace", F.col("seq"))).alias("restarted"),
+            )
+            .select("part", "last.*", "restarted")
             .collect()
         )
+        start = max((u.restarted for u in units if u.restarted is not None), default=0)
+        live = sorted((u for u in units if u.seq >= start), key=lambda u: (u.seq, u.part))
+        return TableState(self, layer, table, tuple(live))
 
-    def exists(self, layer: str, table: str) -> bool:
-        return bool(self._live_entries(layer, table))
-
-    def parts(self, layer: str, table: str) -> dict[str, str]:
-        """Part -> version for a table written in parts."""
-        return {e.part: e.version for e in self._live_entries(layer, table) if e.row_count > 0}
+    def committed_versions(self, layer: str, table: str) -> set[str]:
+        """Every version ever committed for a table, replaced ones included."""
+        own = self._own_commits(layer, table)
+        return {r.version for r in own.select("version").distinct().collect()}
 
-    def read(
-        self,
-        layer: str,
-        table: str,
-        schema: StructType | None = None,
-        parts: Iterable[str] | None = None,
-    ) -> DataFrame:
-        """The committed state. ``schema`` stands in when the table was never written;
-        ``parts`` limits the read to some parts, and only their files are opened."""
-        entries = self._live_entries(layer, table)
-        if not entries and schema is None:
-            raise FileNotFoundError(f"no committed table {layer}.{table} under {self.root}")
-        if parts is not None:
-            wanted = set(parts)
-            entries = [e for e in entries if e.part in wanted]
-        paths = [
-            self._version_path(layer, table, e.version) + (f"/part={e.part}" if e.part else "")
-            for e in entries
-            if e.row_count > 0 or not e.part
-        ]
-        if not paths:
-            if schema is None:
-                schema = self._any_schema(layer, table)
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(*paths)
+    def read_version(self, layer: str, table: str, version: str) -> DataFrame:
+        return self.spark.read.parquet(self._version_path(layer, table, version))
 
-    def _any_schema(self, layer: str, table: str) -> StructType:
-        return self.spark.read.parquet(self.table_path(layer, table)).drop("version", "part").schema
+    def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
+        """The committed rows. ``schema`` stands in when the table was never written."""
+        return self.state(layer, table).read(schema)
 
     # --- writing ---------------------------------------------------------------------------
 
@@ -129,6 +155,8 @@ class Lake:
         With ``by_part`` the column ``part`` decides the folder. The rows going in are counted
         while they are written; the count read back comes from the file footers.
         """
+        if version in self.committed_versions(layer, table):
+            raise ValueError(f"version {version} of {layer}.{table} is already committed")
         path = self._version_path(layer, table, version)
         sent = Observation()
         watched = df.observe(sent, F.count(F.lit(1)).alias("rows"))
@@ -173,14 +201,7 @@ class Lake:
     def drop_old_versions(self, layer: str, table: str) -> list[str]:
         """Delete versions that are no longer part of the table; call it with no reader active.
         Returns the deleted version names."""
-        live = {e.version for e in self._live_entries(layer, table)}
-        known = {
-            r.version
-            for r in self.commits()
-            .where((F.col("layer") == layer) & (F.col("table_name") == table))
-            .select("version").distinct().collect()
-        }
-        gone = sorted(known - live)
+        gone = sorted(self.committed_versions(layer, table) - set(self.state(layer, table).versions))
         for version in gone:
             files.delete(self.spark, self._version_path(layer, table, version))
         return gone

@@ -273,7 +273,7 @@ def ingest_entity(
     ingested_at: str | None = None,
     columns: Sequence[str] | None = None,
     rehash_known: bool = False,
-    only_paths: Sequence[str] | None = None,
+    listing: DataFrame | None = None,
 ) -> dict[str, int]:
     """Load the new files of one entity; rows and log entries become visible together.
 
@@ -289,9 +289,8 @@ def ingest_entity(
         return counts
     columns = list(columns or C.BRONZE_COLUMNS[C.LANDING_TABLES[entity]])
     loaded = ingestion_log(lake).where(F.col("entity") == entity)
-    listing = list_landing(spark, landing_dir, entity)
-    if only_paths is not None:
-        listing = listing.where(F.col("path").isin(list(only_paths)))
+    if listing is None:
+        listing = list_landing(spark, landing_dir, entity)
     states = classify(listing, loaded, rehash_known)
 
     by_status = {r.status: r["count"] for r in states.groupBy("status").count().collect()}
