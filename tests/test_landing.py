@@ -1,0 +1,159 @@
+import hashlib
+import json
+import logging
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import config as C
+from tidemark.sources import landing
+
+
+@pytest.fixture
+def zone(tmp_path):
+    root = tmp_path / "landing"
+
+    def put(name, *lines, entity="orders", raw=None):
+        folder = root / entity
+        folder.mkdir(parents=True, exist_ok=True)
+        text = raw if raw is not None else "".join(
+            (line if isinstance(line, str) else json.dumps(line)) + "\n" for line in lines)
+        (folder / name).write_bytes(text.encode())
+        return folder / name
+
+    put.root = str(root)
+    return put
+
+
+def ingest(lake, zone, batch, **more):
+    return landing.ingest_entity(lake, zone.root, "orders", batch, **more)
+
+
+def test_new_files_are_loaded_once(lake, zone):
+    path = zone("a.jsonl", {"order_id": "1", "customer_id": None, "order_status": ""}, "",
+                {"order_id": 2, "customer_id": 1.5})
+    zone("b.jsonl.tmp", {"order_id": "9"})
+    zone("with space+plus%.jsonl", {"order_id": "3"})
+    assert ingest(lake, zone, "b1") == {"new": 2, "skipped": 0, "changed": 0, "rows": 3}
+    rows = {r.order_id: r for r in landing.live_table(lake, "orders").collect()}
+    assert set(rows) == {"1", "2", "3"}
+    assert rows["1"].customer_id is None and rows["1"].order_status is None
+    assert rows["2"].customer_id == "1.5"
+    assert rows["1"]._source_file == "orders/a.jsonl" and rows["1"]._batch_id == "b1"
+    entry = landing.ingestion_log(lake).where("source_file = 'orders/a.jsonl'").first()
+    assert entry.file_sha256 == hashlib.sha256(path.read_bytes()).hexdigest()
+    assert (entry.entity, entry.target_table, entry.row_count, entry.batch_id) == (
+        "orders", "bronze.live_orders", 2, "b1")
+    assert ingest(lake, zone, "b2") == {"new": 0, "skipped": 2, "changed": 0, "rows": 0}
+    assert landing.live_table(lake, "orders").count() == 3
+
+
+def test_changed_files_are_reported_and_not_reloaded(lake, zone, caplog):
+    zone("a.jsonl", {"order_id": "1"})
+    zone("b.jsonl", {"order_id": "2"})
+    ingest(lake, zone, "b1")
+    zone("a.jsonl", {"order_id": "1"}, {"order_id": "7"})
+    with caplog.at_level(logging.WARNING):
+        counts = ingest(lake, zone, "b2")
+    assert counts == {"new": 0, "skipped": 1, "changed": 1, "rows": 0}
+    assert "orders/a.jsonl" in caplog.text
+    assert landing.live_table(lake, "orders").count() == 2
+
+
+def test_same_size_and_time_needs_rehash(lake, zone):
+    path = zone("a.jsonl", {"order_id": "1"})
+    ingest(lake, zone, "b1")
+    times = os.stat(path).st_atime_ns, os.stat(path).st_mtime_ns
+    zone("a.jsonl", {"order_id": "2"})
+    os.utime(path, ns=times)
+    assert ingest(lake, zone, "b2")["skipped"] == 1
+    assert ingest(lake, zone, "b3", rehash_known=True)["changed"] == 1
+
+
+def test_touched_but_equal_file_is_skipped(lake, zone):
+    path = zone("a.jsonl", {"order_id": "1"})
+    ingest(lake, zone, "b1")
+    os.utime(path, (1, 1))
+    assert ingest(lake, zone, "b2") == {"new": 0, "skipped": 1, "changed": 0, "rows": 0}
+
+
+def test_empty_file_is_logged(lake, zone):
+    zone("empty.jsonl", raw="")
+    zone("blank.jsonl", raw="\n  \n")
+    assert ingest(lake, zone, "b1") == {"new": 2, "skipped": 0, "changed": 0, "rows": 0}
+    log = {r.source_file: r for r in landing.ingestion_log(lake).collect()}
+    assert log["orders/empty.jsonl"].row_count == 0
+    assert log["orders/empty.jsonl"].file_sha256 == landing.EMPTY_SHA256
+    assert log["orders/blank.jsonl"].row_count == 0
+    assert ingest(lake, zone, "b2")["skipped"] == 2
+    assert landing.live_table(lake, "orders").count() == 0
+
+
+@pytest.mark.parametrize("line, problem", [
+    ("{'order_id': 1}", "invalid JSON"), ('{"order_id": 1} x', "invalid JSON"),
+    ('{"order_id": 1}{"order_id": 2}', "invalid JSON"), ("[1]", "invalid JSON"),
+    ('{"order_id": 1},{"order_id": 2}', "invalid JSON"), ("5", "invalid JSON"),
+    ('{"order_id": "1', "invalid JSON"), ('{"order_id": 1, "x": 2}', "unexpected field x"),
+])
+def test_bad_lines_are_named_and_the_file_is_left_out(lake, zone, line, problem):
+    zone("good.jsonl", {"order_id": "1"})
+    zone("bad.jsonl", {"order_id": "2"}, "", line)
+    with pytest.raises(landing.BadLandingFile, match=f"bad.jsonl: {problem} on line 3"):
+        ingest(lake, zone, "b1")
+    assert [r.order_id for r in landing.live_table(lake, "orders").collect()] == ["1"]
+    assert [r.source_file for r in landing.ingestion_log(lake).collect()] == ["orders/good.jsonl"]
+    zone("bad.jsonl", {"order_id": "2"})
+    assert ingest(lake, zone, "b2") == {"new": 1, "skipped": 1, "changed": 0, "rows": 1}
+
+
+def test_line_numbers_hold_across_blocks(spark, zone):
+    lines = [json.dumps({"order_id": str(n)}) for n in range(3000)]
+    lines[2345] = "oops"
+    path = zone("big.jsonl", *lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        found = landing.locate_problems(spark, [str(path)], C.ORDER_COLUMNS).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.line_no, r.problem) for r in found] == [(2346, "invalid JSON")]
+
+
+def test_large_files_are_fingerprinted_by_line(lake, zone, monkeypatch):
+    monkeypatch.setattr(landing, "LARGEST_HASHED_WHOLE", 10)
+    zone("a.jsonl", {"order_id": "1"}, {"order_id": "2"})
+    ingest(lake, zone, "b1")
+    assert landing.ingestion_log(lake).first().file_sha256.startswith("lines:")
+    assert ingest(lake, zone, "b2", rehash_known=True)["skipped"] == 1
+    zone("a.jsonl", {"order_id": "1"}, {"order_id": "3"})
+    assert ingest(lake, zone, "b3", rehash_known=True)["changed"] == 1
+
+
+def test_uncommitted_rows_are_invisible(lake, zone, monkeypatch):
+    zone("a.jsonl", {"order_id": "1"})
+    with monkeypatch.context() as m:
+        m.setattr(lake, "commit", lambda changes: (_ for _ in ()).throw(OSError("driver lost")))
+        with pytest.raises(OSError):
+            ingest(lake, zone, "b1")
+    assert landing.live_table(lake, "orders").count() == 0
+    assert ingest(lake, zone, "b1")["new"] == 1
+    assert landing.live_table(lake, "orders").count() == 1
+
+
+def test_missing_folder_is_skipped(lake, zone, caplog):
+    zone("a.jsonl", {"order_id": "1"})
+    with caplog.at_level(logging.WARNING):
+        summary = landing.ingest_landing(lake, zone.root, "b1").collect()
+    assert "order_items" in caplog.text
+    assert {(r.entity, r.status): r.files for r in summary if r.files} == {("orders", "new"): 1}
+
+
+def test_export_writes_complete_files_with_nulls(lake, zone, spark):
+    rows = spark.createDataFrame(
+        [(str(n), None) for n in range(5)], "order_id string, customer_id string"
+    ).repartition(2)
+    names = landing.export_landing(rows, zone.root, "orders", "t1")
+    assert sorted(names) == [f"orders_t1_{n:05d}.jsonl" for n in range(len(names))]
+    text = spark.read.text(f"{zone.root}/orders").select(F.col("value")).first().value
+    assert json.loads(text)["customer_id"] is None
+    assert ingest(lake, zone, "b1")["rows"] == 5
