@@ -165,11 +165,16 @@ def run_checks(
     if lake is not None:
         run_id = run_id or uuid.uuid4().hex
         failures = {r.check: r.failures for r in results}
+        stored = lake.row_counts("audit")
         changes = []
         for check in suite.checks:
-            rows = check.failing if failures[check.name] else check.failing.limit(0)
-            changes += lake.stage("audit", check.name, rows, run_id, "replace")
-        lake.commit(changes)
+            if failures[check.name]:
+                changes += lake.stage("audit", check.name, check.failing, run_id, "replace")
+            elif stored.get(check.name) != 0:  # never written, or rows of an earlier failure
+                none = check.failing.limit(0)
+                changes += lake.stage("audit", check.name, none, run_id, "replace")
+        if changes:
+            lake.commit(changes)
     failed = [r.check for r in results if r.status == "fail"]
     if failed and raise_on_error:
         raise ChecksFailed(", ".join(failed))

@@ -36,26 +36,35 @@ def bronze(lake: Lake, name: str) -> DataFrame:
 
 
 def build_silver(lake: Lake, run_id: str) -> None:
-    """Write every silver relation once; gold, checks and history read it several times."""
+    """Write every silver relation once; gold, checks and history read it several times.
+    The layer is switched over as a whole."""
     sources = {name: bronze(lake, name) for name in C.BRONZE_COLUMNS}
+    changes = []
     for name, build in SILVER.items():
-        lake.replace("silver", name, build(sources), run_id)
+        changes += lake.stage("silver", name, build(sources), run_id, "replace")
+    lake.commit(changes)
 
 
 def build_gold(lake: Lake, run_id: str, item_buckets: int = 16) -> None:
-    """Rebuild the gold tables; the item fact takes only what is new."""
+    """Rebuild the gold tables and switch them over together; the item fact, which takes only
+    what is new, follows."""
     s = {name: lake.read("silver", name) for name in SILVER}
-    lake.replace("gold", "fct_orders", gold.fct_orders(
+    changes = []
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        changes.extend(lake.stage("gold", name, df, run_id, "replace"))
+        return lake.read_version("gold", name, run_id)
+
+    fct = write("fct_orders", gold.fct_orders(
         s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_customers"]
-    ), run_id)
-    fct = lake.read("gold", "fct_orders")
-    lake.replace("gold", "dim_products", gold.dim_products(s["stg_products"]), run_id)
-    lake.replace("gold", "dim_customers", gold.dim_customers(fct, s["stg_customers"]), run_id)
-    lake.replace("gold", "mart_daily_revenue", gold.mart_daily_revenue(fct), run_id)
-    products = lake.read("gold", "dim_products")
-    lake.replace("gold", "mart_category_performance", gold.mart_category_performance(
+    ))
+    products = write("dim_products", gold.dim_products(s["stg_products"]))
+    write("dim_customers", gold.dim_customers(fct, s["stg_customers"]))
+    write("mart_daily_revenue", gold.mart_daily_revenue(fct))
+    write("mart_category_performance", gold.mart_category_performance(
         s["stg_order_items"], fct, products
-    ), run_id)
+    ))
+    lake.commit(changes)
     update_item_fact(
         lake, bronze(lake, "order_items"), bronze(lake, "live_order_items"), run_id, item_buckets
     )

@@ -138,6 +138,12 @@ class Lake:
         own = self._own_commits(layer, table)
         return {r.version for r in own.select("version").distinct().collect()}
 
+    def row_counts(self, layer: str) -> dict[str, int]:
+        """Table -> rows of its last full version, for all tables of a layer."""
+        own = self.commits().where((F.col("layer") == layer) & (F.col("mode") == "replace"))
+        last = own.groupBy("table_name").agg(F.max_by("row_count", "seq").alias("n")).collect()
+        return {r.table_name: r.n for r in last}
+
     def read_version(self, layer: str, table: str, version: str) -> DataFrame:
         return self.spark.read.parquet(self._version_path(layer, table, version))
 
