@@ -1,4 +1,7 @@
 import codecs
+import csv
+import io
+import random
 
 import pytest
 
@@ -47,6 +50,33 @@ def test_text_rules(lake, raw, quoted_break):
     assert (first._source_file, first._batch_id) == (CSV, "b1")
 
 
+@pytest.mark.parametrize("block", [64, 1 << 20])
+def test_large_files_with_breaks_are_read_in_parallel(spark, raw, block):
+    rng = random.Random(5)
+    pieces = ["plain", '"quo""ted"', '"two\nlines"', '"a,b"', "", '""', '"x\n\n""\n,y"', "NA", " s "]
+    body = "".join(
+        f"{n},{rng.choice(pieces)},{rng.choice(pieces)}\n" + ("\n" if n % 17 == 0 else "")
+        for n in range(400)
+    ) + "short,1\n"
+    path = raw(codecs.BOM_UTF8 + b"id,a,b\n" + body.encode()) + f"/{CSV}"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        parallel = csv_history.read_csv_text(spark, path, one_task_bytes=0)
+        assert parallel.columns == ["id", "a", "b"]
+        got = sorted(map(tuple, parallel.collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted(map(tuple, csv_history.read_csv_text(spark, path).collect()), key=str)
+    expected = [tuple(c or None for c in r) for r in csv.reader(io.StringIO(body)) if r]
+    assert got == sorted([(*r, None) if len(r) == 2 else r for r in expected], key=str)
+
+
+def test_unclosed_quote_is_an_error(spark, raw):
+    path = raw(b'id,a\n1,"x\n2,y\n') + f"/{CSV}"
+    with pytest.raises(ValueError, match="never closed"):
+        csv_history.read_csv_text(spark, path, one_task_bytes=0)
+
+
 def test_reload_replaces_and_failure_keeps_the_old_rows(lake, raw):
     load(lake, raw(b"a,b\n1,2\n3,4\n"), "b1")
     load(lake, raw(b"a,b\n5,6\n"), "b2")
@@ -54,7 +84,7 @@ def test_reload_replaces_and_failure_keeps_the_old_rows(lake, raw):
     with pytest.raises(Exception, match="too many cells"):
         load(lake, raw(b"a,b\n7,8\n9,10,11\n"), "b3")
     assert [r.a for r in lake.read("bronze", "orders").collect()] == ["5"]
-    assert lake.drop_old_versions("bronze", "orders") == ["b1"]
+    assert lake.drop_old_versions("bronze", "orders") == ["version=b1", "version=b3"]
     assert [r.a for r in lake.read("bronze", "orders").collect()] == ["5"]
 
 

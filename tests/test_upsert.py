@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import latest_per_key
+from tidemark.operators.joins import broadcast_if_small
 from tidemark.operators.upsert import (
-    after_mark, delete_insert, part_of, touched_copies, write_keyed,
+    after_mark, delete_insert, newest_day_parts, part_of, parts_with, touched_copies, write_keyed,
 )
 from tidemark.plans import item_fact
 
@@ -130,3 +131,39 @@ def test_part_names(spark):
         part_of(["k"], 4, F.col("at")).alias("p"))
     parts = [r.p for r in named.collect()]
     assert parts[0].startswith("20240102-0000") and parts[1].startswith("none-0000")
+
+
+def test_pruning_of_parts():
+    parts = {"20240101-00000of00004", "20240102-00001of00004", "none-00001of00004", "20240101-00001of00008"}
+    assert parts_with(parts, ["00001of00004"]) == parts - {"20240101-00000of00004"}
+    assert newest_day_parts(parts) == {"20240102-00001of00004"}
+    assert newest_day_parts({"none-00001of00004"}) == set()
+
+
+def test_bucket_number_may_change(lake, spark):
+    rows = spark.range(50).withColumn("v", F.lit(1))
+    write_keyed(lake, "gold", "t", rows, ["id"], "r1", 3)
+    write_keyed(lake, "gold", "t", rows.withColumn("v", F.lit(2)).where("id < 10"), ["id"], "r2", 5)
+    got = lake.read("gold", "t")
+    assert got.count() == 50 and got.where("v = 2").count() == 10
+
+
+def test_old_loads_are_not_opened(lake, spark):
+    day = lambda d: dt.datetime(2024, 1, d, tzinfo=dt.timezone.utc)
+    for d in (1, 2):
+        lake.commit(lake.stage("bronze", "t", spark.range(d), f"v{d}", "append", loaded_at=day(d)))
+    lake.commit(lake.stage("bronze", "t", spark.range(5), "v3", "append"))
+    state = lake.state("bronze", "t")
+    assert state.read().count() == 8
+    assert state.read(newer_than=day(1)).count() == 7
+    assert state.read(newer_than=day(2)).count() == 5
+
+
+def test_large_key_lists_are_not_broadcast(spark):
+    keys = spark.range(1000).select(F.col("id").cast("string").alias("k"))
+
+    def plan(df):
+        return df._jdf.queryExecution().logical().toString()
+
+    assert "Hint broadcast" in plan(broadcast_if_small(keys))
+    assert "Hint" not in plan(broadcast_if_small(keys, limit=100))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources import files
 from tidemark.sources.lake import Lake
 
 META = ("scd_id", "updated_at", "valid_from", "valid_to")
@@ -114,4 +115,5 @@ def update_history(
         layer, closed_table, moved.where("valid_to IS NOT NULL"), run_id, "append"
     )
     lake.commit([*still_open, *closed])
+    files.delete(lake.spark, work)
     return {"open": still_open[0].row_count, "closed": closed[0].row_count}

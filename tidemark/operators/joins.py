@@ -1,10 +1,12 @@
-"""Left join that does not pile NULL keys on one task."""
+"""Joins that hold up when a key is hot, and broadcasts behind a size check."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_BYTES = 64 << 20
+
 
 def left_join_spread_nulls(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
     """``left LEFT JOIN right USING (key)`` where NULL keys on the left may be many.
@@ -23,3 +25,17 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, key: str, spread_b
         )
         .drop("_join_key", "_other_key")
     )
+
+
+def broadcast_if_small(keys: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only if the rows, measured, fit the limit; else leave them to a shuffle.
+
+    Meant for key lists of a batch: one aggregate over a small relation decides whether a join
+    with a large table can leave that table where it is.
+    """
+    width = sum(
+        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in keys.columns),
+        start=F.lit(0),
+    )
+    size = keys.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(keys) if size <= limit else keys

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import config as C
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.upsert import after_mark, touched_copies, write_keyed
+from tidemark.operators.upsert import (
+    after_mark, newest_day_parts, touched_copies, write_keyed,
+)
 from tidemark.plans.silver import clean_order_items, finish_order_items, union_sources
-from tidemark.sources.lake import Lake
+from tidemark.sources.lake import Lake, TableState
 
 LAYER, TABLE = "gold", "fct_order_items"
 
@@ -25,16 +30,29 @@ def fact_rows(items: DataFrame) -> DataFrame:
 
 
 def increment(
-    history: DataFrame, live: DataFrame, mark: Column, lookback_hours: int = C.LOOKBACK_HOURS
+    history: DataFrame,
+    live: DataFrame,
+    mark: Column,
+    lookback_hours: int = C.LOOKBACK_HOURS,
+    recent: DataFrame | None = None,
 ) -> DataFrame:
     """Silver items loaded after the mark minus the lookback, from the bronze copies."""
     copies = clean_order_items(union_sources(history, live, C.ITEM_COLUMNS))
-    latest = latest_per_key(touched_copies(copies, C.ITEM_KEY, mark, lookback_hours), C.ITEM_KEY)
-    return finish_order_items(latest).where(
+    touched = touched_copies(copies, C.ITEM_KEY, mark, lookback_hours, recent)
+    return finish_order_items(latest_per_key(touched, C.ITEM_KEY)).where(
         after_mark(F.col("ingested_at"), mark, lookback_hours)
     )
 
 
+def load_mark(state: TableState) -> dt.datetime | None:
+    """Latest load time in the fact, read from one column of the latest day's parts."""
+    parts = newest_day_parts(state.parts)
+    if not parts:
+        return None
+    newest = state.read(parts=parts).agg(F.unix_micros(F.max("ingested_at"))).first()[0]
+    return dt.datetime.fromtimestamp(0, dt.timezone.utc) + dt.timedelta(microseconds=newest)
+
+
 def update_item_fact(
     lake: Lake,
     history: DataFrame,
@@ -42,17 +60,23 @@ def update_item_fact(
     run_id: str,
     buckets: int = 16,
     lookback_hours: int = C.LOOKBACK_HOURS,
+    loaded_since: Callable[[dt.datetime], tuple[DataFrame, DataFrame]] | None = None,
 ) -> dict[str, int]:
     """One run. The first builds the whole table; later ones take only newer rows.
 
     ``buckets`` is the number of hash parts per load day: choose it so that one part of a
-    full-history load stays around a gigabyte or two.
+    full-history load stays around a gigabyte or two. ``loaded_since`` may give the part of
+    (history, live) that can hold rows loaded after a moment, to save a scan of all copies.
     """
     state = lake.state(LAYER, TABLE)
     if state.exists:
-        newest = state.read().agg(F.max("ingested_at")).first()[0]
+        newest = load_mark(state)
         mark = F.lit(newest).cast("timestamp")
-        items = increment(history, live, mark, lookback_hours)
+        recent = None
+        if loaded_since is not None and newest is not None:
+            sides = loaded_since(newest - dt.timedelta(hours=lookback_hours))
+            recent = clean_order_items(union_sources(*sides, C.ITEM_COLUMNS))
+        items = increment(history, live, mark, lookback_hours, recent)
     else:
         copies = clean_order_items(union_sources(history, live, C.ITEM_COLUMNS))
         items = finish_order_items(latest_per_key(copies, C.ITEM_KEY))

@@ -24,15 +24,17 @@ from tidemark.sources.landing import ingest_landing
 SNAPSHOT_COLUMNS = ("zip_code_prefix", "city", "state")
 
 
-def bronze(lake: Lake, name: str) -> DataFrame:
-    """A declared bronze table. Live tables read as empty before their first load."""
+def bronze(lake: Lake, name: str, newer_than: dt.datetime | None = None) -> DataFrame:
+    """A declared bronze table. Live tables read as empty before their first load. With
+    ``newer_than`` only the loads that may hold rows loaded later are opened."""
     if name not in C.BRONZE_COLUMNS:
         raise KeyError(f"{name} is not a declared source")
     columns = (*C.BRONZE_COLUMNS[name], *C.LINEAGE)
     schema = StructType([StructField(c, StringType()) for c in columns])
+    state = lake.state("bronze", name)
     if name.startswith("live_"):
-        return lake.read("bronze", name, schema=schema)
-    return lake.read("bronze", name).select(*columns)
+        return state.read(schema, newer_than=newer_than)
+    return state.read(newer_than=newer_than).select(*columns)
 
 
 def build_silver(lake: Lake, run_id: str) -> None:
@@ -66,7 +68,10 @@ def build_gold(lake: Lake, run_id: str, item_buckets: int = 16) -> None:
     ))
     lake.commit(changes)
     update_item_fact(
-        lake, bronze(lake, "order_items"), bronze(lake, "live_order_items"), run_id, item_buckets
+        lake, bronze(lake, "order_items"), bronze(lake, "live_order_items"), run_id, item_buckets,
+        loaded_since=lambda start: (
+            bronze(lake, "order_items", start), bronze(lake, "live_order_items", start)
+        ),
     )
 
 

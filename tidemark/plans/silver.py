@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config as C
 from tidemark.functions import blank_to_null, initcap_words, money, parse_ts, tidy, whole_number, zip5
+from tidemark.operators.joins import left_join_spread_nulls
 from tidemark.operators.latest import latest_per_key
 
 Bronze = Mapping[str, DataFrame]
@@ -142,14 +143,17 @@ def stg_products(products: DataFrame, translations: DataFrame) -> DataFrame:
     """Products with the English category name where there is one.
 
     The translation side is one row per category name. It is not forced to be broadcast:
-    Spark does that itself while its measured size is below the threshold.
+    Spark does that itself while its measured size is below the threshold, and beyond it
+    products without a category do not pile up on one task.
     """
     lookup = translations.select(
-        tidy("product_category_name").alias("_translation_key"),
+        tidy("product_category_name").alias("_name"),
         tidy("product_category_name_english").alias("_english"),
     )
     source_name = F.col("product_category_name")
-    joined = products.join(lookup, tidy(source_name) == F.col("_translation_key"), "left")
+    joined = left_join_spread_nulls(
+        products.withColumn("_name", tidy(source_name)), lookup, "_name", spread_by="product_id"
+    )
     numbers = {
         "name_length": "product_name_lenght",
         "description_length": "product_description_lenght",

@@ -8,12 +8,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 from tidemark import config as C
 from tidemark.sources import files
 from tidemark.sources.lake import Lake
 
 _OVERFLOW = "_overflow"
+ONE_TASK_BYTES = 128 << 20
 
 
 def spans_lines(spark: SparkSession, path: str) -> bool:
@@ -28,19 +30,102 @@ def spans_lines(spark: SparkSession, path: str) -> bool:
     return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+def largest_file_bytes(spark: SparkSession, path: str) -> int:
+    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+
+
+def logical_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record, is_header) of every CSV record, put together from physical lines in parallel.
+
+    A line starts a record if the quotes before it in the file are even in number. Within a
+    block of the file that is a running sum; what earlier blocks add is a running sum over one
+    row per block. Only the lines of records that span lines are grouped.
+    """
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        "value",
+        (quotes % 2).alias("odd"),
+    )
+    in_block = Window.partitionBy("file", "block").orderBy("id")
+    earlier_blocks = Window.partitionBy("file").orderBy("block").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    parity = (
+        lines.groupBy("file", "block").agg(F.sum("odd").alias("odd"))
+        .select("file", "block", F.coalesce(F.sum("odd").over(earlier_blocks), F.lit(0)).alias("odd_before"))
+    )
+    before = F.coalesce(
+        F.sum("odd").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    placed = (
+        lines.withColumn("_before", before)
+        .withColumn("_nth", F.row_number().over(in_block))
+        .join(parity, ["file", "block"])
+        .withColumn("inside", (F.col("_before") + F.col("odd_before")) % 2)
+    )
+    start = F.when(F.col("inside") == 0, F.col("id"))
+    own_start = F.last(start, ignorenulls=True).over(
+        in_block.rowsBetween(Window.unboundedPreceding, 0)
+    )
+    # The record that is open when a block begins started in an earlier one.
+    carried = placed.groupBy("file", "block").agg(F.max(start).alias("last_start")).select(
+        "file", "block",
+        F.last("last_start", ignorenulls=True).over(earlier_blocks).alias("carried_start"),
+    )
+    single = (F.col("inside") == 0) & (F.col("odd") == 0)
+    whole = placed.where(single).select(
+        value.alias("record"), ((F.col("block") == 0) & (F.col("_nth") == 1)).alias("is_header")
+    )
+    piece = F.struct("block", "id", "value")
+    joined = (
+        placed.withColumn("own_start", own_start)
+        .where(~single)
+        .join(carried, ["file", "block"])
+        .groupBy("file", F.coalesce("own_start", "carried_start").alias("start"))
+        .agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
+        .select(
+            F.array_join(F.col("pieces.value"), "\n").alias("record"), F.lit(False).alias("is_header")
+        )
+    )
+    carriage_return = F.regexp_replace("record", "\r$", "")
+    return whole.unionByName(joined).withColumn("record", carriage_return)
+
+
+def require_closed_quotes(spark: SparkSession, path: str) -> None:
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), quotes.alias("n"))
+    broken = lines.groupBy("file").agg(F.sum("n").alias("n")).where("n % 2 = 1").first()
+    if broken is not None:
+        raise ValueError(f"{broken.file}: a quoted cell is never closed")
+
+
+def read_csv_text(spark: SparkSession, path: str, one_task_bytes: int = ONE_TASK_BYTES) -> DataFrame:
     """A CSV file (or folder of files) with all columns as text.
 
     Column names come from the header. Empty cells, quoted or not, are NULL; ``NA`` stays
     text; a byte-order mark is dropped; doubled quotes are one quote; short rows are filled
     with NULL and rows with too many cells raise. Files without line breaks inside cells are
-    split among tasks; only those with such cells are read by one task per file.
+    split among tasks by Spark's reader. With such breaks that reader takes a whole file per
+    task, so it is used for files of one split at most; the records of larger ones are put
+    together in parallel first.
     """
     multi_line = spans_lines(spark, path)
-    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line)
+    options = {"quote": '"', "escape": '"'}
+    reader = spark.read.options(header=True, multiLine=multi_line, **options)
     names = reader.csv(path).columns
     schema = StructType([StructField(n, StringType()) for n in (*names, _OVERFLOW)])
-    raw = reader.schema(schema).csv(path)
+    if multi_line and largest_file_bytes(spark, path) > one_task_bytes:
+        require_closed_quotes(spark, path)
+        records = logical_records(spark, path).where(~F.col("is_header") & (F.trim("record") != ""))
+        cells = F.from_csv("record", schema.toDDL(), options).alias("cells")
+        raw = records.select(cells).select("cells.*")
+    else:
+        raw = reader.schema(schema).csv(path)
     first = F.when(
         F.col(_OVERFLOW).isNotNull(),
         F.raise_error(F.concat(F.lit(f"{path}: row with too many cells near "), F.col(names[0]))),
@@ -69,7 +154,7 @@ def load_history_table(
         raise FileNotFoundError(f"missing source file: {path}")
     raw = read_csv_text(lake.spark, path)
     tagged = with_lineage(raw, ingested_at, F.lit(file_name), batch_id)
-    return lake.replace("bronze", table, tagged, batch_id)
+    return lake.replace("bronze", table, tagged, batch_id, dt.datetime.fromisoformat(ingested_at))
 
 
 def load_history(

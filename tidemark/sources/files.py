@@ -26,17 +26,21 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(location)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    fs, location = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(location))
+
+
 def move_into(spark: SparkSession, folder: str, target: str, rename) -> list[str]:
     """Rename the data files of ``folder`` into ``target`` (same file system), each in one
     step. ``rename`` maps a running number to the new name."""
-    fs, location = _fs(spark, folder)
+    fs, _ = _fs(spark, folder)
     make_folder(spark, target)
     names = []
-    listed = sorted(s.getPath().toString() for s in fs.listStatus(location))
-    data = [p for p in listed if p.rsplit("/", 1)[-1].startswith("part-")]
+    data = [name for name in child_names(spark, folder) if name.startswith("part-")]
     path_class = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for number, path in enumerate(data):
+    for number, name in enumerate(data):
         names.append(rename(number))
-        if not fs.rename(path_class(path), path_class(f"{target}/{names[-1]}")):
-            raise OSError(f"could not rename {path} to {target}/{names[-1]}")
+        if not fs.rename(path_class(f"{folder}/{name}"), path_class(f"{target}/{names[-1]}")):
+            raise OSError(f"could not rename {folder}/{name} to {target}/{names[-1]}")
     return names

@@ -28,7 +28,7 @@ from tidemark.sources import files
 
 COMMIT_SCHEMA = (
     "seq long, layer string, table_name string, part string, version string, "
-    "mode string, row_count long, committed_at timestamp"
+    "mode string, row_count long, loaded_at timestamp, committed_at timestamp"
 )
 
 
@@ -42,6 +42,7 @@ class Change:
     mode: str
     row_count: int
     part: str = ""
+    loaded_at: dt.datetime | None = None
 
 
 @dataclass(frozen=True)
@@ -67,25 +68,31 @@ class TableState:
         return list(dict.fromkeys(e.version for e in self.entries))
 
     def read(
-        self, schema: StructType | None = None, parts: Iterable[str] | None = None
+        self,
+        schema: StructType | None = None,
+        parts: Iterable[str] | None = None,
+        newer_than: dt.datetime | None = None,
     ) -> DataFrame:
-        """The rows, or those of some parts only: files of other parts are not opened."""
+        """The rows; with ``parts`` those of some parts, with ``newer_than`` those of versions
+        that may hold rows loaded later. Files of other versions and parts are not opened."""
         spark = self.lake.spark
         if not self.entries:
             if schema is None:
                 raise FileNotFoundError(f"no committed table {self.layer}.{self.table}")
             return spark.createDataFrame([], schema)
         wanted = None if parts is None else set(parts)
+        start = None if newer_than is None else int(newer_than.timestamp() * 1_000_000)
         root = self.lake.table_path(self.layer, self.table)
         paths = [
             f"{root}/version={e.version}" + (f"/part={e.part}" if e.part else "")
             for e in self.entries
-            if (e.row_count > 0 or not e.part) and (wanted is None or e.part in wanted)
+            if (e.row_count > 0 or not e.part)
+            and (wanted is None or e.part in wanted)
+            and (start is None or e.loaded is None or e.loaded > start)
         ]
-        if not paths:
-            written = spark.read.parquet(root).drop("version", "part").schema
-            return spark.createDataFrame([], written)
         reader = spark.read if schema is None else spark.read.schema(schema)
+        if not paths:
+            return reader.parquet(f"{root}/version={self.entries[-1].version}").drop("part").limit(0)
         return reader.parquet(*paths)
 
 
@@ -123,10 +130,10 @@ class Lake:
             self._own_commits(layer, table)
             .groupBy("part", unit.alias("unit"))
             .agg(
-                F.max_by(F.struct("seq", "version", "row_count"), "seq").alias("last"),
+                F.max_by(F.struct("seq", "version", "row_count", "loaded_at"), "seq").alias("last"),
                 F.max(F.when(F.col("mode") == "replace", F.col("seq"))).alias("restarted"),
             )
-            .select("part", "last.*", "restarted")
+            .select("part", "last.*", F.unix_micros("last.loaded_at").alias("loaded"), "restarted")
             .collect()
         )
         start = max((u.restarted for u in units if u.restarted is not None), default=0)
@@ -154,12 +161,20 @@ class Lake:
     # --- writing ---------------------------------------------------------------------------
 
     def stage(
-        self, layer: str, table: str, df: DataFrame, version: str, mode: str, by_part: bool = False
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        version: str,
+        mode: str,
+        by_part: bool = False,
+        loaded_at: dt.datetime | None = None,
     ) -> list[Change]:
         """Write a version nobody sees yet and check that every row arrived.
 
         With ``by_part`` the column ``part`` decides the folder. The rows going in are counted
-        while they are written; the count read back comes from the file footers.
+        while they are written; the count read back comes from the file footers. ``loaded_at``
+        states that no row of the version was loaded later than that.
         """
         if version in self.committed_versions(layer, table):
             raise ValueError(f"version {version} of {layer}.{table} is already committed")
@@ -181,7 +196,10 @@ class Lake:
                 f"row count mismatch for {layer}.{table}: "
                 f"read {sent.get['rows']}, stored {sum(stored.values())}"
             )
-        return [Change(layer, table, version, mode, n, part) for part, n in sorted(stored.items())]
+        return [
+            Change(layer, table, version, mode, n, part, loaded_at)
+            for part, n in sorted(stored.items())
+        ]
 
     def commit(self, changes: Iterable[Change]) -> None:
         """Make staged changes visible, all of them at once (one file is appended)."""
@@ -189,7 +207,8 @@ class Lake:
         seq = 0 if last is None else last + 1
         now = dt.datetime.now(dt.timezone.utc)
         rows = [
-            (seq, c.layer, c.table, c.part, c.version, c.mode, c.row_count, now) for c in changes
+            (seq, c.layer, c.table, c.part, c.version, c.mode, c.row_count, c.loaded_at, now)
+            for c in changes
         ]
         (
             self.spark.createDataFrame(rows, COMMIT_SCHEMA)
@@ -198,16 +217,25 @@ class Lake:
             .parquet(self._log)
         )
 
-    def replace(self, layer: str, table: str, df: DataFrame, version: str) -> int:
+    def replace(
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        version: str,
+        loaded_at: dt.datetime | None = None,
+    ) -> int:
         """Full refresh; the old version stays readable until the new one is complete."""
-        changes = self.stage(layer, table, df, version, "replace")
+        changes = self.stage(layer, table, df, version, "replace", loaded_at=loaded_at)
         self.commit(changes)
         return changes[0].row_count
 
     def drop_old_versions(self, layer: str, table: str) -> list[str]:
-        """Delete versions that are no longer part of the table; call it with no reader active.
-        Returns the deleted version names."""
-        gone = sorted(self.committed_versions(layer, table) - set(self.state(layer, table).versions))
-        for version in gone:
-            files.delete(self.spark, self._version_path(layer, table, version))
+        """Delete everything below a table that is not part of it: replaced versions and what
+        interrupted runs left. Call it with no reader or writer active. Returns the names."""
+        live = {f"version={v}" for v in self.state(layer, table).versions}
+        path = self.table_path(layer, table)
+        gone = sorted(set(files.child_names(self.spark, path)) - live)
+        for name in gone:
+            files.delete(self.spark, f"{path}/{name}")
         return gone

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from collections.abc import Mapping, Sequence
 
@@ -62,7 +63,10 @@ def list_landing(spark: SparkSession, landing_dir: str, entity: str) -> DataFram
         F.col("length").alias("file_length"), F.col("modificationTime").alias("modified_at"),
     )
     # Same file index as the scan: a file that arrives in between is in neither.
-    listed = spark.createDataFrame([(p,) for p in files_found.inputFiles()], "path string").select(
+    paths = files_found.inputFiles()
+    if len(paths) == seen.count():
+        return seen
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").select(
         F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path")
     )
     plain = F.regexp_replace("path", "^file:/+", "file:/")
@@ -253,7 +257,8 @@ def _stage_rows(
     def stage(rows: DataFrame) -> list[Change]:
         tagged = with_lineage(rows.where("problem IS NULL"), ingested_at, source, batch_id)
         return lake.stage(
-            "bronze", table, tagged.select(*columns, *C.LINEAGE), batch_id, "append"
+            "bronze", table, tagged.select(*columns, *C.LINEAGE), batch_id, "append",
+            loaded_at=dt.datetime.fromisoformat(ingested_at),
         )
 
     watch = Observation()
