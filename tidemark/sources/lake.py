@@ -67,6 +67,18 @@ class TableState:
         """Oldest first."""
         return list(dict.fromkeys(e.version for e in self.entries))
 
+    def globs(self) -> list[str]:
+        """One path per version, with the live parts of a version as alternatives."""
+        root = self.lake.table_path(self.layer, self.table)
+        by_version: dict[str, list[str]] = {}
+        for e in self.entries:
+            if e.row_count > 0 or not e.part:
+                by_version.setdefault(e.version, []).append(e.part)
+        return [
+            f"{root}/version={version}" + ("" if parts == [""] else f"/part={{{','.join(parts)}}}")
+            for version, parts in by_version.items()
+        ]
+
     def read(
         self,
         schema: StructType | None = None,
@@ -230,6 +242,33 @@ class Lake:
         self.commit(changes)
         return changes[0].row_count
 
+    def compact(self, layer: str, table: str, version: str) -> int:
+        """Rewrite a table of many small appended loads as one version of well-sized files."""
+        state = self.state(layer, table)
+        times = [e.loaded for e in state.entries]
+        latest = None
+        if times and None not in times:
+            epoch = dt.datetime.fromtimestamp(0, dt.timezone.utc)
+            latest = epoch + dt.timedelta(microseconds=max(times))
+        return self.replace(layer, table, state.read().hint("rebalance"), version, latest)
+
+    def publish(self, layers: Iterable[str] = C.LAYERS) -> list[str]:
+        """Make every committed table a view ``<layer>.<table>`` in the session's catalog, so
+        that SQL can name it. A view shows the state it was published with: call this after
+        each run. Returns the names."""
+        known = self.commits().select("layer", "table_name").distinct().collect()
+        names = []
+        for layer, table in sorted(tuple(r) for r in known):
+            if layer not in layers:
+                continue
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+            selects = " UNION ALL ".join(
+                f"SELECT * FROM parquet.`{path}`" for path in self.state(layer, table).globs()
+            )
+            self.spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{table}` AS {selects}")
+            names.append(f"{layer}.{table}")
+        return names
+
     def drop_old_versions(self, layer: str, table: str) -> list[str]:
         """Delete everything below a table that is not part of it: replaced versions and what
         interrupted runs left. Call it with no reader or writer active. Returns the names."""
