@@ -6,6 +6,7 @@ from tidemark.operators.history import read_history
 from tidemark.operators.quality import ChecksFailed
 from tidemark.plans import pipeline
 from tidemark.sources import landing
+from tidemark.sources.landing import ingest_landing
 from tidemark.streaming import live
 
 FILES = {
@@ -84,6 +85,16 @@ def test_whole_run(lake, raw_dir, tmp_path):
     history = read_history(lake, "snap_customers")
     assert history.count() == 3 and history.where("valid_to IS NOT NULL").isEmpty()
 
+    # Between full runs: a new item, and a newer copy of a history item.
+    for name, order_id, price in (("j.jsonl", "4", "7.00"), ("k.jsonl", "1", "9.99")):
+        put(zone / "order_items", name,
+            {"order_id": order_id, "order_item_id": "1", "product_id": "p1", "seller_id": "s1",
+             "shipping_limit_date": "", "price": price, "freight_value": "0"})
+    ingest_landing(lake, str(zone), "r2b")
+    pipeline.refresh_item_fact(lake, "r2b", item_buckets=2)
+    prices = {r.order_id: str(r.price) for r in lake.read("gold", "fct_order_items").collect()}
+    assert prices == {"1": "9.99", "2": "20.00", "3": "30.50", "4": "7.00"}
+
     put(zone / "orders", "x.jsonl", {"order_id": "5", "customer_id": "nobody",
                                      "order_purchase_timestamp": "2024-01-02 11:00:00"})
     with pytest.raises(ChecksFailed, match="relationships_stg_orders_customer_id"):

@@ -62,7 +62,8 @@ def update_item_fact(
     lookback_hours: int = C.LOOKBACK_HOURS,
     loaded_since: Callable[[dt.datetime], tuple[DataFrame, DataFrame]] | None = None,
 ) -> dict[str, int]:
-    """One run. The first builds the whole table; later ones take only newer rows.
+    """One run from the bronze copies. The first builds the whole table; later ones take only
+    newer rows, and deduplicate only the keys those belong to.
 
     ``buckets`` is the number of hash parts per load day: choose it so that one part of a
     full-history load stays around a gigabyte or two. ``loaded_since`` may give the part of
@@ -80,6 +81,26 @@ def update_item_fact(
     else:
         copies = clean_order_items(union_sources(history, live, C.ITEM_COLUMNS))
         items = finish_order_items(latest_per_key(copies, C.ITEM_KEY))
+    return _store(lake, items, run_id, buckets)
+
+
+def update_item_fact_from_silver(
+    lake: Lake,
+    items: DataFrame,
+    run_id: str,
+    buckets: int = 16,
+    lookback_hours: int = C.LOOKBACK_HOURS,
+) -> dict[str, int]:
+    """The same from silver rows that were just written: the load-time filter reaches their
+    files, and nothing is deduplicated again."""
+    state = lake.state(LAYER, TABLE)
+    if state.exists:
+        mark = F.lit(load_mark(state)).cast("timestamp")
+        items = items.where(after_mark(F.col("ingested_at"), mark, lookback_hours))
+    return _store(lake, items, run_id, buckets)
+
+
+def _store(lake: Lake, items: DataFrame, run_id: str, buckets: int) -> dict[str, int]:
     return write_keyed(
         lake, LAYER, TABLE, fact_rows(items), C.ITEM_KEY, run_id, buckets, period="ingested_at"
     )

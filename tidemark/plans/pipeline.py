@@ -14,7 +14,7 @@ from tidemark.operators.history import update_history
 from tidemark.operators.quality import run_checks
 from tidemark.plans import gold
 from tidemark.plans.checks import build_suite
-from tidemark.plans.item_fact import update_item_fact
+from tidemark.plans.item_fact import update_item_fact, update_item_fact_from_silver
 from tidemark.plans.silver import SILVER
 from tidemark.session import prepare
 from tidemark.sources.csv_history import load_history
@@ -67,7 +67,13 @@ def build_gold(lake: Lake, run_id: str, item_buckets: int = 16) -> None:
         s["stg_order_items"], fct, products
     ))
     lake.commit(changes)
-    update_item_fact(
+    update_item_fact_from_silver(lake, s["stg_order_items"], run_id, item_buckets)
+
+
+def refresh_item_fact(lake: Lake, run_id: str, item_buckets: int = 16) -> dict[str, int]:
+    """Extend the item fact by what was loaded since, without rebuilding silver: the job to
+    run after each landing load."""
+    return update_item_fact(
         lake, bronze(lake, "order_items"), bronze(lake, "live_order_items"), run_id, item_buckets,
         loaded_since=lambda start: (
             bronze(lake, "order_items", start), bronze(lake, "live_order_items", start)
