@@ -1,0 +1,75 @@
+"""Shape of the physical plans: how often data is shuffled, and what reaches the scans."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import config as C
+from tidemark.operators.upsert import after_mark
+from tidemark.plans import gold, silver
+from tidemark.sources import testbed
+from tidemark.warehouse import Warehouse
+
+
+@pytest.fixture(scope="module")
+def w(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("warehouse"))
+    return Warehouse(testbed.bronze(spark, "/root/testdata/sf0.001"), root)
+
+
+@pytest.fixture
+def plan(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for k in keys:
+        spark.conf.unset(k)
+
+
+def shuffles(text):
+    return text.count("Exchange hashpartitioning")
+
+
+def test_deduplication_shuffles_once(w, plan):
+    b = {name: w.bronze[name] for name in ("order_items", "live_order_items")}
+    text = plan(silver.stg_order_items(b["order_items"], b["live_order_items"]))
+    assert shuffles(text) == 1 and text.count("WindowGroupLimit") == 2
+
+
+def test_order_fact_shuffles_each_input_once_and_the_result_once(w, plan):
+    # orders, items, payments, customers, and the joined orders for the customer join
+    fct = gold.fct_orders(w.silver("stg_orders"), w.silver("stg_order_items"),
+                          w.silver("stg_order_payments"), w.silver("stg_customers"))
+    assert shuffles(plan(fct)) == 5
+
+
+def test_customer_dimension(w, plan):
+    text = plan(gold.dim_customers(w.fct_orders, w.silver("stg_customers")))
+    assert shuffles(text) == 3 and "Window" not in text
+
+
+def test_daily_revenue_reads_only_its_columns(w, plan):
+    text = plan(gold.mart_daily_revenue(w.fct_orders))
+    assert "Expand" not in text and shuffles(text) == 2
+    assert "customer_state" not in text and "total_paid" not in text
+
+
+def test_no_python_in_any_relation(w, plan):
+    for name in silver.SILVER:
+        assert "Python" not in plan(silver.SILVER[name](w.bronze))
+    assert "Python" not in plan(w.mart_category_performance)
+
+
+def test_increment_filter_reaches_the_files(w, plan):
+    mark = F.lit(dt.datetime(2024, 1, 3, tzinfo=dt.timezone.utc))
+    items = w.silver("stg_order_items")
+    text = plan(items.where(after_mark(F.col("ingested_at"), mark, C.LOOKBACK_HOURS)))
+    assert "GreaterThan(ingested_at," in text
+
+
+def test_filters_of_checks_reach_the_files(w, plan):
+    text = plan(w.fct_orders.where("is_valid_for_revenue").select("order_id"))
+    assert "EqualTo(is_valid_for_revenue,true)" in text
+    assert "ReadSchema: struct<order_id:string,is_valid_for_revenue:boolean>" in text

@@ -33,7 +33,7 @@ EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855
 
 # A file hashed as one binary value must fit in an executor row; larger ones are
 # fingerprinted line by line.
-LARGEST_HASHED_WHOLE = 512 << 20
+LARGEST_HASHED_WHOLE = 256 << 20
 
 
 def landing_schema(entity: str, columns: Sequence[str] | None = None) -> StructType:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
@@ -10,35 +10,54 @@ from tidemark.plans import gold, silver
 
 
 class Warehouse:
-    """Lazy silver and gold relations over given bronze tables (nothing runs until used)."""
+    """Silver and gold relations over given bronze tables.
 
-    def __init__(self, bronze: silver.Bronze):
+    Without ``root`` everything is lazy: a relation that two others read is planned into both.
+    With it, every relation is written below ``root`` when first asked for and read back, as
+    the pipeline does: right for results that read the same relation several times.
+    """
+
+    def __init__(self, bronze: silver.Bronze, root: str | None = None):
         self.bronze = bronze
+        self._root = root
+        self._kept: dict[str, DataFrame] = {}
+
+    def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._kept:
+            df = build()
+            if self._root is not None:
+                path = f"{self._root}/{name}"
+                df.write.parquet(path)
+                df = df.sparkSession.read.schema(df.schema).parquet(path)
+            self._kept[name] = df
+        return self._kept[name]
 
     def silver(self, name: str) -> DataFrame:
-        return silver.SILVER[name](self.bronze)
+        return self._keep(name, lambda: silver.SILVER[name](self.bronze))
 
-    @cached_property
+    @property
     def fct_orders(self) -> DataFrame:
-        return gold.fct_orders(
+        return self._keep("fct_orders", lambda: gold.fct_orders(
             self.silver("stg_orders"), self.silver("stg_order_items"),
             self.silver("stg_order_payments"), self.silver("stg_customers"),
-        )
+        ))
 
-    @cached_property
+    @property
     def dim_products(self) -> DataFrame:
-        return gold.dim_products(self.silver("stg_products"))
+        return self._keep("dim_products", lambda: gold.dim_products(self.silver("stg_products")))
 
-    @cached_property
+    @property
     def dim_customers(self) -> DataFrame:
-        return gold.dim_customers(self.fct_orders, self.silver("stg_customers"))
+        return self._keep("dim_customers", lambda: gold.dim_customers(
+            self.fct_orders, self.silver("stg_customers")
+        ))
 
-    @cached_property
+    @property
     def mart_daily_revenue(self) -> DataFrame:
-        return gold.mart_daily_revenue(self.fct_orders)
+        return self._keep("mart_daily_revenue", lambda: gold.mart_daily_revenue(self.fct_orders))
 
-    @cached_property
+    @property
     def mart_category_performance(self) -> DataFrame:
-        return gold.mart_category_performance(
+        return self._keep("mart_category_performance", lambda: gold.mart_category_performance(
             self.silver("stg_order_items"), self.fct_orders, self.dim_products
-        )
+        ))
