@@ -62,6 +62,10 @@ def test_stored_history(lake, spark):
     assert [c["closed"] for c in counts] == [0, 2, 1]
     stored = history.read_history(lake, "h")
     assert summary(stored) == EXPECTED
+    lake.publish(["snapshots"])
+    history.publish_history(lake, "h")
+    assert summary(spark.table("snapshots.h")) == EXPECTED
+    spark.sql("DROP DATABASE snapshots CASCADE")
     open_rows = stored.where("valid_to IS NULL").groupBy("id").count()
     assert open_rows.where("count > 1").isEmpty()
 

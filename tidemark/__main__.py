@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from tidemark.operators.history import publish_history
 from tidemark.plans import pipeline
 from tidemark.sources.lake import Lake
 
@@ -24,6 +25,7 @@ def main() -> None:
         raise_on_error=not args.tolerate_errors,
     )
     lake.publish()
+    publish_history(lake, "snap_customers")
     result.orderBy("status", "check").show(100, truncate=False)
 
 

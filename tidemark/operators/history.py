@@ -117,3 +117,12 @@ def update_history(
     lake.commit([*still_open, *closed])
     files.delete(lake.spark, work)
     return {"open": still_open[0].row_count, "closed": closed[0].row_count}
+
+
+def publish_history(lake: Lake, table: str, layer: str = "snapshots") -> None:
+    """Name the whole history in SQL, over the views that ``Lake.publish`` made of its halves."""
+    halves = [f"{table}_open"]
+    if lake.state(layer, f"{table}_closed").exists:
+        halves.append(f"{table}_closed")
+    selects = " UNION ALL ".join(f"SELECT * FROM `{layer}`.`{half}`" for half in halves)
+    lake.spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{table}` AS {selects}")
