@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from tidemark.llm import lines, pieces
+from tidemark.llm import (
+    lines,
+    mixing,
+    pieces,
+    quality_rules,
+    superminhash,
+)
 
 QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
     "op3_line_dedup": lines.op3_line_dedup,
+    "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op8_superminhash": superminhash.op8_superminhash,
     "op9_sentencepiece": pieces.op9_sentencepiece,
 }
 
