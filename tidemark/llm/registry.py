@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm import (
+    language_zstd,
     lines,
     mixing,
     pieces,
@@ -16,6 +17,7 @@ QUERIES = {
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op8_superminhash": superminhash.op8_superminhash,
     "op9_sentencepiece": pieces.op9_sentencepiece,
+    "op10_language_zstd": language_zstd.op10_language_zstd,
 }
 
 ORACLES = {
