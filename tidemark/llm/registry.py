@@ -8,12 +8,14 @@ from tidemark.llm import (
     mixing,
     pieces,
     quality_rules,
+    recurrent_lm,
     superminhash,
 )
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op3_line_dedup": lines.op3_line_dedup,
+    "op5_recurrent_lm": recurrent_lm.op5_recurrent_lm,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op8_superminhash": superminhash.op8_superminhash,
     "op9_sentencepiece": pieces.op9_sentencepiece,
