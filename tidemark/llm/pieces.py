@@ -2,7 +2,7 @@
 
 A text gets a leading meta space, its spaces become meta spaces, and adjacent symbols are merged
 from a score-ordered agenda (highest score first, leftmost first among equals) as long as the pair
-is a piece. Characters outside the vocabulary fall back to bytes. No piece holds a meta space
+is a piece. Short cuts are merged together, with their agendas as rows of a matrix. Characters outside the vocabulary fall back to bytes. No piece holds a meta space
 after another character, so merges never cross such a place: texts are cut there and each
 distinct cut is encoded once per task. Every new cut is checked against the sentencepiece library,
 one call per Arrow batch; a difference is an error.
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from operator import add
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,9 @@ from tidemark.llm.common import read_table, small_batches
 META = "▁"
 CACHED_CUTS = 250_000
 POSITION = (1 << 40) - 1
+WIDTHS = (6, 9, 12, 16, 24, 40)
+MATRIX_ROWS = 2048
+NO_PIECE = np.int32(2**31 - 1)
 
 
 class Vocabulary:
@@ -49,16 +53,33 @@ class Vocabulary:
                 if META in name.lstrip(META):
                     raise ValueError(f"piece {name!r} holds a meta space inside: cuts would be wrong")
         self.byte_ids = {value: i for i, value in self.bytes.items()}
-        self.plain = frozenset(self.ids.values())
-        scores = sorted({self.library.get_score(i) for i in self.plain}, reverse=True)
+        self.numerals = [str(i) for i in range(size)]
+        # text of a plain piece; None for bytes, "" for control pieces
+        self.surfaces = [None if i in self.bytes else "" for i in range(size)]
+        for name, i in self.ids.items():
+            self.surfaces[i] = name.replace(META, " ")
+        scores = sorted({self.library.get_score(i) for i in self.ids.values()}, reverse=True)
         place = {score: k for k, score in enumerate(scores)}  # equal scores share a place
         self.order = {name: place[self.library.get_score(i)] for name, i in self.ids.items()}
+        # for cuts that are merged together: characters, pairs and places as arrays
+        self.pad = size  # stands for no symbol; greater ids for characters outside the vocabulary
+        self.characters = np.arange(size + 1, size + 1 + 0x110000, dtype=np.int32)
+        pairs = []
+        for name, i in self.ids.items():
+            if len(name) == 1:
+                self.characters[ord(name)] = i
+            for k in range(1, len(name)):
+                if name[:k] in self.ids and name[k:] in self.ids:
+                    pairs.append((self.ids[name[:k]] << 32 | self.ids[name[k:]], i))
+        known = np.array(sorted(pairs) or [(-1, 0)], np.int64)
+        self.pair_keys, self.pair_ids = known[:, 0].copy(), known[:, 1].astype(np.int32)
+        self.places = np.full(size, NO_PIECE, np.int32)
+        for name, i in self.ids.items():
+            self.places[i] = self.order[name]
 
     def merge(self, text: str) -> list[str]:
-        """Symbols left when the agenda of adjacent pairs is empty.
-
-        An entry of the agenda is one number: the pair's place by score, then its position.
-        """
+        """Symbols left when the agenda of adjacent pairs is empty."""
+        # the agenda is a heap; an entry is one number: the pair's place by score, its position
         order, parts, n = self.order, list(text), len(text)
         agenda = [order[pair] << 40 | i for i, pair in enumerate(map(add, parts, parts[1:]))
                   if pair in order]
@@ -89,6 +110,84 @@ class Vocabulary:
                     heappush(agenda, place << 40 | h)
         return [part for part in parts if part]
 
+    def pair_piece(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(piece, place) of pairs of ids; the place is NO_PIECE where the pair is none."""
+        key = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pair_keys, key)
+        at[at == len(self.pair_keys)] = 0
+        piece = self.pair_ids[at]
+        return piece, np.where(self.pair_keys[at] == key, self.places[piece], NO_PIECE)
+
+    def merge_matrix(self, symbols: np.ndarray) -> np.ndarray:
+        """Merge many cuts (rows of ids, padded) together; what has been merged away is padding.
+
+        The agenda of a row holds the place of the pair that starts at each position. Every round
+        takes the best pair of each row, the leftmost among equals.
+        """
+        n, width = symbols.shape
+        pad = np.full((n, 1), self.pad, np.int32)
+        symbols = np.hstack([symbols, pad])
+        agenda = np.hstack([self.pair_piece(symbols[:, :-1], symbols[:, 1:])[1],
+                            np.full((n, 1), NO_PIECE, np.int32)])
+        after = np.tile(np.arange(1, width + 2, dtype=np.int32), (n, 1))
+        before = after - 2
+        done, rows = symbols, np.arange(n)
+        while len(rows):
+            i = agenda.argmin(axis=1)
+            r = np.flatnonzero(agenda[np.arange(len(i)), i] != NO_PIECE)
+            if len(r) < len(rows) // 2:  # go on with the rows that still have pairs
+                done[rows] = symbols
+                symbols, agenda, after, before, rows, i = (
+                    x[r] for x in (symbols, agenda, after, before, rows, i))
+                r = np.arange(len(rows))
+            i = i[r]
+            j = after[r, i]
+            k = after[r, j]
+            h = before[r, i]
+            new, _ = self.pair_piece(symbols[r, i], symbols[r, j])
+            symbols[r, i], symbols[r, j], agenda[r, j] = new, self.pad, NO_PIECE
+            after[r, i], before[r, k] = k, i
+            agenda[r, i] = self.pair_piece(new, symbols[r, k])[1]
+            agenda[r, h] = self.pair_piece(symbols[r, h], new)[1]  # h = -1 is the padding
+            if not len(r):
+                break
+        done[rows] = symbols
+        return done
+
+    def with_bytes(self, i: int) -> list[int]:
+        if i < self.pad:
+            return [i]
+        return [self.byte_ids[b] for b in chr(i - self.pad - 1).encode()]
+
+    def encode_cuts(self, cuts: list[str]) -> list[list[int]]:
+        """Ids of many cuts: short ones in matrices, by width; the rest one by one."""
+        out: list[list[int]] = [[]] * len(cuts)
+        sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        codes = np.frombuffer("".join(cuts).encode("utf-32-le"), np.uint32)
+        ids = np.append(self.characters[codes], np.int32(self.pad))
+        starts = np.cumsum(sizes) - sizes
+        least = 0
+        for width in WIDTHS:
+            fitting = np.flatnonzero((sizes > least) & (sizes <= width))
+            least = width
+            at = np.arange(width)
+            for first in range(0, len(fitting), MATRIX_ROWS):
+                rows = fitting[first:first + MATRIX_ROWS]
+                inside = at < sizes[rows, None]
+                symbols = ids[np.where(inside, starts[rows, None] + at, len(ids) - 1)]
+                merged = self.merge_matrix(symbols)
+                held = merged != self.pad
+                flat, ends = merged[held].tolist(), np.cumsum(held.sum(axis=1)).tolist()
+                start = 0
+                for row, end in zip(rows.tolist(), ends, strict=True):
+                    out[row] = flat[start:end]
+                    start = end
+                for row in rows[(merged > self.pad).any(axis=1)].tolist():
+                    out[row] = [b for i in out[row] for b in self.with_bytes(i)]
+        for row in np.flatnonzero(sizes > WIDTHS[-1]).tolist():
+            out[row] = self.encode_cut(cuts[row])
+        return out
+
     def encode_cut(self, text: str) -> list[int]:
         ids = []
         for part in self.merge(text):
@@ -101,19 +200,18 @@ class Vocabulary:
 
     def decode_pieces(self, ids: list[int]) -> str:
         """Surface of ids, without removing the leading space of a text."""
+        parts = [self.surfaces[i] for i in ids]
+        if None not in parts:
+            return "".join(parts)
         out, run = [], bytearray()
-        for i in ids:
-            if i in self.bytes:
+        for i, part in zip(ids, parts, strict=True):
+            if part is None:
                 run.append(self.bytes[i])
-                continue
-            if run:
+            else:
                 out.append(run.decode(errors="replace"))
                 run.clear()
-            if i in self.plain:
-                out.append(self.names[i])
-        if run:
-            out.append(run.decode(errors="replace"))
-        return "".join(out).replace(META, " ")
+                out.append(part)
+        return "".join(out) + run.decode(errors="replace")
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; control ids have no surface and one leading space is dropped."""
@@ -142,7 +240,7 @@ class Encoder:
         if not new:
             return
         v = self.vocabulary
-        own = [v.encode_cut(cut) for cut in new]
+        own = v.encode_cuts(new)
         # The library puts the leading meta space back itself.
         theirs = v.library.encode([cut[1:] for cut in new], num_threads=1)
         texts_back = v.library.decode(own, num_threads=1)
@@ -150,7 +248,7 @@ class Encoder:
             surface = v.decode_pieces(ids)
             if cut != META and ids != expected or surface.removeprefix(" ") != back:
                 raise ValueError(f"{cut[:80]!r}: ids {ids[:20]} differ from the library's {expected[:20]}")
-            self.kept[cut] = (ids, " ".join(map(str, ids)), surface)
+            self.kept[cut] = (ids, " ".join([v.numerals[i] for i in ids]), surface)
 
 
 def encode(
