@@ -6,6 +6,7 @@ from tidemark.llm import (
     language_zstd,
     lines,
     mixing,
+    nn_descent,
     pieces,
     quality_rules,
     recurrent_lm,
@@ -15,6 +16,7 @@ from tidemark.llm import (
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op3_line_dedup": lines.op3_line_dedup,
+    "op4_nn_descent": nn_descent.op4_nn_descent,
     "op5_recurrent_lm": recurrent_lm.op5_recurrent_lm,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op8_superminhash": superminhash.op8_superminhash,
