@@ -7,6 +7,7 @@ from tidemark.llm import (
     lines,
     mixing,
     nn_descent,
+    perspectives,
     pieces,
     quality_rules,
     recurrent_lm,
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_nn_descent": nn_descent.op4_nn_descent,
     "op5_recurrent_lm": recurrent_lm.op5_recurrent_lm,
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op7_perspectives": perspectives.op7_perspectives,
     "op8_superminhash": superminhash.op8_superminhash,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_language_zstd": language_zstd.op10_language_zstd,
@@ -26,4 +28,5 @@ QUERIES = {
 
 ORACLES = {
     "op3_line_dedup": lines.ORACLE,
+    "op7_perspectives": perspectives.ORACLE,
 }
