@@ -11,11 +11,13 @@ from tidemark.llm import (
     pieces,
     quality_rules,
     recurrent_lm,
+    secrets_forest,
     superminhash,
 )
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_secrets_forest": secrets_forest.op2_secrets_forest,
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_nn_descent": nn_descent.op4_nn_descent,
     "op5_recurrent_lm": recurrent_lm.op5_recurrent_lm,
