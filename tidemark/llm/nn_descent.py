@@ -287,6 +287,9 @@ def nearest_neighbours(
                    & (keyed["vec_id"] == heads["node"])).select("node", "vec").dropDuplicates(["node"]),
         "nodes")
     n = nodes.count()
+    if not n:
+        return index.sparkSession.createDataFrame(
+            [], "query_id long, rank int, vec_id long, score double")
     halves = saved(compact(nodes), "halves")
     graph = descend(halves, first_graph(halves, n), n)
     asked = valid_vectors(queries, id_col, vec_col).select(

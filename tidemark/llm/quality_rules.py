@@ -29,6 +29,7 @@ from tidemark.llm.common import read_table, small_batches
 from tidemark.llm.shingles import mix
 
 MOST_LABELLED = 20_000
+SPLITS = 8  # failed ones in a row that end the list
 SEED = 6
 SYMBOLS = b"#*$%&|<>"
 COUNTS = (
@@ -195,11 +196,15 @@ def learn_rules(
     precision: float = 0.9,
     least: int = 3,
 ) -> list[Rule]:
-    """Sequential covering: rules for ``bad`` rows, in order."""
+    """Sequential covering: rules for ``bad`` rows, in order.
+
+    If a rule is not precise enough, others are tried from new splits before the list ends.
+    """
     rules: list[Rule] = []
     rng = np.random.default_rng(SEED)
     left = np.ones(len(x), bool)
-    while len(rules) < most_rules and bad[left].sum() >= least:
+    failed = 0
+    while len(rules) < most_rules and bad[left].sum() >= least and failed < SPLITS:
         rows = rng.permutation(np.flatnonzero(left))
         grow, prune = rows[: len(rows) * 2 // 3], rows[len(rows) * 2 // 3:]
         rule, at = Rule(), grow
@@ -210,7 +215,7 @@ def learn_rules(
             rule.tests.append(test)
             at = grow[rule.covers(x[grow], names)]
 
-        def worth(tests) -> float:
+        def worth(tests, prune=prune) -> float:
             on = bad[prune[Rule(tests).covers(x[prune], names)]]
             return (2 * on.sum() - len(on)) / (len(on) + 1)
 
@@ -218,11 +223,13 @@ def learn_rules(
         if rule.tests:
             rule = Rule(rule.tests[:max(lengths, key=lambda k: worth(rule.tests[:k]))])
         covered = left & rule.covers(x, names)
-        p = (bad & covered).sum()
-        if not rule.tests or p < least or (p + 1) / (covered.sum() + 2) < min(precision, (p + 1) / (p + 2)):
-            break
-        rules.append(rule)
-        left &= ~covered
+        p, n = (bad & covered).sum(), covered.sum()
+        if rule.tests and p >= least and (p == n or (p + 1) / (n + 2) >= precision):
+            rules.append(rule)
+            left &= ~covered
+            failed = 0
+        else:
+            failed += 1
     return rules
 
 
