@@ -1,0 +1,78 @@
+import re
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tidemark.llm import quality_rules as q
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(zip(words, words[1:], words[2:], strict=False))
+    covered = {k + j for k in range(len(words) - 2) if windows[tuple(words[k:k + 3])] > 1 for j in range(3)}
+    seen, repeated = set(), 0
+    for line in text.split("\n"):
+        repeated += bool(WORD.search(line)) and line in seen
+        seen.add(line)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), repeated, len(covered))
+
+
+def test_counts_of_edges(docs_of, edge_rows):
+    rows = edge_rows + [(60, "a b c a b c a\n\n\nx\nx\n x\nx", "en", "s"), (61, "a a a a", "en", "s"), (62, "# | <>&", "en", "s")]
+    df = q.judged(docs_of(rows), [], "text", ["doc_id", "rule", "kept"], "__q_")
+    got = sorted(str((r.doc_id, *(r[f"__q_{c}"] for c in q.COUNTS[:5]))) for r in df.collect())
+    assert got == sorted(str((i, *counts(t))) for i, t, *_ in rows)
+
+
+def test_rules_are_found_pruned_and_ordered():
+    rng = np.random.default_rng(1)
+    x = rng.random((4000, 4))
+    bad = (x[:, 0] > 0.8) | ((x[:, 1] < 0.2) & (x[:, 2] > 0.5))
+    rules = q.learn_rules(x, bad, list("wxyz"))
+    verdict = np.zeros(len(x), bool)
+    for rule in rules:
+        verdict |= rule.covers(x, list("wxyz"))
+    assert len(rules) >= 2 and all(len(r.tests) <= 4 for r in rules)
+    assert (verdict == bad).mean() > 0.985
+    assert len(q.learn_rules(rng.random((400, 2)), rng.random(400) < 0.02, ["a", "b"])) <= 1
+
+
+def test_expression_is_ordered(spark):
+    rules = [q.Rule([("words", "<=", 3.0)]), q.Rule([("words", "<=", 5.0), ("mean_word", ">", 1.0)])]
+    df = spark.createDataFrame([(n, 2 * n, *[0] * (len(q.COUNTS) - 2)) for n in (2, 4, 9)],
+                               ", ".join(f"{c} long" for c in q.COUNTS))
+    assert [r[0] for r in df.select(q.verdict(rules)).collect()] == [1, 2, None]
+
+
+def test_keep_good_keeps_columns_and_rows(spark, docs_of, edge_rows):
+    labels = spark.createDataFrame(
+        [(100, 1, None), (101, None, 0), (None, 0, 0), (999, 0, 1)], "doc_id long, quality int, toxic int")
+    df = docs_of(edge_rows)
+    kept = q.keep_good(df, labels)  # one class only: the base rule alone
+    want = [str(i) for i, t, *_ in edge_rows
+            if (c := counts(t))[0] >= 50 and 100 * c[4] <= 50 * c[0]]
+    assert kept.columns == df.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(want)
+    assert q.keep_good(docs_of([]), labels).count() == 0
+    assert q.keep_good(df, labels.limit(0)).count() == len(want)
+
+
+def test_query_on_held_out_labels(spark):
+    """Rules learned from half of the labels judge the other half."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rules = q.fit(docs, labels.where("doc_id % 2 = 0"))
+    judged = q.judged(docs, rules, "text", ["doc_id"], "").join(
+        labels.where("doc_id % 2 = 1 AND quality IS NOT NULL").select("doc_id", "quality"), "doc_id")
+    judged = judged.where(~F.col("base_failed")).select("quality", "kept").collect()
+    assert sum(r.kept == (r.quality == 1) for r in judged) >= 0.95 * len(judged) > 0
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in q.op6_quality_rules(spark, sf).collect():
+        c = counts(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == c
+        assert r.base_failed == (c[0] < 50 or 100 * c[4] > 50 * c[0])
+        assert r.kept == (not r.base_failed and r.rule is None)
