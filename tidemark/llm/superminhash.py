@@ -8,12 +8,12 @@ or two rounds for all but short texts.
 
 Signatures are cut into bands. Documents with equal sets are one class. Classes that share a band
 are candidates. First every class is held against the smallest class of each band bucket, on full
-sets; union-find (large and small stars) joins what is linked. Then, only in buckets that
-still hold several components, the classes of different components are held against each other. Pairs
-inside a component need no look, so a bucket of thousands of copies costs one comparison each,
-and no link between components is lost: every pair of a bucket ends either compared or joined.
-Before sets are met, a pair is put aside if set sizes rule the link out, or if the signatures
-agree in far fewer slots than the threshold (``ESTIMATE_SIGMAS`` standard deviations).
+sets; union-find (large and small stars) joins what is linked. Then the classes of all buckets that
+still hold several components are met across components, by the rarest shingles of their sets
+(:func:`prefix_pairs`, which misses no link). Pairs inside a component need no look, so a bucket of
+thousands of copies costs one comparison each, and no link between components is lost.
+Before the sets of the first comparisons are met, a pair is put aside if set sizes rule the link out, or
+if the signatures agree in far fewer slots than the threshold (``ESTIMATE_SIGMAS`` standard deviations).
 
 The bands are chosen so that a pair at the threshold misses all of them with a probability of at
 most ``MISS``.
@@ -162,6 +162,75 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return saved(both.where(100 * common >= percent * union).select("a", "b").distinct(), "links")
 
 
+def prefix_pairs(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of (id, component) that may be linked, with different components.
+
+    Shingles are put in one order, rare ones first. Two linked sets share one among the first few of
+    both: where the first shared one stands at places i and j, at most ``1 + min(na - i, nb - j)`` are shared.
+    How many first ones are enough depends on both sizes, so entries are kept apart by the size
+    class of the smaller set. Under each shingle, entries of the largest component are only
+    met with those of others, never with each other.
+    """
+
+    def overlap(x: Column, y: Column) -> Column:
+        """Least number of shared shingles of linked sets of these sizes."""
+        return F.ceil(percent * (x + y) / (100 + percent))
+
+    step = 1.05
+    sizes = docs.groupBy("component").agg(F.count(F.lit(1)).alias("held"))
+    # texts that share an id are kept apart by ``part``
+    rows = docs.join(sizes, "component").join(sets, "id").withColumn("part", F.xxhash64("hashes"))
+    single = rows.select("id", "part", F.explode("hashes").alias("h"))
+    rare = single.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
+    ordered = single.join(rare, "h").groupBy("id", "part").agg(
+        F.sort_array(F.collect_list(F.struct("f", "h"))).alias("ordered"))
+    rows = saved(
+        rows.select("id", "part", "component", "held", F.size("hashes").alias("n"))
+        .join(ordered, ["id", "part"]), "ordered")
+    n = F.col("n")
+
+    def entries(first: Column, size_class: Column) -> DataFrame:
+        return (
+            rows.withColumn("c", size_class).withColumn("first", first)
+            .select("id", "component", "held", "n", "c",
+                    F.posexplode(F.slice("ordered", 1, F.col("first").cast("int"))).alias("i", "e"))
+            .where("e.f > 1")
+            .select("id", "component", "held", "n", "c", F.col("e.h").alias("h"), (F.col("i") + 1).alias("i"))
+        )
+
+    def class_of(size: Column) -> Column:
+        return F.floor(F.log(size.cast("double")) / float(np.log(step)) + 1e-9)
+
+    small = saved(entries(n - overlap(n, n) + 1, class_of(n)), "entries")
+    least = F.ceil(n * percent / 100)
+    lowest = F.greatest(least, F.floor(F.pow(F.lit(step), F.col("c")) - 1e-6))
+    large = saved(
+        entries(n - overlap(lowest, n) + 1,
+                F.explode(F.sequence(class_of(least) - 1, class_of(n) + 1))), "entries")
+    dropped(rows)
+    major = saved(
+        small.groupBy("h", "c").agg(F.max(F.struct("held", "component")).alias("m"))
+        .select("h", "c", F.col("m.component").alias("major")), "major")
+
+    def named(df: DataFrame, end: str, of_major: bool | None) -> DataFrame:
+        df = df.join(major, ["h", "c"])
+        if of_major is not None:
+            df = df.where((F.col("component") == F.col("major")) == of_major)
+        return df.select("h", "c", *(F.col(k).alias(f"{k}_{end}") for k in ("id", "component", "n", "i")))
+
+    possible = (
+        (F.col("component_x") != F.col("component_y")) & (F.col("n_x") <= F.col("n_y"))
+        & (1 + F.least(F.col("n_x") - F.col("i_x"), F.col("n_y") - F.col("i_y"))
+           >= overlap(F.col("n_x"), F.col("n_y")))
+    )
+    met = [
+        named(small, "x", mine).join(named(large, "y", theirs), ["h", "c"]).where(possible)
+        .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
+        for mine, theirs in ((False, None), (True, False))
+    ]
+    return met[0].union(met[1]).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable, by alternating large and small stars."""
     edges = saved(links.select("a", "b").where("a <> b").distinct(), "edges")
@@ -254,17 +323,11 @@ def near_duplicates(
     dropped(crowded)
     torn = labelled.groupBy("band", "key").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    torn = saved(labelled.join(torn.select("band", "key"), ["band", "key"]), "torn")
+    torn = labelled.join(torn.select("band", "key"), ["band", "key"])
+    torn = saved(torn.select("id", "component").distinct(), "torn")
     dropped(labelled)
-    left, right = (
-        torn.select("band", "key", F.col("id").alias(e), F.col("component").alias(f"c{e}"),
-                    F.col("size").alias(f"w{e}")) for e in "ab")
-    sizes = (F.least("wa", "wb") >= F.floor(F.greatest("wa", "wb") * similarity))
-    cross = (
-        left.join(right, ["band", "key"]).where((F.col("a") < F.col("b")) & sizes
-                                                & (F.col("ca") != F.col("cb")))
-        .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
-    more = verified(promising(cross), sets, percent)
+    cross = prefix_pairs(torn, sets, percent).join(stars, ["a", "b"], "left_anti")
+    more = verified(saved(cross, "pairs"), sets, percent)
     for table in (torn, sets, ones):
         dropped(table)
     if not more.isEmpty():
