@@ -124,14 +124,17 @@ WITH both_kinds AS (
   UNION ALL
   SELECT o_orderkey, '2', 'voucher', '1', '10.00' FROM orders WHERE o_orderkey % 7 = 0
 )
-SELECT k::VARCHAR AS order_id, payment_sequential, payment_type, payment_installments,
-       payment_value,
-       CASE WHEN k % 10 = 0 THEN {LIVE_TIME.format(h="k % 72")} ELSE {HISTORY_TIME} END AS _ingested_at,
-       CASE WHEN k % 10 = 0 THEN 'order_payments/order_payments_' || (k % 72) || '.jsonl'
-            ELSE 'order_payments.csv' END AS _source_file,
-       CASE WHEN k % 10 = 0 THEN 'live-' || (k % 72) ELSE 'history' END AS _batch_id,
-       CASE WHEN k % 10 = 0 THEN 'live' ELSE 'olist' END AS source_system
-FROM both_kinds"""
+SELECT k::VARCHAR AS order_id, payment_sequential,
+       CASE WHEN k % 40 = 0 THEN 'boleto' ELSE payment_type END AS payment_type,
+       payment_installments, CASE WHEN k % 40 = 0 THEN '1.00' ELSE payment_value END AS payment_value,
+       {HISTORY_TIME} AS _ingested_at, 'order_payments.csv' AS _source_file,
+       'history' AS _batch_id, 'olist' AS source_system
+FROM both_kinds WHERE k % 10 <> 0 OR k % 40 = 0
+UNION ALL
+SELECT k::VARCHAR, payment_sequential, payment_type, payment_installments, payment_value,
+       {LIVE_TIME.format(h="k % 72")}, 'order_payments/order_payments_' || (k % 72) || '.jsonl',
+       'live-' || (k % 72), 'live'
+FROM both_kinds WHERE k % 10 = 0"""
 
 CTES["b_customers"] = """
 SELECT 'c' || o_orderkey AS customer_id,

@@ -17,7 +17,7 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.operators.sample import sample_rows
 from tidemark.plans import checks, gold, item_fact, profile, silver
 from tidemark.session import prepare, scratch_dir
-from tidemark.sources import csv_history, landing, testbed
+from tidemark.sources import csv_history, files, landing, testbed
 from tidemark.sources.lake import Lake
 from tidemark.streaming import live
 from tidemark.warehouse import Warehouse
@@ -134,6 +134,23 @@ def dedupe_orders(spark, sf_dir):
     return latest_per_key(copies, C.ORDER_KEY).drop("source_file")
 
 
+@register("dedupe_payments", D.sql("""
+    SELECT order_id, payment_sequential::INT AS payment_sequential,
+           arg_max(payment_value, (_ingested_at, _source_file))::DOUBLE AS payment_value,
+           arg_max(source_system, (_ingested_at, _source_file)) AS source_system,
+           count(*) AS copies
+    FROM b_payments GROUP BY order_id, payment_sequential"""))
+def dedupe_payments(spark, sf_dir):
+    """Payments with the number of their copies: every fortieth order has two of each."""
+    b = testbed.bronze(spark, sf_dir)
+    raw = silver.union_sources(b["order_payments"], b["live_order_payments"], C.PAYMENT_COLUMNS)
+    copies = silver.clean_order_payments(raw)
+    counted = copies.groupBy(*C.PAYMENT_KEY).agg(F.count("*").alias("copies"))
+    return latest_per_key(copies, C.PAYMENT_KEY).select(
+        *C.PAYMENT_KEY, F.col("payment_value").cast("double").alias("payment_value"), "source_system"
+    ).join(counted, list(C.PAYMENT_KEY))
+
+
 @register("dedupe_items", D.sql("""
     SELECT order_id, order_item_id, arg_max(product_id, (_ingested_at, _source_file)) AS product_id,
            arg_max(price, (_ingested_at, _source_file)) AS price
@@ -279,6 +296,80 @@ def upsert_delete_insert(spark, sf_dir):
     return lake.read("gold", "fct_order_items").select(*item_fact.COLUMNS)
 
 
+_INSIDE, _OUTSIDE = "2024-01-03T11:30:00+00:00", "2024-01-03T10:30:00+00:00"
+_LATE = f"left(_ingested_at, 19)::TIMESTAMP > TIMESTAMP '{_MARK}'"
+_WINNER = """QUALIFY row_number() OVER (
+        PARTITION BY order_id, order_item_id ORDER BY _ingested_at DESC, _source_file DESC) = 1"""
+
+
+@register("increment_late_rows", D.sql(f"""
+    SELECT * FROM (WITH copies AS (
+      SELECT order_id, order_item_id::INT AS order_item_id, product_id, price::DOUBLE AS price,
+             {_LATE} AS late, _source_file,
+             CASE WHEN NOT {_LATE} THEN _ingested_at WHEN product_id::INT % 2 = 0 THEN '{_INSIDE}'
+                  ELSE '{_OUTSIDE}' END AS _ingested_at
+      FROM b_items
+    ), first_run AS (SELECT * FROM copies WHERE NOT late {_WINNER}
+    ), taken AS (
+      SELECT * FROM (SELECT * FROM copies {_WINNER})
+      WHERE left(_ingested_at, 19)::TIMESTAMP > TIMESTAMP '{_MARK}' - INTERVAL 1 HOUR
+    )
+    SELECT order_id, order_item_id, product_id, price, _ingested_at AS loaded FROM taken
+    UNION ALL
+    SELECT order_id, order_item_id, product_id, price, _ingested_at FROM first_run f
+    WHERE NOT EXISTS (SELECT 1 FROM taken t
+                      WHERE t.order_id = f.order_id AND t.order_item_id = f.order_item_id))"""))
+def increment_late_rows(spark, sf_dir):
+    """What came after noon arrives with older load times: half of it inside the lookback, half
+    outside. The former is taken and replaces returning keys, the latter is not seen."""
+    b = testbed.bronze(spark, sf_dir)
+    lake = Lake(spark, scratch_dir(spark, "late"))
+    time = F.col("_ingested_at").cast("timestamp")
+    noon = F.lit(f"{_MARK}+00:00").cast("timestamp")
+    live = b["live_order_items"]
+    shifted = F.when(time <= noon, F.col("_ingested_at")).otherwise(
+        F.when(F.col("product_id").cast("int") % 2 == 0, _INSIDE).otherwise(_OUTSIDE)
+    )
+    item_fact.update_item_fact(lake, b["order_items"], live.where(time <= noon), "run-1", buckets=4)
+    item_fact.update_item_fact(
+        lake, b["order_items"], live.withColumn("_ingested_at", shifted), "run-2", buckets=4
+    )
+    loaded = F.concat(F.date_format("ingested_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    return lake.read("gold", "fct_order_items").select(
+        "order_id", "order_item_id", "product_id", F.col("price").cast("double").alias("price"),
+        loaded.alias("loaded"),
+    )
+
+
+@register("landing_changed_files", D.sql("""
+    SELECT 'orders/orders_late_' || lpad((k % 3)::VARCHAR, 5, '0') || '.jsonl' AS source_file,
+           count(*) AS row_count, k % 3 = 1 AS changed
+    FROM b_orders WHERE source_system = 'live' GROUP BY ALL"""))
+def landing_changed_files(spark, sf_dir):
+    """Live orders in three files; one is written anew with its lines in another order, and the
+    comparison by content finds it. The log keeps the rows of the first load."""
+    root = scratch_dir(spark, "changed")
+    k = F.col("order_id").cast("long") % 3
+    rows = testbed.bronze(spark, sf_dir)["live_orders"].select(*C.ORDER_COLUMNS)
+
+    def put(n: int, order) -> None:
+        landing.export_landing(
+            rows.where(k == n).repartition(1).sortWithinPartitions(order), f"{root}/landing", "orders", f"late{n}")
+
+    lake = Lake(spark, f"{root}/lake")
+    for n in range(3):
+        put(n, F.col("order_id"))
+    landing.ingest_landing(lake, f"{root}/landing", "load-1")
+    files.delete(spark, f"{root}/landing/orders/orders_late1_00000.jsonl")
+    put(1, F.desc("order_id"))
+    listing = landing.list_landing(spark, f"{root}/landing", "orders")
+    now = landing.fingerprints(spark, listing, "orders").withColumnRenamed("file_sha256", "now")
+    return landing.ingestion_log(lake).join(now, "source_file").select(
+        F.regexp_replace("source_file", "late(.)_00000", "late_0000$1").alias("source_file"),
+        F.col("row_count").cast("long").alias("row_count"), (F.col("now") != F.col("file_sha256")).alias("changed"),
+    )
+
+
 register("fct_order_items", D.sql(f"SELECT {_FACT_COLUMNS} FROM stg_order_items"))(
     lambda spark, sf_dir: item_fact.fact_rows(
         warehouse(spark, sf_dir).silver("stg_order_items")
@@ -396,7 +487,7 @@ def landing_exactly_once(spark, sf_dir):
 def ingest_classify_files(spark, sf_dir):
     """Live order files against a log that ends with the second day, when files were still
     being completed."""
-    files = (
+    listed = (
         testbed.bronze(spark, sf_dir)["live_orders"]
         .groupBy(F.col("_source_file").alias("source_file"))
         .agg(
@@ -406,13 +497,13 @@ def ingest_classify_files(spark, sf_dir):
         .withColumn("path", F.col("source_file"))
     )
     day_two, day_three = _moment("2024-01-03 00:00:00"), _moment("2024-01-04 00:00:00")
-    log = files.where(F.col("modified_at") < day_three).select(
+    log = listed.where(F.col("modified_at") < day_three).select(
         "source_file",
         F.lit("0" * 64).alias("file_sha256"),
         (F.col("file_length") - (F.col("modified_at") >= day_two).cast("int")).alias("file_length"),
         "modified_at",
     )
-    return landing.classify(files, log).select("source_file", "file_length", "status")
+    return landing.classify(listed, log, rehash_known=False).select("source_file", "file_length", "status")
 
 
 @register("stream_landing_to_silver", D.relation("stg_orders", drop="ingested_at source_file batch_id"))

@@ -1,11 +1,14 @@
+import datetime as dt
 import json
+import logging
+import os
 
 import pytest
 
 from tidemark.operators.history import read_history
 from tidemark.operators.quality import ChecksFailed
 from tidemark.plans import pipeline
-from tidemark.sources import landing
+from tidemark.sources import files, landing
 from tidemark.sources.landing import ingest_landing
 from tidemark.streaming import live
 
@@ -130,3 +133,84 @@ def test_stream_is_exactly_once(lake, tmp_path, bronze_rows):
     # A lost checkpoint announces every file again; the log keeps them from loading twice.
     assert run("c2") == expected
     assert landing.live_table(lake, "orders").count() == 3
+
+
+def stream(lake, zone, checkpoint):
+    live.stream_landing(
+        lake, str(zone), "orders", str(checkpoint), files_per_batch=1, upsert_buckets=2
+    ).awaitTermination()
+    return {r.order_id: r.order_status
+            for r in lake.read("silver", live.current_table("orders")).collect()}
+
+
+def test_stream_takes_old_empty_changed_and_bad_files(lake, tmp_path, bronze_rows, caplog):
+    zone = tmp_path / "landing"
+    lake.replace("bronze", "orders", bronze_rows("orders", {"order_id": "1"}), "h")
+    put(zone / "orders", "a.jsonl", {"order_id": "2", "order_status": "created"})
+    assert set(stream(lake, zone, tmp_path / "c")) == {"1", "2"}
+    put(zone / "orders", "old.jsonl", {"order_id": "3", "order_status": "created"})
+    os.utime(zone / "orders" / "old.jsonl", (0, 0))
+    (zone / "orders" / "empty.jsonl").touch()
+    (zone / "orders" / "bad.jsonl").write_text("oops\n")
+    put(zone / "orders", "a.jsonl", {"order_id": "2", "order_status": "shipped"})
+    with caplog.at_level(logging.WARNING):
+        got = stream(lake, zone, tmp_path / "c")
+    assert got == {"1": None, "2": "created", "3": "created"}
+    assert "changed after it was loaded" in caplog.text
+    files = {r.source_file: r.row_count for r in landing.ingestion_log(lake).collect()}
+    assert files == {"orders/a.jsonl": 1, "orders/old.jsonl": 1, "orders/empty.jsonl": 0}
+    problems = [r.problem for r in lake.read("bronze", live.PROBLEM_TABLE).collect()]
+    assert problems and all("bad.jsonl: invalid JSON on line 1" in p for p in problems)
+    put(zone / "orders", "later.jsonl", {"order_id": "4", "order_status": "created"})
+    assert set(stream(lake, zone, tmp_path / "c")) == {"1", "2", "3", "4"}
+
+
+def test_history_reload_rebuilds_and_empty_loads_are_seen_once(lake, tmp_path, bronze_rows):
+    zone = tmp_path / "landing"
+    rows = bronze_rows("orders", {"order_id": "1"}, {"order_id": "2"})
+    lake.replace("bronze", "orders", rows, "h1")
+    put(zone / "orders", "a.jsonl", {"order_id": "3"})
+    assert set(stream(lake, zone, tmp_path / "c")) == {"1", "2", "3"}
+    lake.replace("bronze", "orders", bronze_rows("orders", {"order_id": "2"}), "h2")
+    assert live.catch_up(lake, "orders", 2) == ["orders-h2"]
+    table = live.current_table("orders")
+    assert {r.order_id for r in lake.read("silver", table).collect()} == {"2", "3"}
+    empty = landing.live_table(lake, "orders").limit(0)
+    lake.commit(lake.stage("bronze", "live_orders", empty, "nothing", "append"))
+    assert live.catch_up(lake, "orders", 2) == ["live_orders-nothing"]
+    assert live.catch_up(lake, "orders", 2) == []
+
+
+def test_item_fact_opens_new_loads_only_and_survives_compaction(lake, bronze_rows):
+    def load(table, mode, version, *rows):
+        at = rows[0]["_ingested_at"]
+        lake.commit(lake.stage("bronze", table, bronze_rows(table, *rows), version, mode,
+                               loaded_at=dt.datetime.fromisoformat(at)))
+
+    def item(order_id, price, at):
+        return {"order_id": order_id, "order_item_id": "1", "price": price, "freight_value": "1",
+                "_ingested_at": at}
+
+    def prices():
+        return {r.order_id: str(r.price) for r in lake.read("gold", "fct_order_items").collect()}
+
+    load("order_items", "replace", "h", item("1", "5", "2024-01-01T00:00:00+00:00"),
+         item("2", "6", "2024-01-01T00:00:00+00:00"))
+    pipeline.refresh_item_fact(lake, "r1", 4)
+    assert pipeline.refresh_item_fact(lake, "r2", 4, lookback_hours=0) == {
+        "parts": 0, "rows_written": 0}
+    load("live_order_items", "append", "l1", item("2", "7", "2024-01-02T00:00:00+00:00"))
+    lake.compact("gold", "fct_order_items", "packed")
+    assert prices() == {"1": "5.00", "2": "6.00"}
+    files.delete(lake.spark, f"{lake.table_path('bronze', 'order_items')}/version=h")  # not opened
+    assert pipeline.refresh_item_fact(lake, "r3", 4, lookback_hours=0)["rows_written"] >= 1
+    assert prices() == {"1": "5.00", "2": "7.00"}
+
+
+def test_rebuild_of_the_item_fact(lake, bronze_rows):
+    rows = {"order_id": "1", "order_item_id": "1", "price": "5", "freight_value": "1"}
+    lake.replace("bronze", "order_items", bronze_rows("order_items", rows), "h1")
+    pipeline.refresh_item_fact(lake, "r1", 4)
+    lake.replace("bronze", "order_items", bronze_rows("order_items", {**rows, "order_id": "9"}), "h2")
+    pipeline.refresh_item_fact(lake, "r2", 4, rebuild=True)
+    assert [r.order_id for r in lake.read("gold", "fct_order_items").collect()] == ["9"]

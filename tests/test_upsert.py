@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.joins import broadcast_if_small
 from tidemark.operators.upsert import (
-    after_mark, delete_insert, newest_day_parts, part_of, parts_with, touched_copies, write_keyed,
+    after_mark, delete_insert, newest_day_parts, part_of, newest_after, parts_with, write_keyed,
 )
 from tidemark.plans import item_fact
 
@@ -38,7 +38,7 @@ def test_no_mark_takes_everything_dated(bronze_rows):
     assert {r.order_id for r in got.collect()} == {"a"}
 
 
-def test_touched_copies_equal_a_full_dedupe(spark):
+def test_filter_before_dedupe_equals_a_full_dedupe(spark):
     rnd = random.Random(3)
     rows = [
         (rnd.randrange(400), rnd.choice([None, 1, 2]),
@@ -50,7 +50,7 @@ def test_touched_copies_equal_a_full_dedupe(spark):
         mark = F.lit(T0 + dt.timedelta(hours=hours))
         new = after_mark(F.col("ingested_at"), mark, 1)
         full = latest_per_key(copies, ["a", "b"]).where(new)
-        short = latest_per_key(touched_copies(copies, ["a", "b"], mark), ["a", "b"]).where(new)
+        short = newest_after(copies, ["a", "b"], mark)
         assert full.exceptAll(short).isEmpty() and short.exceptAll(full).isEmpty()
 
 

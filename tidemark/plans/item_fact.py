@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import config as C
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.upsert import (
-    after_mark, newest_day_parts, touched_copies, write_keyed,
+    after_mark, newest_after, newest_day_parts, write_keyed,
 )
 from tidemark.plans.silver import clean_order_items, finish_order_items, union_sources
 from tidemark.sources.lake import Lake, TableState
@@ -34,14 +32,13 @@ def increment(
     live: DataFrame,
     mark: Column,
     lookback_hours: int = C.LOOKBACK_HOURS,
-    recent: DataFrame | None = None,
 ) -> DataFrame:
-    """Silver items loaded after the mark minus the lookback, from the bronze copies."""
+    """Silver items loaded after the mark minus the lookback, from the bronze copies.
+
+    Only copies loaded since then (or without a load time) have to be given.
+    """
     copies = clean_order_items(union_sources(history, live, C.ITEM_COLUMNS))
-    touched = touched_copies(copies, C.ITEM_KEY, mark, lookback_hours, recent)
-    return finish_order_items(latest_per_key(touched, C.ITEM_KEY)).where(
-        after_mark(F.col("ingested_at"), mark, lookback_hours)
-    )
+    return finish_order_items(newest_after(copies, C.ITEM_KEY, mark, lookback_hours))
 
 
 def load_mark(state: TableState) -> dt.datetime | None:
@@ -50,9 +47,17 @@ def load_mark(state: TableState) -> dt.datetime | None:
     if not parts:
         return None
     newest = state.read(parts=parts).agg(F.unix_micros(F.max("ingested_at"))).first()[0]
+    if newest is None:
+        return None
     return dt.datetime.fromtimestamp(0, dt.timezone.utc) + dt.timedelta(microseconds=newest)
 
 
+def next_start(lake: Lake, lookback_hours: int = C.LOOKBACK_HOURS) -> dt.datetime | None:
+    """Rows loaded up to this moment are of no use to the next run; None: all are needed."""
+    newest = load_mark(lake.state(LAYER, TABLE))
+    return None if newest is None else newest - dt.timedelta(hours=lookback_hours)
+
+
 def update_item_fact(
     lake: Lake,
     history: DataFrame,
@@ -60,28 +65,22 @@ def update_item_fact(
     run_id: str,
     buckets: int = 16,
     lookback_hours: int = C.LOOKBACK_HOURS,
-    loaded_since: Callable[[dt.datetime], tuple[DataFrame, DataFrame]] | None = None,
+    rebuild: bool = False,
 ) -> dict[str, int]:
-    """One run from the bronze copies. The first builds the whole table; later ones take only
-    newer rows, and deduplicate only the keys those belong to.
+    """One run from the bronze copies. The first (or ``rebuild``) builds the whole table; later
+    ones take only newer rows, and need only be given copies loaded since :func:`next_start`.
 
     ``buckets`` is the number of hash parts per load day: choose it so that one part of a
-    full-history load stays around a gigabyte or two. ``loaded_since`` may give the part of
-    (history, live) that can hold rows loaded after a moment, to save a scan of all copies.
+    full-history load stays around a gigabyte or two.
     """
     state = lake.state(LAYER, TABLE)
-    if state.exists:
-        newest = load_mark(state)
-        mark = F.lit(newest).cast("timestamp")
-        recent = None
-        if loaded_since is not None and newest is not None:
-            sides = loaded_since(newest - dt.timedelta(hours=lookback_hours))
-            recent = clean_order_items(union_sources(*sides, C.ITEM_COLUMNS))
-        items = increment(history, live, mark, lookback_hours, recent)
+    if state.parts and not rebuild:
+        mark = F.lit(load_mark(state)).cast("timestamp")
+        items = increment(history, live, mark, lookback_hours)
     else:
         copies = clean_order_items(union_sources(history, live, C.ITEM_COLUMNS))
         items = finish_order_items(latest_per_key(copies, C.ITEM_KEY))
-    return _store(lake, items, run_id, buckets)
+    return _store(lake, items, run_id, buckets, rebuild)
 
 
 def update_item_fact_from_silver(
@@ -90,17 +89,21 @@ def update_item_fact_from_silver(
     run_id: str,
     buckets: int = 16,
     lookback_hours: int = C.LOOKBACK_HOURS,
+    rebuild: bool = False,
 ) -> dict[str, int]:
     """The same from silver rows that were just written: the load-time filter reaches their
     files, and nothing is deduplicated again."""
     state = lake.state(LAYER, TABLE)
-    if state.exists:
+    if state.parts and not rebuild:
         mark = F.lit(load_mark(state)).cast("timestamp")
         items = items.where(after_mark(F.col("ingested_at"), mark, lookback_hours))
-    return _store(lake, items, run_id, buckets)
+    return _store(lake, items, run_id, buckets, rebuild)
 
 
-def _store(lake: Lake, items: DataFrame, run_id: str, buckets: int) -> dict[str, int]:
+def _store(
+    lake: Lake, items: DataFrame, run_id: str, buckets: int, rebuild: bool
+) -> dict[str, int]:
     return write_keyed(
-        lake, LAYER, TABLE, fact_rows(items), C.ITEM_KEY, run_id, buckets, period="ingested_at"
+        lake, LAYER, TABLE, fact_rows(items), C.ITEM_KEY, run_id, buckets, period="ingested_at",
+        rebuild=rebuild,
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +15,10 @@ from tidemark.operators.history import update_history
 from tidemark.operators.quality import run_checks
 from tidemark.plans import gold
 from tidemark.plans.checks import build_suite
-from tidemark.plans.item_fact import update_item_fact, update_item_fact_from_silver
-from tidemark.plans.silver import SILVER
+from tidemark.plans.item_fact import (
+    next_start, update_item_fact, update_item_fact_from_silver,
+)
+from tidemark.plans.silver import SILVER, silver_relations
 from tidemark.session import prepare
 from tidemark.sources.csv_history import load_history
 from tidemark.sources.lake import Lake
@@ -32,22 +35,31 @@ def bronze(lake: Lake, name: str, newer_than: dt.datetime | None = None) -> Data
     columns = (*C.BRONZE_COLUMNS[name], *C.LINEAGE)
     schema = StructType([StructField(c, StringType()) for c in columns])
     state = lake.state("bronze", name)
-    if name.startswith("live_"):
+    if name.startswith("live_") or newer_than is not None:
         return state.read(schema, newer_than=newer_than)
-    return state.read(newer_than=newer_than).select(*columns)
+    return state.read().select(*columns)
 
 
-def build_silver(lake: Lake, run_id: str) -> None:
+def build_silver(
+    lake: Lake, run_id: str, payment_types: Sequence[str] = C.ACCEPTED_PAYMENT_TYPES
+) -> None:
     """Write every silver relation once; gold, checks and history read it several times.
     The layer is switched over as a whole."""
     sources = {name: bronze(lake, name) for name in C.BRONZE_COLUMNS}
+    relations = silver_relations(payment_types)
     changes = []
-    for name, build in SILVER.items():
+    for name, build in relations.items():
         changes += lake.stage("silver", name, build(sources), run_id, "replace")
     lake.commit(changes)
 
 
-def build_gold(lake: Lake, run_id: str, item_buckets: int = 16) -> None:
+def build_gold(
+    lake: Lake,
+    run_id: str,
+    item_buckets: int = 16,
+    lookback_hours: int = C.LOOKBACK_HOURS,
+    rebuild_items: bool = False,
+) -> None:
     """Rebuild the gold tables and switch them over together; the item fact, which takes only
     what is new, follows."""
     s = {name: lake.read("silver", name) for name in SILVER}
@@ -67,17 +79,27 @@ def build_gold(lake: Lake, run_id: str, item_buckets: int = 16) -> None:
         s["stg_order_items"], fct, products
     ))
     lake.commit(changes)
-    update_item_fact_from_silver(lake, s["stg_order_items"], run_id, item_buckets)
+    update_item_fact_from_silver(
+        lake, s["stg_order_items"], run_id, item_buckets, lookback_hours, rebuild_items
+    )
 
 
-def refresh_item_fact(lake: Lake, run_id: str, item_buckets: int = 16) -> dict[str, int]:
+def refresh_item_fact(
+    lake: Lake,
+    run_id: str,
+    item_buckets: int = 16,
+    lookback_hours: int = C.LOOKBACK_HOURS,
+    rebuild: bool = False,
+) -> dict[str, int]:
     """Extend the item fact by what was loaded since, without rebuilding silver: the job to
-    run after each landing load."""
+    run after each landing load. Only loads newer than the fact are opened."""
+    sides = ("order_items", "live_order_items")
+    start = None if rebuild else next_start(lake, lookback_hours)
+    if start is not None and not any(lake.has_newer("bronze", name, start) for name in sides):
+        return {"parts": 0, "rows_written": 0}
     return update_item_fact(
-        lake, bronze(lake, "order_items"), bronze(lake, "live_order_items"), run_id, item_buckets,
-        loaded_since=lambda start: (
-            bronze(lake, "order_items", start), bronze(lake, "live_order_items", start)
-        ),
+        lake, *(bronze(lake, name, start) for name in sides), run_id, item_buckets,
+        lookback_hours, rebuild,
     )
 
 
@@ -100,9 +122,16 @@ def run(
     run_id: str | None = None,
     item_buckets: int = 16,
     raise_on_error: bool = True,
+    lookback_hours: int = C.LOOKBACK_HOURS,
+    payment_types: Sequence[str] = C.ACCEPTED_PAYMENT_TYPES,
+    trust_file_times: bool = False,
+    rebuild_items: bool = False,
 ) -> DataFrame:
     """Load what is given, rebuild silver and gold, extend the history, run the checks.
 
+    ``trust_file_times`` takes known landing files of unchanged length and modification time as
+    unchanged instead of comparing their content; ``rebuild_items`` builds the item fact anew.
+
     Returns the check results. Every table is switched over only when it is complete, so a
     run that dies half-way leaves readable tables and can be started again.
     """
@@ -112,9 +141,9 @@ def run(
     if raw_dir is not None:
         load_history(lake, raw_dir, run_id)
     if landing_dir is not None:
-        ingest_landing(lake, landing_dir, run_id)
-    build_silver(lake, run_id)
-    build_gold(lake, run_id, item_buckets)
+        ingest_landing(lake, landing_dir, run_id, rehash_known=not trust_file_times)
+    build_silver(lake, run_id, payment_types)
+    build_gold(lake, run_id, item_buckets, lookback_hours, rebuild_items)
     now = F.lit(dt.datetime.now(dt.timezone.utc))
     update_history(
         lake, "snap_customers", lake.read("silver", "stg_customers"), "customer_id",

@@ -173,6 +173,18 @@ def stg_products(products: DataFrame, translations: DataFrame) -> DataFrame:
     })
 
 
+def silver_relations(
+    payment_types: Sequence[str] = C.ACCEPTED_PAYMENT_TYPES,
+) -> dict[str, Callable[[Bronze], DataFrame]]:
+    """Every silver relation as a function of the bronze tables."""
+    return {
+        **SILVER,
+        "stg_order_payments": lambda b: stg_order_payments(
+            b["order_payments"], b["live_order_payments"], payment_types
+        ),
+    }
+
+
 SILVER: dict[str, Callable[[Bronze], DataFrame]] = {
     "stg_orders": lambda b: stg_orders(b["orders"], b["live_orders"]),
     "stg_order_items": lambda b: stg_order_items(b["order_items"], b["live_order_items"]),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import io
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,6 @@ from tidemark.sources import files
 from tidemark.sources.lake import Lake
 
 _OVERFLOW = "_overflow"
-ONE_TASK_BYTES = 128 << 20
 
 
 def spans_lines(spark: SparkSession, path: str) -> bool:
@@ -30,16 +31,13 @@ def spans_lines(spark: SparkSession, path: str) -> bool:
     return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
 
 
-def largest_file_bytes(spark: SparkSession, path: str) -> int:
-    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
-
-
 def logical_records(spark: SparkSession, path: str) -> DataFrame:
     """(record, is_header) of every CSV record, put together from physical lines in parallel.
 
     A line starts a record if the quotes before it in the file are even in number. Within a
     block of the file that is a running sum; what earlier blocks add is a running sum over one
-    row per block. Only the lines of records that span lines are grouped.
+    row per block. Only the lines of records that span lines are grouped. The header is the
+    first record of a file that is not blank, whether or not it spans lines.
     """
     value = F.col("value")
     quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
@@ -63,7 +61,6 @@ def logical_records(spark: SparkSession, path: str) -> DataFrame:
     )
     placed = (
         lines.withColumn("_before", before)
-        .withColumn("_nth", F.row_number().over(in_block))
         .join(parity, ["file", "block"])
         .withColumn("inside", (F.col("_before") + F.col("odd_before")) % 2)
     )
@@ -78,7 +75,7 @@ def logical_records(spark: SparkSession, path: str) -> DataFrame:
     )
     single = (F.col("inside") == 0) & (F.col("odd") == 0)
     whole = placed.where(single).select(
-        value.alias("record"), ((F.col("block") == 0) & (F.col("_nth") == 1)).alias("is_header")
+        "file", F.struct("block", "id").alias("at"), value.alias("record")
     )
     piece = F.struct("block", "id", "value")
     joined = (
@@ -88,11 +85,20 @@ def logical_records(spark: SparkSession, path: str) -> DataFrame:
         .groupBy("file", F.coalesce("own_start", "carried_start").alias("start"))
         .agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
         .select(
-            F.array_join(F.col("pieces.value"), "\n").alias("record"), F.lit(False).alias("is_header")
+            "file", F.struct(F.col("pieces")[0]["block"], F.col("pieces")[0]["id"]).alias("at"),
+            F.array_join(F.col("pieces.value"), "\n").alias("record"),
         )
     )
-    carriage_return = F.regexp_replace("record", "\r$", "")
-    return whole.unionByName(joined).withColumn("record", carriage_return)
+    records = whole.unionByName(joined).withColumn("record", F.regexp_replace("record", "\r$", ""))
+    first = records.where(~_blank("record")).groupBy("file").agg(F.min("at").alias("first"))
+    return records.join(first, "file", "left").select(
+        "record", F.col("at").eqNullSafe(F.col("first")).alias("is_header")
+    )
+
+
+def _blank(record: str):
+    """Blank lines are no records; a quoted empty cell is one."""
+    return F.trim(record) == ""
 
 
 def require_closed_quotes(spark: SparkSession, path: str) -> None:
@@ -104,28 +110,33 @@ def require_closed_quotes(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{broken.file}: a quoted cell is never closed")
 
 
-def read_csv_text(spark: SparkSession, path: str, one_task_bytes: int = ONE_TASK_BYTES) -> DataFrame:
+def _all_text(names: list[str]) -> StructType:
+    return StructType([StructField(n, StringType()) for n in (*names, _OVERFLOW)])
+
+
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file (or folder of files) with all columns as text.
 
     Column names come from the header. Empty cells, quoted or not, are NULL; ``NA`` stays
     text; a byte-order mark is dropped; doubled quotes are one quote; short rows are filled
-    with NULL and rows with too many cells raise. Files without line breaks inside cells are
-    split among tasks by Spark's reader. With such breaks that reader takes a whole file per
-    task, so it is used for files of one split at most; the records of larger ones are put
-    together in parallel first.
+    with NULL and rows with too many cells raise. Blank lines between records are skipped, line
+    breaks inside cells kept as they are. Files without line breaks inside cells are split
+    among tasks by Spark's reader; with such breaks that reader would take a whole file per task,
+    so the records are put together in parallel first, whatever the size.
     """
-    multi_line = spans_lines(spark, path)
     options = {"quote": '"', "escape": '"'}
-    reader = spark.read.options(header=True, multiLine=multi_line, **options)
-    names = reader.csv(path).columns
-    schema = StructType([StructField(n, StringType()) for n in (*names, _OVERFLOW)])
-    if multi_line and largest_file_bytes(spark, path) > one_task_bytes:
+    if spans_lines(spark, path):
         require_closed_quotes(spark, path)
-        records = logical_records(spark, path).where(~F.col("is_header") & (F.trim("record") != ""))
-        cells = F.from_csv("record", schema.toDDL(), options).alias("cells")
+        records = logical_records(spark, path)
+        header = records.where("is_header").select(F.min("record")).first()[0] or ""
+        names = [n or f"_c{i}" for i, n in enumerate(next(csv.reader(io.StringIO(header, newline="")), []))]
+        records = records.where(~F.col("is_header") & ~_blank("record"))
+        cells = F.from_csv("record", _all_text(names).toDDL(), options).alias("cells")
         raw = records.select(cells).select("cells.*")
     else:
-        raw = reader.schema(schema).csv(path)
+        reader = spark.read.options(header=True, **options)
+        names = reader.csv(path).columns
+        raw = reader.schema(_all_text(names)).csv(path)
     first = F.when(
         F.col(_OVERFLOW).isNotNull(),
         F.raise_error(F.concat(F.lit(f"{path}: row with too many cells near "), F.col(names[0]))),

@@ -103,6 +103,8 @@ class TableState:
             and (start is None or e.loaded is None or e.loaded > start)
         ]
         reader = spark.read if schema is None else spark.read.schema(schema)
+        if not paths and schema is not None:
+            return spark.createDataFrame([], schema)
         if not paths:
             return reader.parquet(f"{root}/version={self.entries[-1].version}").drop("part").limit(0)
         return reader.parquet(*paths)
@@ -157,6 +159,11 @@ class Lake:
         own = self._own_commits(layer, table)
         return {r.version for r in own.select("version").distinct().collect()}
 
+    def has_newer(self, layer: str, table: str, moment: dt.datetime) -> bool:
+        """Whether some version of the table may hold rows loaded after a moment."""
+        start = int(moment.timestamp() * 1_000_000)
+        return any(e.loaded is None or e.loaded > start for e in self.state(layer, table).entries)
+
     def row_counts(self, layer: str) -> dict[str, int]:
         """Table -> rows of its last full version, for all tables of a layer."""
         own = self.commits().where((F.col("layer") == layer) & (F.col("mode") == "replace"))
@@ -166,6 +173,9 @@ class Lake:
     def read_version(self, layer: str, table: str, version: str) -> DataFrame:
         return self.spark.read.parquet(self._version_path(layer, table, version))
 
+    def read_versions(self, layer: str, table: str, versions: list[str]) -> DataFrame:
+        return self.spark.read.parquet(*(self._version_path(layer, table, v) for v in versions))
+
     def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
         """The committed rows. ``schema`` stands in when the table was never written."""
         return self.state(layer, table).read(schema)
@@ -243,8 +253,15 @@ class Lake:
         return changes[0].row_count
 
     def compact(self, layer: str, table: str, version: str) -> int:
-        """Rewrite a table of many small appended loads as one version of well-sized files."""
+        """Rewrite a table of many small appended loads as one version of well-sized files. A
+        table of parts keeps its parts."""
         state = self.state(layer, table)
+        if any(state.parts):
+            part = F.regexp_extract(F.col("_metadata.file_path"), "part=([^/]+)/", 1)
+            rows = state.read().withColumn("part", part).hint("rebalance", "part")
+            changes = self.stage(layer, table, rows, version, "replace", by_part=True)
+            self.commit(changes)
+            return sum(c.row_count for c in changes)
         times = [e.loaded for e in state.entries]
         latest = None
         if times and None not in times:

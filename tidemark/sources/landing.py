@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -31,10 +33,6 @@ LISTING_SCHEMA = (
 # SHA-256 of no bytes: a fixed value.
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
-# A file hashed as one binary value must fit in an executor row; larger ones are
-# fingerprinted line by line.
-LARGEST_HASHED_WHOLE = 256 << 20
-
 
 def landing_schema(entity: str, columns: Sequence[str] | None = None) -> StructType:
     names = columns or C.BRONZE_COLUMNS[C.LANDING_TABLES[entity]]
@@ -48,6 +46,11 @@ def _file_name(path: Column) -> Column:
     return F.regexp_extract(path, "[^/]+$", 0)
 
 
+def _decoded(name: Column) -> Column:
+    """Metadata columns and ``inputFiles`` escape characters; the log and listings do not."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def list_landing(spark: SparkSession, landing_dir: str, entity: str) -> DataFrame:
     """Complete files of one entity: ``*.jsonl``, never ``*.jsonl.tmp``. Reads no content.
 
@@ -67,7 +70,7 @@ def list_landing(spark: SparkSession, landing_dir: str, entity: str) -> DataFram
     if len(paths) == seen.count():
         return seen
     listed = spark.createDataFrame([(p,) for p in paths], "path string").select(
-        F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path")
+        _decoded(F.col("path")).alias("path")
     )
     plain = F.regexp_replace("path", "^file:/+", "file:/")
     empty = (
@@ -82,12 +85,12 @@ def list_landing(spark: SparkSession, landing_dir: str, entity: str) -> DataFram
     return seen.unionByName(empty)
 
 
-def classify(listing: DataFrame, loaded: DataFrame, rehash_known: bool = False) -> DataFrame:
+def classify(listing: DataFrame, loaded: DataFrame, rehash_known: bool = True) -> DataFrame:
     """Compare a listing with the ingestion log.
 
     ``status`` is ``new`` (not in the log), ``known`` (in the log with the same length and
     modification time) or ``check`` (in the log, but the content has to be compared). With
-    ``rehash_known`` every known file is compared by content.
+    ``rehash_known``, the default, every known file is compared by content.
     """
     logged = loaded.select(
         "source_file",
@@ -116,42 +119,65 @@ def _paths(listing: DataFrame, condition: Column) -> list[str]:
 
 
 def fingerprints(spark: SparkSession, listing: DataFrame, entity: str) -> DataFrame:
-    """(source_file, file_sha256) of the listed files, computed on the executors.
+    """(source_file, file_sha256) of the listed files: SHA-256 of their bytes, whatever their
+    size, computed on the executors in constant memory.
 
-    Files too large for one row get a fingerprint of their lines instead: line count and two
-    independent hash sums, then SHA-256 of those. It is marked by a prefix and, like the
-    content it stands for, does not depend on how the file is split.
+    The lines of a file are brought together in their order and fed to one running digest. The
+    text reader leaves out a byte-order mark and does not tell whether the last line ends; both follow
+    from the length of the file.
     """
     listing = listing.select("path", "source_file", "file_length")
-    length = F.col("file_length")
-    result = listing.where(length == 0).select(
-        "source_file", F.lit(EMPTY_SHA256).alias("file_sha256")
+    empty = F.col("file_length") == 0
+    result = listing.where(empty).select("source_file", F.lit(EMPTY_SHA256).alias("file_sha256"))
+    paths = _paths(listing, ~empty)
+    if not paths:
+        return result
+    lines = spark.read.text(paths, lineSep="\n").select(
+        F.concat(F.lit(f"{entity}/"), _decoded(F.col("_metadata.file_name"))).alias("source_file"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        F.col("value").cast("binary").alias("line"),
+    )
+    in_order = lines.repartition("source_file").sortWithinPartitions("source_file", "block", "id")
+    digests = in_order.select("source_file", "size", "line").mapInArrow(
+        _line_digests(), "source_file string, file_sha256 string"
     )
-    whole = _paths(listing, (length > 0) & (length <= LARGEST_HASHED_WHOLE))
-    if whole:
-        result = result.unionByName(
-            spark.read.format("binaryFile").load(whole).select(
-                F.concat(F.lit(f"{entity}/"), _file_name(F.col("path"))).alias("source_file"),
-                F.sha2("content", 256).alias("file_sha256"),
+    return result.unionByName(digests)
+
+
+def _line_digests():
+    """Digests of files whose lines come one after the other, in order. (A closure, so that
+    executors need no copy of this package.)"""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, size, length, plain, marked = None, 0, 0, None, None
+
+        def result() -> pa.RecordBatch:
+            # ``length`` counts an end for every line but the last
+            digest = marked if size - length >= 3 else plain
+            if size - length in (1, 4):
+                digest.update(b"\n")
+            return pa.RecordBatch.from_arrays(
+                [pa.array([name]), pa.array([digest.hexdigest()])], ["source_file", "file_sha256"]
             )
-        )
-    for path in _paths(listing, length > LARGEST_HASHED_WHOLE):
-        name = path.rsplit("/", 1)[-1]
-        result = result.unionByName(line_fingerprint(spark, path, f"{entity}/{name}"))
-    return result
 
+        for batch in batches:
+            for file, file_size, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if file != name:
+                    if name is not None:
+                        yield result()
+                    name, size, length = file, file_size, len(line)
+                    plain, marked = hashlib.sha256(line), hashlib.sha256(b"\xef\xbb\xbf" + line)
+                else:
+                    length += 1 + len(line)
+                    for digest in (plain, marked):
+                        digest.update(b"\n")
+                        digest.update(line)
+        if name is not None:
+            yield result()
 
-def line_fingerprint(spark: SparkSession, path: str, source_file: str) -> DataFrame:
-    sums = spark.read.text(path).agg(
-        F.count("*").alias("n"),
-        F.sum(F.xxhash64("value").cast("decimal(38,0)")).alias("h1"),
-        F.sum(F.xxhash64(F.lit(1), F.col("value")).cast("decimal(38,0)")).alias("h2"),
-    )
-    digest = F.sha2(F.concat_ws(":", "n", "h1", "h2"), 256)
-    return sums.select(
-        F.lit(source_file).alias("source_file"),
-        F.concat(F.lit("lines:"), digest).alias("file_sha256"),
-    )
+    return run
 
 
 # --- parsing --------------------------------------------------------------------------------
@@ -190,7 +216,7 @@ def parse_lines(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
 def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Lines with the name of their file. Large files are split among tasks."""
     return spark.read.text(list(paths)).select(
-        "value", F.col("_metadata.file_name").alias("file_name")
+        "value", _decoded(F.col("_metadata.file_name")).alias("file_name")
     )
 
 
@@ -203,7 +229,7 @@ def locate_problems(spark: SparkSession, paths: Sequence[str], columns: Sequence
     """
     lines = spark.read.text(list(paths)).select(
         "value",
-        F.col("_metadata.file_name").alias("file_name"),
+        _decoded(F.col("_metadata.file_name")).alias("file_name"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
     )
@@ -277,12 +303,13 @@ def ingest_entity(
     batch_id: str,
     ingested_at: str | None = None,
     columns: Sequence[str] | None = None,
-    rehash_known: bool = False,
+    rehash_known: bool = True,
     listing: DataFrame | None = None,
 ) -> dict[str, int]:
     """Load the new files of one entity; rows and log entries become visible together.
 
-    Known files are skipped, files that changed after they were loaded are reported and not
+    Known files are compared by content (without ``rehash_known`` only where length or
+    modification time differ) and skipped; files that changed after they were loaded are reported and not
     loaded again. Files with a bad line are left out and named in the error that is raised
     after the good ones are committed.
     """
@@ -372,16 +399,22 @@ def ingest_landing(
     batch_id: str,
     ingested_at: str | None = None,
     entities: Mapping[str, str] = C.LANDING_TABLES,
-    rehash_known: bool = False,
+    rehash_known: bool = True,
 ) -> DataFrame:
-    """All entities of the landing zone. Returns (entity, status, files)."""
+    """All entities of the landing zone. Returns (entity, status, files, rows): rows loaded from
+    new files, 0 for others."""
     summary = []
     for entity in entities:
         counts = ingest_entity(
             lake, landing_dir, entity, batch_id, ingested_at, rehash_known=rehash_known
         )
-        summary += [(entity, status, counts[status]) for status in ("new", "skipped", "changed")]
-    return lake.spark.createDataFrame(summary, "entity string, status string, files int")
+        summary += [
+            (entity, status, counts[status], counts["rows"] if status == "new" else 0)
+            for status in ("new", "skipped", "changed")
+        ]
+    return lake.spark.createDataFrame(
+        summary, "entity string, status string, files int, rows long"
+    )
 
 
 # --- export ---------------------------------------------------------------------------------

@@ -148,7 +148,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 def order_payments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(history, live). One payment per order, and a voucher on every seventh."""
+    """(history, live). One payment per order, and a voucher on every seventh. Every fortieth
+    order's payments were also in the history, with another amount and type."""
     priority = F.substring("o_orderpriority", 1, 1)
     kind = (
         F.when(_every("k", 61), "UPI")
@@ -177,8 +178,13 @@ def order_payments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         .select("k", _text("k").alias("order_id"), F.explode(payments).alias("p"))
         .select("k", "order_id", "p.*")
     )
+    redelivered = _every("k", 40)
+    history = every.where(~_every("k", 10) | redelivered).withColumns({
+        "payment_type": F.when(redelivered, "boleto").otherwise(F.col("payment_type")),
+        "payment_value": F.when(redelivered, "1.00").otherwise(F.col("payment_value")),
+    })
     return (
-        _history_side(every.where(~_every("k", 10)), "order_payments.csv").drop("k"),
+        _history_side(history, "order_payments.csv").drop("k"),
         _live_side(every.where(_every("k", 10)), "order_payments").drop("k"),
     )
 
