@@ -8,7 +8,8 @@ or two rounds for all but short texts.
 
 Signatures are cut into bands. Documents with equal sets are one class. Classes that share a band
 are candidates. First every class is held against the smallest class of each band bucket, on full
-sets; union-find (large and small stars) joins what is linked. Then the classes of all buckets that
+sets, then against other leaders where a bucket still holds several components;
+union-find (large and small stars) joins what is linked. Then the classes of all buckets that
 still hold several components are met across components, by the rarest shingles of their sets
 (:func:`prefix_pairs`, which misses no link). Pairs inside a component need no look, so a bucket of
 thousands of copies costs one comparison each, and no link between components is lost.
@@ -39,6 +40,7 @@ from tidemark.llm.shingles import mix, shingle_sets
 MISS = 1e-6
 MOST_SLOTS = 128
 ESTIMATE_SIGMAS = 7
+LEADER_ROUNDS = 2
 SEED = 0x5EED
 
 
@@ -316,17 +318,30 @@ def near_duplicates(
     links = saved(verified(stars, sets, percent).union(bound), "links")
     found = components(links)
 
-    # buckets that still hold several components
-    labelled = saved(
-        crowded.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")),
-        "labelled")
+    def torn_buckets() -> DataFrame:
+        """(band, key, id, component) of the buckets that still hold several components."""
+        rows = crowded.join(found, "id", "left").withColumn(
+            "component", F.coalesce("component", "id"))
+        several = rows.groupBy("band", "key").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+        return saved(rows.join(several.select("band", "key"), ["band", "key"]), "torn")
+
+    for number in range(LEADER_ROUNDS):  # against another leader of each bucket
+        torn = torn_buckets()
+        leaders = torn.groupBy("band", "key").agg(
+            F.min(F.struct(F.xxhash64(F.lit(number), "id"), "id", "component")).alias("l"))
+        pairs = torn.join(leaders, ["band", "key"]).where(F.col("component") != F.col("l.component"))
+        pairs = pairs.select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b"))
+        more = verified(promising(pairs.distinct()), sets, percent)
+        dropped(torn)
+        if more.isEmpty():
+            break
+        links = saved(links.union(more), "links")
+        found = components(links)
+
+    torn = torn_buckets()
     dropped(crowded)
-    torn = labelled.groupBy("band", "key").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    torn = labelled.join(torn.select("band", "key"), ["band", "key"])
-    torn = saved(torn.select("id", "component").distinct(), "torn")
-    dropped(labelled)
-    cross = prefix_pairs(torn, sets, percent).join(stars, ["a", "b"], "left_anti")
+    cross = prefix_pairs(torn.select("id", "component").distinct(), sets, percent)
     more = verified(saved(cross, "pairs"), sets, percent)
     for table in (torn, sets, ones):
         dropped(table)
