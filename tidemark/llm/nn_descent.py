@@ -31,23 +31,24 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import dropped, read_table, saved
 
-DEGREE = 20
-REVERSE = 12
-TREES = 2
-LEAF = 200
+DEGREE = 28
+REVERSE = 16
+TREES = 10
+LEAF = 400
 TREE_SAMPLE = 16_384
-SETTLED = 0.01
+SETTLED = 0.02
 MOST_ROUNDS = 12
 ENTRIES = 1024
-POOL = 40
-OPEN = 10
+POOL = 200
+OPEN = 25
 SEED = 4
 
 
 def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, vec) of the rows that take part."""
-    rows = df.select(F.col(id_col).cast("long").alias("vec_id"),
-                     F.col(vec_col).cast("array<double>").alias("vec"))
+    """(vec_id, vec) of the rows that take part; single-precision vectors stay such."""
+    kind = df.schema[vec_col].dataType.simpleString()
+    vec = F.col(vec_col) if kind == "array<float>" else F.col(vec_col).cast("array<double>")
+    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("vec"))
     good = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False))
                       & F.exists("vec", lambda x: x != 0))
@@ -107,7 +108,7 @@ def compact(nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            half = [(np.array(v) / most).astype(np.float16).tobytes() for v in batch.column(1).to_pylist()]
+            half = [(np.array(v, float) / most).astype(np.float16).tobytes() for v in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(half, pa.binary())], ["node", "half"])
 
     return nodes.select("node", "vec").mapInArrow(run, "node long, half binary")
@@ -158,15 +159,31 @@ def nearest(edges: DataFrame) -> DataFrame:
     )
 
 
-def propose(group: pd.DataFrame) -> pd.DataFrame:
-    """Edges between the members of one node's neighbourhood that improve on their worst."""
-    group = group.drop_duplicates("member")
-    ids, old, worst = (group[c].to_numpy() for c in ("member", "old", "worst"))
-    d = distances(matrix(group["half"]))
-    d[(old[:, None] + old[None, :]) == 2] = np.inf  # met in an earlier round
-    np.fill_diagonal(d, np.inf)
-    x, y = np.nonzero(d < worst[:, None])
-    return pd.DataFrame({"u": ids[x], "v": ids[y], "d": d[x, y]})
+def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges between the members of each node's neighbourhood that improve on their worst."""
+    for batch in batches:
+        lists = batch.column(0)
+        ends = np.cumsum(lists.value_lengths().to_numpy())
+        flat = lists.flatten()
+        ids, old, worst = (flat.field(k).to_numpy() for k in range(3))
+        vectors = matrix(flat.field(3)) if len(ids) else None
+        u, v, near, start = [], [], [], 0
+        for end in ends:
+            own, at = np.unique(ids[start:end], return_index=True)
+            at += start
+            d = distances(vectors[at])
+            known = old[at] == 1
+            d[np.ix_(known, known)] = np.inf  # met in an earlier round
+            np.fill_diagonal(d, np.inf)
+            x, y = np.nonzero(d < worst[at][:, None])
+            u.append(own[x])
+            v.append(own[y])
+            near.append(d[x, y])
+            start = end
+        empty = [np.zeros(0)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate(u or empty), pa.int64()), pa.array(np.concatenate(v or empty), pa.int64()),
+            pa.array(np.concatenate(near or empty), pa.float32())], ["u", "v", "d"])
 
 
 def descend(halves: DataFrame, graph: DataFrame, n: int) -> DataFrame:
@@ -174,7 +191,8 @@ def descend(halves: DataFrame, graph: DataFrame, n: int) -> DataFrame:
     for number in range(MOST_ROUNDS):
         # a node without DEGREE neighbours takes any
         worst = graph.groupBy("u").agg(
-            F.when(F.count(F.lit(1)) < DEGREE, F.lit(float("inf"))).otherwise(F.max("d")).alias("worst"))
+            F.when(F.count(F.lit(1)) < DEGREE, F.lit(float("inf"))).otherwise(F.max("d"))
+            .cast("float").alias("worst"))
         sampled = Window.partitionBy("center").orderBy("old", F.xxhash64(F.lit(number), "member"))
         back = (
             graph.select(F.col("v").alias("center"), F.col("u").alias("member"), "old")
@@ -188,7 +206,9 @@ def descend(halves: DataFrame, graph: DataFrame, n: int) -> DataFrame:
             .join(worst.withColumnRenamed("u", "member"), "member")
             .join(halves.withColumnRenamed("node", "member"), "member")
         )
-        proposed = members.groupBy("center").applyInPandas(propose, "u long, v long, d float")
+        gathered = members.groupBy("center").agg(  # DEGREE + REVERSE members at most
+            F.collect_list(F.struct("member", "old", "worst", "half")).alias("members"))
+        proposed = gathered.select("members").mapInArrow(propose, "u long, v long, d float")
         edges = graph.select("u", "v", "d", F.lit(1).alias("old")).union(
             proposed.select("u", "v", "d", F.lit(0)))
         moved = saved(nearest(edges), "graph")
@@ -201,7 +221,13 @@ def descend(halves: DataFrame, graph: DataFrame, n: int) -> DataFrame:
 
 
 def euclid(a: str, b: str) -> Column:
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
+    """Distance in double precision."""
+
+    def square(x: Column, y: Column) -> Column:
+        d = x.cast("double") - y.cast("double")
+        return d * d
+
+    squares = F.zip_with(a, b, square)
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
 
 
@@ -215,7 +241,7 @@ def entry_nodes(queries: DataFrame, nodes: DataFrame) -> DataFrame:
         ids, vectors = shared.value
         for batch in batches:
             for query, vec in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                d = np.sqrt(((vectors - np.array(vec)) ** 2).sum(axis=1))
+                d = np.sqrt(((vectors - np.array(vec, float)) ** 2).sum(axis=1))
                 at = np.lexsort((ids, d))[:OPEN]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(at), query, np.int64)), pa.array(ids[at]), pa.array(d[at])],
