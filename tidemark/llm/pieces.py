@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import read_table, small_batches
 
 META = "▁"
-CACHED_CUTS = 250_000
+CACHED_CUTS = 100_000
+BATCH_BYTES = 2 << 20
 POSITION = (1 << 40) - 1
 WIDTHS = (6, 9, 12, 16, 24, 40)
 MATRIX_ROWS = 2048
@@ -228,13 +229,14 @@ def cuts_of(text: str) -> list[str]:
 class Encoder:
     """Encodes texts by their cuts, which it keeps while they repeat."""
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, most: int = CACHED_CUTS):
         self.vocabulary = Vocabulary(model)
+        self.most = most
         self.kept: dict[str, tuple[list[int], str, str]] = {}
 
     def learn(self, texts: list[list[str]]) -> None:
         """Encode the cuts not seen yet, and check them against the library."""
-        if len(self.kept) > CACHED_CUTS:
+        if len(self.kept) > self.most:
             self.kept.clear()
         new = list({cut for cuts in texts for cut in cuts if cut not in self.kept})
         if not new:
@@ -259,10 +261,14 @@ def encode(
     *,
     ids: bool = True,
     decoded: bool = True,
+    cached_cuts: int = CACHED_CUTS,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Ids (ending with the end id) and decoded text of every text, with their digests.
 
-    ``ids`` and ``decoded`` say whether the arrays and texts themselves are returned.
+    ``ids`` and ``decoded`` say whether the arrays and texts themselves are returned. A task
+    remembers about ``cached_cuts`` cuts (half a kilobyte each) and takes texts of ``batch_bytes``
+    at a time.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)  # one vocabulary file, fixed size
     fields = [("ids", pa.list_(pa.int32()))] * ids + [("decoded", pa.string())] * decoded
@@ -274,9 +280,9 @@ def encode(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(shared.value, cached_cuts)
         end = encoder.vocabulary.end
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, batch_bytes):
             texts = [cuts_of(t or "") for t in batch.column(1).to_pylist()]
             encoder.learn(texts)
             n, id_hash, text_hash, all_ids, all_texts = [], [], [], [], []
@@ -330,4 +336,5 @@ def model_bytes(path: str | None = None) -> bytes:
 def op9_sentencepiece(spark, sf_dir: str, path: str | None = None) -> DataFrame:
     """Ids and round trip of all documents, as digests."""
     docs = read_table(spark, sf_dir, "documents")
-    return encode(docs, model_bytes(path), ids=False, decoded=False)
+    return encode(docs, model_bytes(path), ids=False, decoded=False, cached_cuts=250_000,
+                  batch_bytes=8 << 20)
