@@ -118,7 +118,7 @@ def first_graph(halves: DataFrame, n: int) -> DataFrame:
     """Edges (u, v, d) from the leaves of the trees."""
     sample = halves.orderBy(F.xxhash64(F.lit(SEED), "node")).limit(TREE_SAMPLE).select("half").toArrow()
     trees = trees_of(matrix(sample["half"]), max(1, n // LEAF))
-    shared = halves.sparkSession.sparkContext.broadcast(trees)  # TREE_SAMPLE / 8 directions at most
+    shared = halves.sparkSession.sparkContext.broadcast(trees)  # TREES * TREE_SAMPLE / 16 directions at most
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
