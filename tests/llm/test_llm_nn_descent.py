@@ -79,3 +79,41 @@ def test_recall(spark):
         hits += len(best & {i for _, i in found})
         assert found == [(pytest.approx(d[ids == i][0]), i) for _, i in found]
     assert hits >= 0.9 * 10 * len(got)
+
+
+def hits_of(spark, monkeypatch, rows, queries, entries=8):
+    """Share of the 10 nearest found, with few entry nodes so that the graph has to lead the way."""
+    monkeypatch.setattr(nn_descent, "ENTRIES", entries)
+    df = table(spark, rows)
+    got = result(nn_descent.nearest_neighbours(df.where(df["vec_id"].isin(queries)), df, 10))
+    x = np.array([v for _, v in rows], np.float32).astype(float)
+    hits = 0
+    for q in queries:
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        hits += len(set(np.argsort(d, kind="stable")[:10].tolist()) & {i for _, i in got[q]})
+    return hits / (10 * len(queries))
+
+
+def test_one_huge_vector(spark, monkeypatch):
+    x = np.random.default_rng(3).standard_normal((3000, 16))
+    x[7] *= 1e8
+    rows = list(enumerate(x.tolist()))
+    assert hits_of(spark, monkeypatch, rows, list(range(10, 3000, 100))) >= 0.9
+
+
+def test_near_copies(spark, monkeypatch):
+    """A third of the rows lies within 1e-5 of one vector."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((3000, 16))
+    x[::3] = x[0] + rng.standard_normal((1000, 16)) * 1e-5
+    rows = list(enumerate(x.tolist()))
+    assert hits_of(spark, monkeypatch, rows, list(range(0, 3000, 90))) >= 0.9
+
+
+def test_distances_of_any_scale():
+    x = np.random.default_rng(5).standard_normal((60, 8))
+    x[20:40] = x[0] + (x[20:40] - x[0]) * 1e-9
+    x[50] *= 1e9
+    want = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    assert np.allclose(nn_descent.distances(x), want, rtol=1e-6, atol=0)

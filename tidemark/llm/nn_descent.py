@@ -10,8 +10,8 @@ again. Rounds end when fewer than ``SETTLED`` of all edges change.
 
 A query starts at the nearest of ``ENTRIES`` seeded nodes and, if it is a node itself, there. Each step opens
 its ``OPEN`` nearest unopened nodes among the best ``POOL`` and adds their neighbours in the graph
-(both directions), until all of the best have been opened. Distances of the search are Euclidean, in double
-precision, on the original vectors; those of the graph are taken in half precision.
+(both directions), until all of the best have been opened. All distances, those of the graph too, are
+Euclidean, in double precision, on the original vectors, whatever their scale and however near they are.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no
 part, nor do those whose length is not the most frequent one; rows without an id are left out;
@@ -37,6 +37,7 @@ TREES = 10
 LEAF = 400
 TREE_SAMPLE = 16_384
 SETTLED = 0.02
+CANCELS = 1e-6
 MOST_ROUNDS = 12
 ENTRIES = 1024
 POOL = 200
@@ -91,54 +92,63 @@ def leaf_of(tree, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def matrix(column) -> np.ndarray:
-    """Vectors in half precision, as bytes, to a matrix."""
+def matrix(column, kind: str) -> np.ndarray:
+    """Vectors, as bytes of components of a kind, to a matrix in double precision."""
     rows = column.tolist() if isinstance(column, pd.Series) else column.to_pylist()
-    return np.frombuffer(b"".join(rows), np.float16).reshape(len(rows), -1).astype(np.float32)
+    return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1).astype(float)
 
 
 def distances(x: np.ndarray) -> np.ndarray:
-    squares = (x * x).sum(axis=1)
-    return np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2 * (x @ x.T), 0))
-
-
-def compact(nodes: DataFrame) -> DataFrame:
-    """(node, half) with vectors scaled to 1 and in half precision."""
-    most = nodes.agg(F.max(F.array_max(F.transform("vec", lambda x: F.abs(x))))).first()[0] or 1.0
+    """Norm expansion around one of the vectors; where it cancels (CANCELS), the differences themselves."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        y = x - x[len(x) // 2]
+        squares = (y * y).sum(axis=1)
+        both = squares[:, None] + squares[None, :]
+        d = both - 2 * (y @ y.T)
+        rows, columns = np.nonzero(~(d >= CANCELS * both))  # overflow as well
+        for start in range(0, len(rows), 1 << 15):
+            i, j = rows[start:start + (1 << 15)], columns[start:start + (1 << 15)]
+            d[i, j] = ((x[i] - x[j]) ** 2).sum(axis=1)
+    return np.sqrt(d)
+
+
+def compact(nodes: DataFrame) -> tuple[DataFrame, str]:
+    """(node, packed) with vectors as bytes, and the kind of their components."""
+    kind = "float32" if nodes.schema["vec"].dataType.simpleString() == "array<float>" else "float64"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            half = [(np.array(v, float) / most).astype(np.float16).tobytes() for v in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(half, pa.binary())], ["node", "half"])
+            packed = [np.array(v, kind).tobytes() for v in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["node", "packed"])
 
-    return nodes.select("node", "vec").mapInArrow(run, "node long, half binary")
+    return nodes.select("node", "vec").mapInArrow(run, "node long, packed binary"), kind
 
 
-def first_graph(halves: DataFrame, n: int) -> DataFrame:
+def first_graph(vectors: DataFrame, kind: str, n: int) -> DataFrame:
     """Edges (u, v, d) from the leaves of the trees."""
-    sample = halves.orderBy(F.xxhash64(F.lit(SEED), "node")).limit(TREE_SAMPLE).select("half").toArrow()
-    trees = trees_of(matrix(sample["half"]), max(1, n // LEAF))
-    shared = halves.sparkSession.sparkContext.broadcast(trees)  # TREES * TREE_SAMPLE / 16 directions at most
+    sample = vectors.orderBy(F.xxhash64(F.lit(SEED), "node")).limit(TREE_SAMPLE).select("packed").toArrow()
+    trees = trees_of(matrix(sample["packed"], kind), max(1, n // LEAF))
+    shared = vectors.sparkSession.sparkContext.broadcast(trees)  # TREES * TREE_SAMPLE / 16 directions at most
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = matrix(batch.column(1))
+            x = matrix(batch.column(1), kind)
             for number, tree in enumerate(shared.value):
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0), batch.column(1), pa.array(np.full(len(x), number, np.int32)),
-                    pa.array(leaf_of(tree, x))], ["node", "half", "tree", "leaf"])
+                    batch.column(0), pa.array(np.full(len(x), number, np.int32)),
+                    pa.array(leaf_of(tree, x))], ["node", "tree", "leaf"])
 
-    placed = saved(halves.mapInArrow(assign, "node long, half binary, tree int, leaf long"), "leaves")
+    placed = saved(vectors.mapInArrow(assign, "node long, tree int, leaf long"), "leaves")
     sizes = placed.groupBy("tree", "leaf").agg(
         F.ceil(F.count(F.lit(1)) / (2 * LEAF)).alias("blocks"))
     blocks = placed.join(sizes, ["tree", "leaf"]).withColumn(
-        "block", F.pmod(F.xxhash64("node", "tree"), "blocks"))
+        "block", F.pmod(F.xxhash64("node", "tree"), "blocks")).join(vectors, "node")
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        ids, d = group["node"].to_numpy(), distances(matrix(group["half"]))
-        np.fill_diagonal(d, np.inf)
+        ids, d = group["node"].to_numpy(), distances(matrix(group["packed"], kind))
+        np.fill_diagonal(d, np.nan)  # after infinity
         k = min(DEGREE, len(ids) - 1)
         if k < 1:
             return pd.DataFrame({"u": [], "v": [], "d": []})
@@ -146,7 +156,7 @@ def first_graph(halves: DataFrame, n: int) -> DataFrame:
         return pd.DataFrame({"u": np.repeat(ids, k), "v": ids[at].ravel(),
                              "d": np.take_along_axis(d, at, axis=1).ravel()})
 
-    edges = blocks.groupBy("tree", "leaf", "block").applyInPandas(meet, "u long, v long, d float")
+    edges = blocks.groupBy("tree", "leaf", "block").applyInPandas(meet, "u long, v long, d double")
     return saved(nearest(edges.withColumn("old", F.lit(0))), "graph")
 
 
@@ -159,40 +169,44 @@ def nearest(edges: DataFrame) -> DataFrame:
     )
 
 
-def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def proposer(kind: str):
     """Edges between the members of each node's neighbourhood that improve on their worst."""
-    for batch in batches:
-        lists = batch.column(0)
-        ends = np.cumsum(lists.value_lengths().to_numpy())
-        flat = lists.flatten()
-        ids, old, worst = (flat.field(k).to_numpy() for k in range(3))
-        vectors = matrix(flat.field(3)) if len(ids) else None
-        u, v, near, start = [], [], [], 0
-        for end in ends:
-            own, at = np.unique(ids[start:end], return_index=True)
-            at += start
-            d = distances(vectors[at])
-            known = old[at] == 1
-            d[np.ix_(known, known)] = np.inf  # met in an earlier round
-            np.fill_diagonal(d, np.inf)
-            x, y = np.nonzero(d < worst[at][:, None])
-            u.append(own[x])
-            v.append(own[y])
-            near.append(d[x, y])
-            start = end
-        empty = [np.zeros(0)]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate(u or empty), pa.int64()), pa.array(np.concatenate(v or empty), pa.int64()),
-            pa.array(np.concatenate(near or empty), pa.float32())], ["u", "v", "d"])
-
-
-def descend(halves: DataFrame, graph: DataFrame, n: int) -> DataFrame:
+
+    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            ends = np.cumsum(lists.value_lengths().to_numpy())
+            flat = lists.flatten()
+            ids, old, worst = (flat.field(k).to_numpy() for k in range(3))
+            vectors = matrix(flat.field(3), kind) if len(ids) else None
+            u, v, near, start = [], [], [], 0
+            for end in ends:
+                own, at = np.unique(ids[start:end], return_index=True)
+                at += start
+                d = distances(vectors[at])
+                known = old[at] == 1
+                d[np.ix_(known, known)] = np.inf  # met in an earlier round
+                np.fill_diagonal(d, np.inf)
+                x, y = np.nonzero(d < worst[at][:, None])
+                u.append(own[x])
+                v.append(own[y])
+                near.append(d[x, y])
+                start = end
+            empty = [np.zeros(0)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate(u or empty), pa.int64()), pa.array(np.concatenate(v or empty), pa.int64()),
+                pa.array(np.concatenate(near or empty), pa.float64())], ["u", "v", "d"])
+
+    return propose
+
+
+def descend(vectors: DataFrame, kind: str, graph: DataFrame, n: int) -> DataFrame:
     """Rounds of joining neighbours of neighbours."""
     for number in range(MOST_ROUNDS):
         # a node without DEGREE neighbours takes any
         worst = graph.groupBy("u").agg(
             F.when(F.count(F.lit(1)) < DEGREE, F.lit(float("inf"))).otherwise(F.max("d"))
-            .cast("float").alias("worst"))
+            .alias("worst"))
         sampled = Window.partitionBy("center").orderBy("old", F.xxhash64(F.lit(number), "member"))
         back = (
             graph.select(F.col("v").alias("center"), F.col("u").alias("member"), "old")
@@ -204,11 +218,11 @@ def descend(halves: DataFrame, graph: DataFrame, n: int) -> DataFrame:
         members = (
             met.join(fresh, "center", "left_semi")
             .join(worst.withColumnRenamed("u", "member"), "member")
-            .join(halves.withColumnRenamed("node", "member"), "member")
+            .join(vectors.withColumnRenamed("node", "member"), "member")
         )
         gathered = members.groupBy("center").agg(  # DEGREE + REVERSE members at most
-            F.collect_list(F.struct("member", "old", "worst", "half")).alias("members"))
-        proposed = gathered.select("members").mapInArrow(propose, "u long, v long, d float")
+            F.collect_list(F.struct("member", "old", "worst", "packed")).alias("members"))
+        proposed = gathered.select("members").mapInArrow(proposer(kind), "u long, v long, d double")
         edges = graph.select("u", "v", "d", F.lit(1).alias("old")).union(
             proposed.select("u", "v", "d", F.lit(0)))
         moved = saved(nearest(edges), "graph")
@@ -316,8 +330,9 @@ def nearest_neighbours(
     if not n:
         return index.sparkSession.createDataFrame(
             [], "query_id long, rank int, vec_id long, score double")
-    halves = saved(compact(nodes), "halves")
-    graph = descend(halves, first_graph(halves, n), n)
+    packed, kind = compact(nodes)
+    vectors = saved(packed, "packed")
+    graph = descend(vectors, kind, first_graph(vectors, kind, n), n)
     asked = valid_vectors(queries, id_col, vec_col).select(
         F.col("vec_id").alias("query_id"), F.col("vec").alias("qvec"),
         F.xxhash64("vec").alias("a"), F.xxhash64(F.lit(1), "vec").alias("b")).dropDuplicates(["query_id"])
