@@ -46,3 +46,21 @@ def test_query_equals_sql(spark, sf):
     cols = ["conv_id", "part", "speaker", "n_turns", "n_trained", "text", "spans"]
     got = sorted(map(tuple, df.select(*cols).collect()))
     assert got == sorted(con.execute(p.ORACLE).fetchall())
+
+
+def test_hot_null_conversation_is_cut_by_position(spark):
+    """A third of the rows without a conv_id, with repeated turn numbers and copies."""
+    rows = [(None, i % 8 if i % 50 else None, "user" if i % 2 else "assistant", f"t{i % 90}") for i in range(600)]
+    rows += [(i // 8, i % 8, "user" if i % 2 else "assistant", f"t{i}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = p.rotate(df.repartition(7), part_turns=16).collect()
+    assert max(r.n_turns for r in got) <= 16
+    assert all(r.slice == 0 for r in got if r.conv_id is not None)
+    found = {}
+    for r in sorted(got, key=lambda r: r.slice):
+        of = found.setdefault((r.conv_id, r.part, r.speaker), [0, 0, ""])
+        of[0], of[1], of[2] = of[0] + r.n_turns, of[1] + r.n_trained, of[2] + r.text
+        spans = [r.text[a:b] for a, b in r.spans]
+        assert len(spans) == r.n_trained and all(x.endswith("<|end|>") for x in spans)
+    want = {(c, part, s): [n, t, text] for c, part, s, n, t, text, _ in expected(rows, 16)}
+    assert found == want

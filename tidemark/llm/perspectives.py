@@ -5,7 +5,11 @@ speaker's turns as the assistant's, all others as turns of named users, and the
 the assistant's turns (text and end marker) as the training mask. System turns are nobody's.
 
 A conversation of any length is rendered in parts of ``part_turns`` turn numbers, so that none has
-to fit a task; every part has all perspectives of the whole conversation.
+to fit a task; every part has all perspectives of the whole conversation. A part of more rows than that (turns
+repeated or without a number, rows without a conv_id), or of more than ``PART_CHARS`` characters, is cut
+into slices by the position of its rows; ``slice`` is 0 for all others and grows along the part. Positions come
+from a sort of all rows into ranges (copies are told apart by their place in the input) and the sizes of what a
+part has in earlier ranges, so no group of rows has to fit a task.
 
 Defined results: a null role speaks under the name ``unknown``; a null text is an empty turn; turns
 without a number come last, in a part of their own; turns with the same number follow by role and text,
@@ -15,15 +19,16 @@ system turns only has no perspective. Markers inside texts and names are broken
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read_table
+from tidemark.llm.common import read_table, saved
 
 SYSTEM = "system"
 UNKNOWN = "unknown"
 END = "<|end|>"
 PART_TURNS = 256
+PART_CHARS = 1 << 24
 
 
 def unmarked(text: Column) -> Column:
@@ -31,6 +36,37 @@ def unmarked(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<|"), F.lit("< |")), F.lit("|>"), F.lit("| >"))
 
 
+def sliced(turns: DataFrame, part_turns: int) -> DataFrame:
+    """Adds ``slice``: at most ``part_turns`` rows of a part and about PART_CHARS characters."""
+    order = [F.col("turn").isNull(), "turn", "role", "said"]
+    ranges = saved(
+        turns.withColumn("tie", F.monotonically_increasing_id())
+        .repartitionByRange("conv_id", "part", *order, "tie")
+        .withColumn("range", F.spark_partition_id()).withColumn("chars", F.char_length("said").cast("long")),
+        "turns")
+    part = ["conv_id", "part"]
+    sizes = ranges.groupBy(*part, "range").agg(F.count(F.lit(1)).alias("rows"), F.sum("chars").alias("chars"))
+    before = Window.partitionBy(*part).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (  # of a range only its first part can have rows in an earlier one
+        sizes.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.col("range").alias("r"),
+                     F.sum("rows").over(before).alias("rows_before"),
+                     F.sum("chars").over(before).alias("chars_before"))
+        .where("rows_before > 0")
+    )
+    here = Window.partitionBy(*part, "range").orderBy(*order, "tie")
+    done = here.rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0)
+    placed = (
+        ranges.withColumn("n", F.row_number().over(here) - 1)
+        .withColumn("m", F.coalesce(F.sum("chars").over(done), none))
+        .join(F.broadcast(earlier), (F.col("range") == F.col("r")) & F.col("conv_id").eqNullSafe(F.col("c"))
+              & F.col("part").eqNullSafe(F.col("p")), "left")
+    )
+    at = F.floor((F.col("n") + F.coalesce("rows_before", none)) / part_turns)
+    chars = F.floor((F.col("m") + F.coalesce("chars_before", none)) / PART_CHARS)
+    return placed.select(*turns.columns, (at + chars).alias("slice"))  # neither falls along the part
+
+
 def rotate(
     df: DataFrame,
     conv_col: str = "conv_id",
@@ -39,7 +75,7 @@ def rotate(
     text_col: str = "text",
     part_turns: int = PART_TURNS,
 ) -> DataFrame:
-    """(conv_id, part, speaker, n_turns, n_trained, text, spans); ``spans`` are [start, stop)."""
+    """(conv_id, part, speaker, n_turns, n_trained, text, spans, slice); ``spans`` are [start, stop)."""
     turns = df.select(
         F.col(f"`{conv_col}`").alias("conv_id"),
         F.floor(F.col(f"`{turn_col}`") / part_turns).alias("part"),
@@ -50,7 +86,7 @@ def rotate(
     speakers = turns.where(F.col("role") != SYSTEM).select(
         F.col("conv_id").alias("of"), F.col("role").alias("speaker")).distinct()
     ordered = F.sort_array(F.collect_list(F.struct(F.col("turn").isNull(), "turn", "role", "said")))
-    parts = turns.groupBy("conv_id", "part").agg(ordered.alias("turns"))
+    parts = sliced(turns, part_turns).groupBy("conv_id", "part", "slice").agg(ordered.alias("turns"))
     met = parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("of")))
 
     def head(t: Column) -> Column:
@@ -78,6 +114,7 @@ def rotate(
         F.size(F.filter("pieces", lambda p: p["own"])).cast("long").alias("n_trained"),
         F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], F.lit("\n"))), "").alias("text"),
         F.aggregate("pieces", start, step, lambda state: state["spans"]).alias("spans"),
+        "slice",
     )
 
 
