@@ -55,5 +55,21 @@ def small_batches(
             start += step
 
 
+def join_by_share(rows: DataFrame, table: DataFrame, key: str, held: str, share: int = 1024) -> DataFrame:
+    """``rows JOIN table`` on a key (null-safe), where ``table`` has one row a key and says in ``held``
+    how many of the rows have it.
+
+    Keys with at least 1 / ``share`` of all rows, at most ``share`` of them, are broadcast; the rows of all
+    others meet by shuffle, where no key is hot. Both sides are read twice: pass written tables.
+    """
+    total = table.agg(F.sum(held)).first()[0] or 0
+    own = F.col(held) * share >= total
+    hot, cold = (table.where(w).drop(held).withColumnRenamed(key, "__key") for w in (own, ~own))
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    near = rows.join(F.broadcast(hot), same)
+    far = rows.join(F.broadcast(hot.select("__key")), same, "left_anti").join(cold, same)
+    return near.unionByName(far).drop("__key")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from tidemark.llm import (
+    active_lloyd,
     language_zstd,
     lines,
     mixing,
     nn_descent,
     perspectives,
     pieces,
+    ptolemaic,
     quality_rules,
     recurrent_lm,
     secrets_forest,
+    simhash_anchors,
     superminhash,
 )
 
@@ -26,9 +29,14 @@ QUERIES = {
     "op8_superminhash": superminhash.op8_superminhash,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_language_zstd": language_zstd.op10_language_zstd,
+    "op11_ptolemaic": ptolemaic.op11_ptolemaic,
+    "op12_active_lloyd": active_lloyd.op12_active_lloyd,
+    "op13_simhash_anchors": simhash_anchors.op13_simhash_anchors,
 }
 
 ORACLES = {
     "op3_line_dedup": lines.ORACLE,
     "op7_perspectives": perspectives.ORACLE,
+    "op11_ptolemaic": ptolemaic.ORACLE,
+    "op12_active_lloyd": active_lloyd.ORACLE,
 }
