@@ -15,7 +15,8 @@ from tidemark.operators import history, quality
 from tidemark.operators.joins import left_join_spread_nulls
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.sample import sample_rows
-from tidemark.plans import checks, gold, item_fact, profile, silver
+from tidemark.operators.upsert import write_keyed
+from tidemark.plans import checks, gold, incremental_marts, item_fact, profile, silver
 from tidemark.session import prepare, scratch_dir
 from tidemark.sources import csv_history, files, landing, testbed
 from tidemark.sources.lake import Lake
@@ -439,6 +440,107 @@ def history_valid_at(spark, sf_dir):
     )
 
 
+# --- marts by deltas, returning keys, as-of reads -------------------------------------------
+
+_RUNS = (_MARK, None)
+_MART_SOURCES = ("stg_orders", "stg_order_items", "stg_order_payments", "stg_customers", "stg_products")
+
+
+_mart_lakes: dict[tuple[str, str], Lake] = {}
+
+
+def marts_by_deltas(spark: SparkSession, sf_dir: str) -> Lake:
+    """What had arrived by noon, then everything. Late orders fall on days of all years, and redelivered
+    ones change their state, so contributions are taken back. The queries of a session read one lake."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known in _mart_lakes:
+        return _mart_lakes[known]
+    root = scratch_dir(spark, "marts")
+    lake = Lake(spark, f"{root}/lake")
+    b = testbed.bronze(spark, sf_dir)
+    for n, until in enumerate(_RUNS):
+        arrived = dict(b)
+        if until is not None:
+            for name in C.LANDING_TABLES.values():
+                arrived[name] = b[name].where(F.col("_ingested_at").cast("timestamp") <= _moment(until))
+        w = Warehouse(arrived, f"{root}/silver-{n}")
+        incremental_marts.update_marts_from_silver(lake, {t: w.silver(t) for t in _MART_SOURCES}, f"run-{n}", span="year")
+    _mart_lakes[known] = lake
+    return lake
+
+
+@register("daily_revenue_by_deltas", D.relation("mart_daily_revenue", _GOLD_MONEY["mart_daily_revenue"]))
+def daily_revenue_by_deltas(spark, sf_dir):
+    return incremental_marts.daily_revenue(marts_by_deltas(spark, sf_dir))
+
+
+@register("category_performance_by_deltas",
+          D.relation("mart_category_performance", _GOLD_MONEY["mart_category_performance"]))
+def category_performance_by_deltas(spark, sf_dir):
+    return incremental_marts.category_performance(marts_by_deltas(spark, sf_dir))
+
+
+@register("customers_from_bitmaps", D.sql("""
+    SELECT 'day' AS span, order_date AS begins, count(DISTINCT customer_unique_id) AS customers FROM fct_orders
+    WHERE is_valid_for_revenue AND customer_unique_id IS NOT NULL GROUP BY ALL
+    UNION ALL
+    SELECT 'month', date_trunc('month', order_date)::DATE, count(DISTINCT customer_unique_id) FROM fct_orders
+    WHERE is_valid_for_revenue AND customer_unique_id IS NOT NULL GROUP BY ALL"""))
+def customers_from_bitmaps(spark, sf_dir):
+    """Distinct paying customers of each day and month, from the stored bitmaps of the days."""
+    lake = marts_by_deltas(spark, sf_dir)
+    day = incremental_marts.customers_by(lake, lambda d: d, "begins")
+    month = incremental_marts.customers_by(lake, lambda d: F.trunc(d, "month"), "begins")
+    return day.select(F.lit("day").alias("span"), "begins", "customers").unionByName(
+        month.select(F.lit("month").alias("span"), "begins", "customers"))
+
+
+@register("upsert_returning_keys", D.sql("""
+    SELECT order_id, order_item_id, (CASE WHEN order_id::BIGINT % 97 = 0 THEN -price ELSE price END)::DOUBLE AS price,
+           'day ' || CASE WHEN order_id::BIGINT % 97 = 0 THEN 30 ELSE (order_id::BIGINT // 4) % 30 END AS loaded
+    FROM stg_order_items"""))
+def upsert_returning_keys(spark, sf_dir):
+    """Items loaded on thirty days; on the next one, every 97th order comes back with another price. Its old rows
+    are found by key filters and deleted, whatever day they were loaded on."""
+    lake = Lake(spark, scratch_dir(spark, "returning"))
+    number = F.col("order_id").cast("long")
+    items = written_warehouse(spark, sf_dir).silver("stg_order_items").select(
+        "order_id", "order_item_id", F.col("price").cast("double").alias("price"),
+        F.floor(number / 4 % 30).cast("int").alias("n"))
+
+    def on(day, rows):
+        at = _moment("2024-01-01 00:00:00") + F.make_dt_interval(days=day)
+        return rows.withColumn("loaded", at)
+
+    write_keyed(lake, "gold", "items", on(F.col("n"), items).drop("n"), C.ITEM_KEY, "run-1", 2, period="loaded")
+    back = items.where(number % 97 == 0).withColumn("price", -F.col("price"))
+    write_keyed(lake, "gold", "items", on(F.lit(30), back).drop("n"), C.ITEM_KEY, "run-2", 2, period="loaded")
+    day = F.datediff("loaded", _moment("2024-01-01 00:00:00"))
+    return lake.read("gold", "items").withColumn("loaded", F.concat(F.lit("day "), day))
+
+
+_ORDER_MOMENT = "TIMESTAMP '2023-12-15' + to_days((epoch_us(purchased_at) // 86400000000 % 120)::INT)"
+
+
+@register("location_at_order_time", D.sql(f"""
+    SELECT o.order_id, o.customer_id, h.city, h.state, h.zip_code_prefix
+    FROM (SELECT *, {_ORDER_MOMENT} AS at FROM stg_orders) o
+    LEFT JOIN ({_SCD_ORACLE}) h ON o.customer_id = h.customer_id AND h.valid_from <= o.at
+          AND (h.valid_to IS NULL OR h.valid_to > o.at)"""))
+def location_at_order_time(spark, sf_dir):
+    """Where each order's customer lived at the time of the order: days of purchase, folded into the
+    four months in which the customer list changed three times."""
+    w = written_warehouse(spark, sf_dir)
+    customers = w.silver("stg_customers")
+    versions = None
+    for state, time in zip(_customer_states(customers), _SNAPSHOT_TIMES):
+        versions = history.snapshot_check(versions, state, "customer_id", CHECKED, _moment(time))
+    day = F.floor(F.unix_micros(F.col("purchased_at").cast("timestamp")) / F.lit(86400000000)) % 120
+    at = _moment("2023-12-15 00:00:00") + F.make_dt_interval(days=day.cast("int"))
+    orders = w.silver("stg_orders").select("order_id", "customer_id", at.alias("at"))
+    return history.as_of_join(orders, versions, "customer_id", "at", ["city", "state", "zip_code_prefix"]).drop("at")
+
+
 # --- loading --------------------------------------------------------------------------------
 
 _RAW_ORDERS = ", ".join(f"nullif({c}, '') AS {c}" for c in C.ORDER_COLUMNS)

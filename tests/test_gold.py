@@ -165,6 +165,18 @@ def test_category_ranks(shop):
     assert rows["cat-a"].revenue_share_pct == Decimal("40.74")
 
 
+def test_category_counts_every_person_of_an_order(shop):
+    """A customer id that repeats gives an order a fact row for each person: both are counted, the order once."""
+    w = shop(
+        [order("1"), order("2")],
+        [item("1", product_id="a"), item("1", "2", product_id="a"), item("2", product_id="a")], (),
+        [customer("1", "A"), customer("1", "B"), customer("2", "B")],
+        [{"product_id": "a", "product_category_name": "cat"}],
+    )
+    row = w.mart_category_performance.first()
+    assert (row.orders, row.customers, row.units_sold) == (2, 2, 5)
+
+
 def test_daily_revenue(shop):
     w = shop(
         [order("1"), order("2"), order("3", customer_id=""),

@@ -60,7 +60,6 @@ def test_no_python_in_any_relation(w, plan):
     for name in silver.SILVER:
         assert "Python" not in plan(silver.SILVER[name](w.bronze))
     assert "Python" not in plan(w.mart_category_performance)
-    assert "Expand" not in plan(w.mart_category_performance)
 
 
 def test_increment_filter_reaches_the_files(w, plan):

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.joins import broadcast_if_small
 from tidemark.operators.upsert import (
-    after_mark, delete_insert, newest_day_parts, part_of, newest_after, parts_with, write_keyed,
+    after_mark, delete_insert, newest_after, newest_day_parts, part_of, parts_with, rows_with_keys, write_keyed,
 )
 from tidemark.plans import item_fact
+from tidemark.sources import files
 
 T0 = dt.datetime(2024, 1, 2, 12, tzinfo=dt.timezone.utc)
 
@@ -167,3 +168,69 @@ def test_large_key_lists_are_not_broadcast(spark):
 
     assert "Hint broadcast" in plan(broadcast_if_small(keys))
     assert "Hint" not in plan(broadcast_if_small(keys, limit=100))
+
+
+DAYS = 100
+
+
+def hundred_days(spark, start=0):
+    """One row a day and id; ids of every day interleave, so that no range of keys tells days apart."""
+    at = F.timestamp_seconds(F.lit(int(T0.timestamp())) + F.col("id") % DAYS * 86400)
+    return spark.range(start, start + 20 * DAYS).select(
+        F.concat(F.lit("o"), F.col("id").cast("string")).alias("k"), F.lit(1).alias("line"), at.alias("at"), F.lit(1).alias("v"))
+
+
+def test_a_returning_key_opens_its_part_only(lake, spark):
+    """100 days in 100 parts: the filters leave the one part that holds the key."""
+    write_keyed(lake, "gold", "t", hundred_days(spark), ["k", "line"], "r1", 1, period="at")
+    state = lake.state("gold", "t")
+    assert len(state.parts) == DAYS
+    came = hundred_days(spark).where("k = 'o1234'").select("k", "line", F.lit(T0).alias("at"), F.lit(2).alias("v"))
+    done = write_keyed(lake, "gold", "t", came, ["k", "line"], "r2", 1, period="at")
+    assert done["parts_opened"] <= 4  # its old part, its new one, and what filters let through
+    got = lake.read("gold", "t")
+    assert got.count() == 20 * DAYS and [r.v for r in got.where("k = 'o1234'").collect()] == [2]
+    # keys never seen open the parts they fall into, and few others
+    new = hundred_days(spark, 10**6).where("k IN ('o1000005', 'o1000105')")
+    assert write_keyed(lake, "gold", "t", new, ["k", "line"], "r3", 1, period="at")["parts_opened"] <= 4
+    assert lake.read("gold", "t").count() == 20 * DAYS + 2
+
+
+def test_lookup_finds_every_stored_key(lake, spark):
+    """No key that is there is ruled out, with any number of hash parts, NULL keys and old parts without filters."""
+    rows = hundred_days(spark).unionByName(
+        spark.createDataFrame([(None, 1, T0, 1), ("x", None, T0, 1)], "k string, line int, at timestamp, v int"))
+    write_keyed(lake, "gold", "t", rows, ["k", "line"], "r1", 3, period="at")
+    for n, keys in enumerate((rows.where("v = 1"), rows.where("k LIKE 'o1%'"), rows.where("k IS NULL"))):
+        wanted = keys.select("k", "line").distinct()
+        hits, opened = rows_with_keys(lake.state("gold", "t"), wanted, ["k", "line"])
+        found = 0 if hits is None else hits.count()
+        assert found == keys.where("k IS NOT NULL AND line IS NOT NULL").count()
+        if n == 2:
+            assert not opened
+    plain = lake.stage("gold", "u", rows.withColumn("part", part_of(["k", "line"], 5, F.col("at"))), "v", "replace", by_part=True)
+    lake.commit(plain)
+    hits, _ = rows_with_keys(lake.state("gold", "u"), rows.select("k", "line").distinct(), ["k", "line"])
+    assert hits.count() == 20 * DAYS
+
+
+def test_filters_rule_out_what_is_not_there(lake, spark):
+    rows = spark.range(30_000).select(F.col("id").cast("string").alias("k"))
+    write_keyed(lake, "gold", "t", rows, ["k"], "r1", 1)
+    assert lake.state("gold", "t").entries[0].key_blocks > 1
+    state = lake.state("gold", "t")
+    wrong = sum(
+        bool(rows_with_keys(state, spark.createDataFrame([(f"2{i}x",)], "k string"), ["k"])[1]) for i in range(40))
+    assert wrong <= 3
+    # a key outside the range needs no look at the filter
+    assert rows_with_keys(state, spark.createDataFrame([("~",)], "k string"), ["k"])[1] == set()
+
+
+def test_old_filters_go_with_old_versions(lake, spark):
+    rows = spark.range(20).withColumn("v", F.lit(1))
+    write_keyed(lake, "gold", "t", rows, ["id"], "r1", 1)
+    write_keyed(lake, "gold", "t", rows.withColumn("v", F.lit(2)), ["id"], "r2", 1)
+    assert lake.drop_old_versions("gold", "t") == ["version=r1"]
+    assert files.child_names(spark, f"{lake.table_path('gold', 't')}/_keys") == ["version=r2"]
+    assert write_keyed(lake, "gold", "t", rows.where("id = 3"), ["id"], "r3", 1)["parts"] == 1
+    assert lake.read("gold", "t").count() == 20

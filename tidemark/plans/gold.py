@@ -229,32 +229,22 @@ def with_share_and_rank(groups: DataFrame, amount: str, share: str, position: st
 def mart_category_performance(items: DataFrame, fct: DataFrame, products: DataFrame) -> DataFrame:
     """Volume, revenue, share and rank per category over valid orders.
 
-    Joins are many-to-one from the item grain. Items are first summed by (category, order): an
-    order is one row of the fact and has one customer, so orders are then counted as rows and
-    only customers have to be told apart. That second aggregate is keyed by (category,
-    customer), which spreads a hot category; the window after it sees one row per category.
+    Orders and customers are both counted distinct: where a customer id repeats in the customer
+    list, an order has a fact row for each person. Both counts run in one aggregate keyed by (category, distinct
+    value), which spreads a hot category; the window after it sees one row per category.
     """
     categories = products.select("product_id", "category")
     sold = left_join_spread_nulls(
         valid_items(items, fct), categories, "product_id", spread_by="order_id"
     )
-    category = F.coalesce("category", F.lit("unknown")).alias("category")
-    per_order = sold.groupBy(category, "order_id").agg(
-        F.first("customer_unique_id").alias("customer_unique_id"),
-        F.count("*").alias("units"),
-        F.sum("price").alias("price"),
-        F.sum("freight_value").alias("freight"),
-        F.sum("item_total").alias("total"),
-        F.count("price").alias("priced"),
-    )
-    per_category = per_order.groupBy("category").agg(
-        F.sum("units").alias("units_sold"),
-        F.count("*").alias("orders"),
+    per_category = sold.groupBy(F.coalesce("category", F.lit("unknown")).alias("category")).agg(
+        F.count("*").alias("units_sold"),
+        F.count_distinct("order_id").alias("orders"),
         F.count_distinct("customer_unique_id").alias("customers"),
         F.sum("price").cast(_MONEY_SUM).alias("items_revenue"),
-        F.sum("freight").cast(_MONEY_SUM).alias("freight_revenue"),
-        F.sum("total").cast(_MONEY_SUM).alias("total_revenue"),
-        F.sum("priced").alias("priced_units"),
+        F.sum("freight_value").cast(_MONEY_SUM).alias("freight_revenue"),
+        F.sum("item_total").cast(_MONEY_SUM).alias("total_revenue"),
+        F.count("price").alias("priced_units"),
     )
     with_mean = per_category.withColumn(
         "avg_item_price", ratio(F.col("items_revenue"), F.col("priced_units"))

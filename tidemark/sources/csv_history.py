@@ -165,7 +165,8 @@ def load_history_table(
         raise FileNotFoundError(f"missing source file: {path}")
     raw = read_csv_text(lake.spark, path)
     tagged = with_lineage(raw, ingested_at, F.lit(file_name), batch_id)
-    return lake.replace("bronze", table, tagged, batch_id, dt.datetime.fromisoformat(ingested_at))
+    loaded_at = dt.datetime.fromisoformat(ingested_at)
+    return lake.replace("bronze", table, tagged, batch_id, loaded_at, by_content=True)
 
 
 def load_history(

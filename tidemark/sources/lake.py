@@ -10,13 +10,14 @@ A log entry is one of
   replace  the version is the whole table (or, with parts, one part of the new whole),
   append   the version is added to the table,
   merge    the version replaces one part of the table (``rows`` = 0: the part is gone).
-One writer per table at a time is assumed.
+Parts of a keyed table also have the range of their keys there, and a filter of them beside the data
+(:mod:`tidemark.sources.key_index`). One writer per table at a time is assumed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,11 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark import config as C
-from tidemark.sources import files
+from tidemark.sources import files, key_index
 
 COMMIT_SCHEMA = (
     "seq long, layer string, table_name string, part string, version string, "
-    "mode string, row_count long, loaded_at timestamp, committed_at timestamp"
+    "mode string, row_count long, loaded_at timestamp, committed_at timestamp, "
+    "key_low string, key_high string, key_blocks int"
 )
 
 
@@ -43,6 +45,9 @@ class Change:
     row_count: int
     part: str = ""
     loaded_at: dt.datetime | None = None
+    key_low: str | None = None
+    key_high: str | None = None
+    key_blocks: int | None = None
 
 
 @dataclass(frozen=True)
@@ -144,7 +149,9 @@ class Lake:
             self._own_commits(layer, table)
             .groupBy("part", unit.alias("unit"))
             .agg(
-                F.max_by(F.struct("seq", "version", "row_count", "loaded_at"), "seq").alias("last"),
+                F.max_by(F.struct(
+                    "seq", "version", "row_count", "loaded_at", "key_low", "key_high", "key_blocks"
+                ), "seq").alias("last"),
                 F.max(F.when(F.col("mode") == "replace", F.col("seq"))).alias("restarted"),
             )
             .select("part", "last.*", F.unix_micros("last.loaded_at").alias("loaded"), "restarted")
@@ -191,21 +198,36 @@ class Lake:
         mode: str,
         by_part: bool = False,
         loaded_at: dt.datetime | None = None,
+        keys: Sequence[str] = (),
+        by_content: bool = False,
     ) -> list[Change]:
         """Write a version nobody sees yet and check that every row arrived.
 
-        With ``by_part`` the column ``part`` decides the folder. The rows going in are counted
-        while they are written; the count read back comes from the file footers. ``loaded_at``
+        With ``by_part`` the column ``part`` decides the folder; with ``keys`` too, each part gets
+        its range and filter of keys. The rows going in are counted while they are written; the count
+        read back comes from the file footers. ``by_content`` also compares the sum of all rows'
+        hashes, whatever their order, with that of the stored copy, which is read for it. ``loaded_at``
         states that no row of the version was loaded later than that.
         """
         if version in self.committed_versions(layer, table):
             raise ValueError(f"version {version} of {layer}.{table} is already committed")
         path = self._version_path(layer, table, version)
         sent = Observation()
-        watched = df.observe(sent, F.count(F.lit(1)).alias("rows"))
+        hashes = F.coalesce(F.sum(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)).cast("decimal(20,0)")), F.lit(0))
+        content = [hashes.alias("content")] if by_content else []
+        watched = df.observe(sent, F.count(F.lit(1)).alias("rows"), *content)
         writer = watched.write.mode("overwrite")
         (writer.partitionBy("part") if by_part else writer).parquet(path)
-        if by_part:
+        ranges = {}
+        if by_part and keys and sent.get["rows"]:
+            kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+            rows = self.spark.read.schema(f"{kinds}, part string").parquet(path)
+            ranges = {r.part: r for r in key_index.ranges(rows, keys).collect()}  # a row a part
+            stored = {part: r.n for part, r in ranges.items()}
+            key_index.write_filters(
+                rows, keys, {p: key_index.blocks_for(n) for p, n in stored.items()},
+                f"{self.table_path(layer, table)}/{key_index.FOLDER}/version={version}")
+        elif by_part:
             stored = {
                 r.part: r["count"]
                 for r in self.spark.read.schema("part string").parquet(path)
@@ -218,8 +240,14 @@ class Lake:
                 f"row count mismatch for {layer}.{table}: "
                 f"read {sent.get['rows']}, stored {sum(stored.values())}"
             )
+        if by_content and sent.get["rows"]:
+            copy = self.spark.read.schema(df.schema).parquet(path)
+            if copy.agg(hashes.alias("content")).first().content != sent.get["content"]:
+                raise ValueError(f"stored rows of {layer}.{table} differ from those that were read")
         return [
-            Change(layer, table, version, mode, n, part, loaded_at)
+            Change(
+                layer, table, version, mode, n, part, loaded_at,
+                *((ranges[part].low, ranges[part].high, key_index.blocks_for(n)) if ranges else ()))
             for part, n in sorted(stored.items())
         ]
 
@@ -229,7 +257,8 @@ class Lake:
         seq = 0 if last is None else last + 1
         now = dt.datetime.now(dt.timezone.utc)
         rows = [
-            (seq, c.layer, c.table, c.part, c.version, c.mode, c.row_count, c.loaded_at, now)
+            (seq, c.layer, c.table, c.part, c.version, c.mode, c.row_count, c.loaded_at, now,
+             c.key_low, c.key_high, c.key_blocks)
             for c in changes
         ]
         (
@@ -246,9 +275,11 @@ class Lake:
         df: DataFrame,
         version: str,
         loaded_at: dt.datetime | None = None,
+        by_content: bool = False,
     ) -> int:
         """Full refresh; the old version stays readable until the new one is complete."""
-        changes = self.stage(layer, table, df, version, "replace", loaded_at=loaded_at)
+        changes = self.stage(
+            layer, table, df, version, "replace", loaded_at=loaded_at, by_content=by_content)
         self.commit(changes)
         return changes[0].row_count
 
@@ -291,7 +322,11 @@ class Lake:
         interrupted runs left. Call it with no reader or writer active. Returns the names."""
         live = {f"version={v}" for v in self.state(layer, table).versions}
         path = self.table_path(layer, table)
-        gone = sorted(set(files.child_names(self.spark, path)) - live)
+        filters = f"{path}/{key_index.FOLDER}"
+        if files.exists(self.spark, filters):
+            for name in set(files.child_names(self.spark, filters)) - live:
+                files.delete(self.spark, f"{filters}/{name}")
+        gone = sorted(set(files.child_names(self.spark, path)) - live - {key_index.FOLDER})
         for name in gone:
             files.delete(self.spark, f"{path}/{name}")
         return gone
