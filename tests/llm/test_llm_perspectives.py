@@ -39,13 +39,32 @@ def test_edges_equal_brute_force(spark):
     assert p.rotate(df.limit(0)).count() == 0
 
 
+def equal(df, con):
+    want = con.sql(p.ORACLE)
+    assert sorted(df.columns) == sorted(want.columns)
+    assert sorted(map(tuple, df.select(*want.columns).collect()), key=str) == sorted(want.fetchall(), key=str)
+
+
 def test_query_equals_sql(spark, sf):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf}/conversations.parquet'")
-    df = p.op7_perspectives(spark, sf)
-    cols = ["conv_id", "part", "speaker", "n_turns", "n_trained", "text", "spans"]
-    got = sorted(map(tuple, df.select(*cols).collect()))
-    assert got == sorted(con.execute(p.ORACLE).fetchall())
+    equal(p.op7_perspectives(spark, sf), con)
+
+
+def test_slices_equal_sql(spark, tmp_path):
+    """Parts of more rows, and of more characters, than a slice holds: the SQL cuts them alike."""
+    rows = [(None, i % 8, "user" if i % 2 else "assistant", f"t{i}") for i in range(700)]
+    rows += [(1, i, "Ann" if i % 2 else "Bob", "x" * 3_000_000) for i in range(12)]
+    rows += [(2, 0, "Ann", "x" * 17_000_000), (2, 1, "Bob", "short"), (3, None, None, None)]
+    path = f"{tmp_path}/conversations.parquet"
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{path}/*.parquet'")
+    df = p.op7_perspectives(spark, str(tmp_path))
+    equal(df, con)
+    slices = {(r.conv_id, r.part): r.n for r in df.groupBy("conv_id", "part").agg({"slice": "max"}).toDF(
+        "conv_id", "part", "n").collect()}
+    assert slices[(None, 0)] == 2 and slices[(1, 0)] == 1 and slices[(2, 0)] == 1 and slices[(3, None)] == 0
 
 
 def test_hot_null_conversation_is_cut_by_position(spark):

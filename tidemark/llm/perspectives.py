@@ -132,20 +132,25 @@ WITH turns AS (
   FROM conversations
 ), speakers AS (
   SELECT DISTINCT conv_id, role AS speaker FROM turns WHERE role <> 'system'
+), counted AS (
+  SELECT *, row_number() OVER w AS place, (sum(length(said)) OVER w) - length(said) AS before FROM turns
+  WINDOW w AS (PARTITION BY conv_id, part ORDER BY turn NULLS LAST, role, said
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), cut AS (
+  SELECT *, CAST((place - 1) // 256 + before // 16777216 AS BIGINT) AS slice FROM counted
 ), piece AS (
-  SELECT t.conv_id, part, speaker, role = speaker AS own, said || '<|end|>' AS body,
+  SELECT t.conv_id, part, slice, speaker, role = speaker AS own, said || '<|end|>' AS body, place AS n,
          CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>'
-              ELSE '<|user name=' || role || '|>' END || chr(10) AS head,
-         row_number() OVER (PARTITION BY t.conv_id, part, speaker ORDER BY turn NULLS LAST, role, said) AS n
-  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+              ELSE '<|user name=' || role || '|>' END || chr(10) AS head
+  FROM cut t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
 ), placed AS (
-  SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, part, speaker ORDER BY n)
+  SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, part, slice, speaker ORDER BY n)
             - length(body) - 1 AS start
   FROM piece
 )
-SELECT conv_id, part, speaker, count(*) AS n_turns, count(*) FILTER (own) AS n_trained,
+SELECT conv_id, part, slice, speaker, count(*) AS n_turns, count(*) FILTER (own) AS n_trained,
        string_agg(head || body || chr(10), '' ORDER BY n) AS text,
        coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(start + length(body) AS BIGINT), ',' ORDER BY n)
                 FILTER (own), '') AS spans
-FROM placed GROUP BY conv_id, part, speaker
+FROM placed GROUP BY conv_id, part, slice, speaker
 """
