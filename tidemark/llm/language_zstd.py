@@ -5,10 +5,12 @@ compressed whole with every dictionary; the language whose dictionary gives the
 is chosen (ties: first by code point). If the runner-up is less than ``MARGIN`` larger, the choice
 is marked as rejected.
 
-The dictionaries are fitted on a bounded sample: of each language the ``SAMPLE_TEXTS`` texts with
-the smallest seeded hashes, cut into pieces of ``PIECE_BYTES`` anywhere in them, of which
-``DICTIONARY_BYTES`` are taken in seeded order. At most ``MOST_LANGUAGES`` languages are learned;
-more are an error. All else covers every row and whole texts, in one pass without a shuffle.
+The dictionaries are fitted on a bounded sample: of each language the ``SAMPLE_TEXTS`` distinct texts with
+the smallest seeded hashes, cut into pieces of ``PIECE_BYTES`` anywhere in them, of which the first
+``SAMPLE_PIECES`` in seeded order are taken, up to ``DICTIONARY_BYTES``. Where there are more than
+``MOST_LANGUAGES`` values of the language, the most frequent ones (of equals the first by code point)
+are learned; the others, a dirty column's, are no answers. All else covers every row and whole
+texts, in one pass without a shuffle.
 
 Defined results: ``und`` with score 0 for null texts, texts without a letter, and everything if
 nothing could be learned; learning rows with a null lang or text are left out; repeated rows are
@@ -19,16 +21,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read_table, small_batches
+from tidemark.llm.common import read_table, saved, small_batches
 
 SAMPLE_TEXTS = 400
 PIECE_BYTES = 384
+SAMPLE_PIECES = 2048
+BUCKETS = 64
 DICTIONARY_BYTES = 256 << 10
 MOST_LANGUAGES = 500
 LEVEL = 6
@@ -36,46 +39,62 @@ MARGIN = 0.01
 SEED = 10
 
 
-def dictionary_of(texts: list[str]) -> bytes:
-    """Pieces of the texts in seeded order, up to DICTIONARY_BYTES."""
-    pieces = []
-    for text in texts:
-        raw = text.lower().encode()
-        pieces += [raw[i:i + PIECE_BYTES] for i in range(0, len(raw), PIECE_BYTES)]
-    order = np.random.default_rng(SEED).permutation(len(pieces))
-    out, size = [], 0
-    for i in order:
-        if size >= DICTIONARY_BYTES:
-            break
-        out.append(pieces[i])
-        size += len(pieces[i])
-    return b"".join(out)[:DICTIONARY_BYTES]
-
-
-def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
+def dictionary_of(pieces: list[bytes]) -> bytes:
+    """The pieces in their order, up to DICTIONARY_BYTES."""
+    return b"".join(pieces)[:DICTIONARY_BYTES]
+
+
+def least_of(rows: DataFrame, order: list[str], count: int) -> DataFrame:
+    """Of each language the first ``count`` rows; buckets of them first, so that no task meets a whole language."""
+    for by in (["lang", "bucket"], ["lang"]):
+        window = Window.partitionBy(*by).orderBy(*order)
+        rows = rows.withColumn("__n", F.row_number().over(window)).where(F.col("__n") <= count).drop("__n")
+    return rows
+
+
+def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """A dictionary for each language of the rows."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
-                     F.col(text_col).alias("text")).where("lang IS NOT NULL AND text <> ''")
-    key = F.xxhash64(F.lit(SEED), "id", "text")
-    # ids and hashes travel, not texts; each map task keeps SAMPLE_TEXTS rows of a language
-    by = Window.partitionBy("lang").orderBy("key", "id")
-    chosen = (
-        rows.select("id", "lang", key.alias("key")).distinct()
-        .withColumn("n", F.row_number().over(by)).where(F.col("n") <= SAMPLE_TEXTS)
-        .select("id", "lang", "key")
+    rows = df.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")).where(
+        "lang IS NOT NULL AND text <> ''")
+    rows = rows.withColumn("key", F.xxhash64(F.lit(SEED), "text"))
+    # hashes travel, not texts: copies of a text are one
+    keys = rows.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("held"))
+    known = (  # at most MOST_LANGUAGES rows
+        keys.groupBy("lang").agg(F.sum("held").alias("held"))
+        .orderBy(F.desc("held"), "lang").limit(MOST_LANGUAGES).select("lang")
     )
-    languages = chosen.select("lang").distinct().count()
-    if languages > MOST_LANGUAGES:
-        raise ValueError(f"{languages} languages; at most {MOST_LANGUAGES} are learned")
+    chosen = least_of(
+        keys.join(F.broadcast(known), "lang").select("lang", "key", F.pmod("key", F.lit(BUCKETS)).alias("bucket")),
+        ["key"], SAMPLE_TEXTS).drop("bucket")
     # at most SAMPLE_TEXTS rows for each of MOST_LANGUAGES languages
-    sample = (
-        rows.withColumn("key", key).join(F.broadcast(chosen), ["lang", "key"], "left_semi")
-        .dropDuplicates(["lang", "key", "id"])
-    )
+    texts = rows.join(F.broadcast(chosen), ["lang", "key"], "left_semi").dropDuplicates(["lang", "key"])
+    texts = saved(texts, "learning-texts")
+    # places of pieces are drawn first, so that a long text is cut where it is
+    last = F.floor((F.octet_length("text") - 1) / PIECE_BYTES)
+    places = texts.select("lang", "key", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("at"))
+    order = F.xxhash64(F.lit(SEED), "key", "at")
+    places = places.withColumn("order", order).withColumn("bucket", F.pmod("order", F.lit(BUCKETS)))
+    drawn = least_of(places, ["order", "key", "at"], SAMPLE_PIECES).groupBy("lang", "key").agg(
+        F.collect_list("at").alias("places"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 1 << 20):
+            rows = []
+            for lang, key, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                raw = text.lower().encode()
+                rows += [(lang, key, at, raw[at * PIECE_BYTES:(at + 1) * PIECE_BYTES]) for at in places]
+            lang, key, at, piece = zip(*rows, strict=True) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lang, pa.string()), pa.array(key, pa.int64()), pa.array(at, pa.int64()),
+                 pa.array(piece, pa.binary())], ["lang", "key", "at", "piece"])
+
+    # at most SAMPLE_PIECES pieces of a language
+    sample = texts.join(drawn, ["lang", "key"]).select("lang", "key", "text", "places").mapInArrow(
+        cut, "lang string, key long, at long, piece binary").withColumn("order", order)
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["key", "id"])
-        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "content": [dictionary_of(list(group["text"]))]})
+        group = group.sort_values(["order", "key", "at"])
+        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "content": [dictionary_of(list(group["piece"]))]})
 
     built = sample.groupBy("lang").applyInPandas(build, "lang string, content binary").collect()
     return {row["lang"]: bytes(row["content"]) for row in sorted(built, key=lambda r: r["lang"])}
