@@ -243,10 +243,14 @@ def labelled_sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str
     rows = (
         df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__raw"))
         .join(F.broadcast(some), "__id")  # at most MOST_LABELLED rows
-        .orderBy(F.xxhash64(F.lit(SEED), "__id"), "__id", F.xxhash64("__raw")).limit(MOST_LABELLED)
+        .withColumn("__tie", F.xxhash64("__raw"))
+    )
+    # texts are counted where they are; only numbers are brought together
+    counts = with_counts(rows, "__raw", ["__bad", "__id", "__tie"], "")
+    return (
+        counts.select("__bad", "__id", "__tie", *(v.alias(k) for k, v in features().items()))
+        .orderBy(F.xxhash64(F.lit(SEED), "__id"), "__id", "__tie").limit(MOST_LABELLED).drop("__id", "__tie")
     )
-    counts = with_counts(rows, "__raw", ["__bad"], "")
-    return counts.select("__bad", *(v.alias(k) for k, v in features().items()))
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[Rule]:
