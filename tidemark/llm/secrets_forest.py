@@ -1,7 +1,9 @@
 """Secret scans with a random forest against false positives.
 
-Candidates are runs of at least ``LEAST`` characters of the alphabets of keys, hashes and base64. Each
-gets statistics: length and make-up; how likely its character transitions are in the corpus' own
+Candidates are runs of at least ``LEAST`` characters of the alphabets of keys, hashes and base64, and, at any
+length and of any characters, values assigned to a name that holds one of ``NAMES`` and passwords inside
+addresses (``scheme://user:password@host``); of overlapping ones the first of these kinds counts. A shorter run
+that nothing names is no candidate: that is the floor. Each gets statistics: length and make-up; how likely its character transitions are in the corpus' own
 words; how much of it dictionary words cover; whether it stands in a path, address or assignment; and
 the words beside it (hashed). A random forest, trained on labelled findings, gives the probability
 that a finding is a secret; those below ``threshold`` are marked as false positives.
@@ -10,7 +12,8 @@ The dictionary holds all words with at least ``1 / DICTIONARY`` of the corpus' l
 all texts; character transitions are counted from it. The forest is fitted on a bounded sample: of each class at most
 ``MOST_LABELLED`` findings, by seeded hash. Where no labelled findings are given, :func:`weak_labels`
 labels the clear cases: quoted values assigned to a name such as ``token`` are secrets; what has
-only letters or only digits, or stands in an address, is none.
+only letters or only digits, or stands in an address, is none. What the labels are made from (``LABEL_GIVING``)
+is kept from the forest, so that it has to learn how secrets look and what stands beside them.
 
 Defined results: null and empty texts have no findings; a text may be as long as it likes; repeated rows are
 scanned each; labelled findings that are not found again are left out; without labels of both
@@ -42,13 +45,20 @@ BUCKETS = 12
 TREES = 40
 DEPTH = 8
 SEED = 2
-CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+RUN = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 NAMES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "private_key",
          "auth", "credential")
 MEASURES = (
     "size", "digits", "uppers", "lowers", "others", "changes", "entropy", "hex_only",
     "transitions", "coverage", "longest_word", "in_path", "in_address", "assigned", "quoted",
 )
+LABEL_GIVING = ("digits", "in_address", "assigned", "quoted")
+FEATURES = tuple(m for m in MEASURES if m not in LABEL_GIVING)
+# bounded repeats: a text without spaces is searched in linear time
+NAMED = re.compile(
+    rb"(?i)(?:%s)[\w-]{0,32}[\"']?[ \t]{0,8}[=:][ \t]{0,8}(?:\"([^\"\n]{1,4096})\"|'([^'\n]{1,4096})'|([^\s\"',;]{1,4096}))"
+    % "|".join(NAMES).encode())
+PASSWORD = re.compile(rb"://[^\s/:@]{1,256}:([^\s/@]{1,256})@")
 NEAR = tuple(f"{side}_{k}" for side in ("before", "before2", "after") for k in range(BUCKETS))
 
 
@@ -91,6 +101,20 @@ def transitions_of(words: dict[bytes, int]) -> np.ndarray:
     return np.log(table / table.sum(axis=1, keepdims=True))
 
 
+def candidates(text: bytes) -> list[tuple[int, int]]:
+    """Spans that may be secrets, by place: named values, passwords in addresses, long runs beside them."""
+    found: list[tuple[int, int]] = []
+    for pattern in (NAMED, PASSWORD, RUN):
+        taken, at = sorted(found), 0
+        for match in pattern.finditer(text):
+            start, stop = match.span(match.lastindex or 0)
+            while at < len(taken) and taken[at][1] <= start:
+                at += 1
+            if at == len(taken) or taken[at][0] >= stop:
+                found.append((start, stop))
+    return sorted(found)
+
+
 class Scanner:
     def __init__(self, words: dict[bytes, int]):
         import ahocorasick
@@ -114,14 +138,15 @@ class Scanner:
         kind = digit * 1 + upper * 2 + lower * 3
         shares = np.unique(raw, return_counts=True)[1] / n
         codes = np.where(upper, raw - 65, np.where(lower, raw - 97, 26)).astype(np.int64)
-        covered, longest = self.coverage(value.lower().decode())
+        covered, longest = self.coverage(value.lower().decode(errors="replace"))
         left, right = text[max(0, start - 8):start], text[stop:stop + 8]
-        outer = text[max(0, text.rfind(b" ", 0, start)):start] + right
+        near = max(0, start - 256)
+        outer = text[max(near, text.rfind(b" ", near, start)):start] + right
         return [
             n, digit.mean(), upper.mean(), lower.mean(), (kind == 0).mean(),
-            (kind[1:] != kind[:-1]).mean(), float(-(shares * np.log2(shares)).sum()),
+            (kind[1:] != kind[:-1]).mean() if n > 1 else 0.0, float(-(shares * np.log2(shares)).sum()),
             float(re.fullmatch(rb"[0-9a-f]+|[0-9A-F]+", value) is not None),
-            float(self.transitions[codes[:-1], codes[1:]].mean()), covered / n, longest,
+            float(self.transitions[codes[:-1], codes[1:]].mean()) if n > 1 else 0.0, min(covered / n, 1.0), longest,
             float(b"/" in value or left.endswith((b"/", b"\\")) or right.startswith((b"/", b"\\"))),
             float(left.endswith(b"@") or right.startswith((b"@", b".")) or b"://" in outer),
             float(re.search(rb"[=:]\s*[\"']?$", left) is not None),
@@ -143,14 +168,15 @@ class Scanner:
     def scan(self, text: bytes) -> Iterator[tuple]:
         """(start, length, value, measures, words beside it) of each candidate; offsets are code points."""
         points = last = 0
-        for found in CANDIDATE.finditer(text):
-            start, stop = found.span()
-            points += sum(1 for c in text[last:start] if c & 0xC0 != 0x80)
+        raw = np.frombuffer(text, np.uint8)
+        for start, stop in candidates(text):
+            points += int(np.count_nonzero((raw[last:start] & 0xC0) != 0x80))
             last = start
             before = [w.lower() for w in re.findall(rb"[^\W\d_][\w]*", text[max(0, start - 64):start])][-2:]
             after = [w.lower() for w in re.findall(rb"[^\W\d_][\w]*", text[stop:stop + 48])][:1]
             near = ([b""] * (2 - len(before)) + before)[::-1] + (after or [b""])
-            yield points, stop - start, found.group(), self.measures(text, start, stop), near
+            length = int(np.count_nonzero((raw[start:stop] & 0xC0) != 0x80))
+            yield points, length, text[start:stop], self.measures(text, start, stop), near
 
 
 def findings(df: DataFrame, words: dict[bytes, int]) -> DataFrame:
@@ -197,7 +223,7 @@ def weak_labels(found: DataFrame) -> Column:
 def fit_forest(found: DataFrame):
     """A forest over findings with a column ``label``, or the label's mean if there is one class."""
     order = F.xxhash64(F.lit(SEED), "doc_id", "start", "value")
-    names = [*MEASURES, *NEAR]
+    names = [*FEATURES, *NEAR]
     some = [
         found.where(F.col("label") == label).orderBy(order).limit(MOST_LABELLED).select("label", *names)
         for label in (0.0, 1.0)
@@ -228,7 +254,7 @@ def scan(df: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.
     if isinstance(model, float):
         scored = found.withColumn("score", F.lit(model))
     else:
-        assembled = VectorAssembler(inputCols=[*MEASURES, *NEAR], outputCol="features").transform(found)
+        assembled = VectorAssembler(inputCols=[*FEATURES, *NEAR], outputCol="features").transform(found)
         scored = model.transform(assembled).withColumn("score", vector_to_array("probability")[1])
     return scored.select("doc_id", "start", "length", "value", "score",
                          (F.col("score") >= threshold).alias("is_secret"))
