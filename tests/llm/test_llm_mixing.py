@@ -115,3 +115,29 @@ def test_query(spark, sf):
     for r in docs:
         sizes[r["source"]] += len(WORD.findall(r["text"] or ""))
     check(rows, sizes, mixing.BLOCK_WORDS)
+
+
+def test_equal_rows_are_dealt_to_all_shards(docs_of, monkeypatch):
+    """A third of the rows is one row again and again: no shard gets them all, and the result is that of single rows."""
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 500)
+    rows = [(None, "equal words here again", "en", "hot")] * 400
+    rows += [(i, f"words of document {i} " * (i % 5), "en", "hot" if i % 2 else "s") for i in range(800)]
+    df = docs_of(rows)
+    sizes = Counter()
+    for _, text, _, source in rows:
+        sizes[source] += len(WORD.findall(text))
+    plan = mixing.mix(mixing.sizes_of(df, "doc_id", "text", "source"), block_words=8)
+    got = [r.asDict() for r in plan.collect()]
+    assert len(got) == len(rows)
+    check(got, sizes, 8)
+    hot = sorted(r["taken"] for r in got if r["doc_id"] is None)
+    assert len(hot) == 400 and hot[0] < hot[-1]  # blocks are chosen inside the run of copies
+    mixed = Counter(r["source"] for r in mixing.mixed_documents(df, block_words=8).collect() for _ in WORD.findall(r["text"]))
+    assert mixed == Counter({source: sum(r["taken"] for r in got if r["source"] == source) for source in sizes})
+    # the copies lie in as many shards as the source has
+    seen = []
+    saved = mixing.saved
+    monkeypatch.setattr(mixing, "saved", lambda t, name: seen.append((name, saved(t, name))) or seen[-1][1])
+    mixing.mix(mixing.sizes_of(df, "doc_id", "text", "source"), block_words=8)
+    dealt = dict(seen)["dealt"].where("doc_id IS NULL").select("shard", "copies", "shards").collect()
+    assert len(dealt) == dealt[0].shards > 3 and max(r.copies for r in dealt) <= 400 // len(dealt) + 1

@@ -12,11 +12,13 @@ and ``q % n`` further blocks, those with the smallest seeded hashes.
 Quotients are not allotted one by one. Water-filling gives a level at which all seats but about
 one for each claimant are already fixed; only the quotients around that level are ranked. One source
 may hold any share of the rows: no step after the sizes sees a source as one group of documents;
-what is grouped by source is one row for each shard.
+what is grouped by source is one row for each shard. Equal rows are one row with a count, whose copies are
+dealt evenly to the shards and cut into blocks by arithmetic, so copies of one text do not meet in a shard.
 
 Defined results: null and empty texts have size 0 and are never taken; a null source is a source
 of its own, last in order; rows with a null doc_id, and repeated rows, take part like any others (equal
-rows stand next to each other); a total of 0 gives targets of 0.
+rows stand next to each other; in :func:`mixed_documents` rows of one id, text and source have the other
+columns of one of them); a total of 0 gives targets of 0.
 """
 
 from __future__ import annotations
@@ -147,12 +149,18 @@ def mix(
     small = totals.select(F.col("source").alias("__source"), "shards", "source_size", "target")
 
     # one row for each source; sources that hold many rows are joined by AQE's skew handling
-    dealt = sizes.join(small, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    grouped = sizes.groupBy("doc_id", "source", "row", "row2", "size").agg(F.count(F.lit(1)).alias("equal"))
+    dealt = grouped.join(small, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    # copies of a row go to as many shards as there are; a row of size 0 has nothing to be cut
+    runs = F.when(F.col("size") > 0, F.least("equal", "shards")).otherwise(F.lit(1)).cast("long")
     dealt = saved(
         dealt.withColumn("order", order)
-        .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "row", "row2"), "shards")),
+        .withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), runs - 1)))
+        .withColumn("copies", F.floor(F.col("equal") / runs) + (F.col("run") < F.col("equal") % runs).cast("long"))
+        .withColumn("shard", F.pmod(
+            F.pmod(F.xxhash64(F.lit(seed + 1), "row", "row2"), "shards") + F.col("run"), F.col("shards"))),
         "dealt")
-    shards = dealt.groupBy("source", "shard").agg(F.sum("size").alias("held")).where("held > 0")
+    shards = dealt.groupBy("source", "shard").agg(F.sum(F.col("size") * F.col("copies")).alias("held")).where("held > 0")
     shards = saved(
         shards.withColumn("blocks", F.greatest(F.lit(1), F.round(F.col("held") / block_words)).cast("long")),
         "shards")
@@ -188,11 +196,17 @@ def mix(
         "quotas")
 
     at = Window.partitionBy("source", "shard").orderBy("order", "row", "row2")
-    placed = (
-        dealt.withColumn("end", F.sum("size").over(at.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("start", F.col("end") - F.col("size"))
+    words = F.col("size") * F.col("copies")
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
+    full = (
+        dealt.where("size > 0")
+        .withColumn("start", F.sum(words).over(at.rowsBetween(Window.unboundedPreceding, 0)) - words)
         .join(parts, F.col("source").eqNullSafe(F.col("__source")) & (F.col("shard") == F.col("__shard")), "left")
+        .withColumn("copy", copy)
+        .withColumn("start", F.col("start") + F.col("copy") * F.col("size"))
     )
+    empty = dealt.where("size = 0").withColumn("copy", copy)
+    placed = full.unionByName(empty, allowMissingColumns=True).withColumn("end", F.col("start") + F.col("size"))
 
     def cut(b: Column) -> Column:
         """Where block ``b`` begins: blocks of a shard differ by one word at most."""
@@ -242,17 +256,16 @@ def mixed_documents(
     """The mix itself: whole copies, and one row with the words taken once more, joined by the
     white space that stood before each, stretch by stretch. All columns pass through."""
     plan = mix(sizes_of(df, id_col, text_col, source_col), **options)
-    # of equal rows different parts may be taken, so they are numbered
-    equal = Window.partitionBy("__row", "__row2")
     plan = plan.where("taken > 0").select(
         F.col("row").alias("__row"), F.col("row2").alias("__row2"), F.col("passes").alias("__passes"),
         F.col("spans").alias("__spans"))
-    plan = plan.withColumn("__nth", F.row_number().over(equal.orderBy("__passes", "__spans")))
     row, row2 = row_keys(id_col, text_col, source_col)
     text = F.col(f"`{text_col}`")
-    rows = df.withColumns({"__row": row, "__row2": row2}).withColumn(
-        "__nth", F.row_number().over(equal.orderBy(F.lit(0))))
-    met = rows.join(plan, ["__row", "__row2", "__nth"])
+    # one of equal rows, cut to one before the shuffle: it stands for all of them, whatever is taken of each
+    others = [F.col(f"`{c}`") for c in df.columns if c not in (id_col, text_col, source_col)]
+    first = Window.partitionBy("__row", "__row2").orderBy(F.xxhash64(F.lit(0), *others))
+    rows = df.withColumns({"__row": row, "__row2": row2}).withColumn("__nth", F.row_number().over(first))
+    met = rows.where(F.col("__nth") == 1).join(plan, ["__row", "__row2"])
     tokens = F.regexp_extract_all(text, F.lit(f"{SPACE}*{WORD}"), F.lit(0))
     pieces = F.flatten(F.transform("__spans", lambda s: F.slice(
         tokens, (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int"))))
