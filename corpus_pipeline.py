@@ -33,12 +33,25 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, and one row of each document; rows without an id stay."""
-    gone = superminhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
-    by = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "source", "lang")
-    named = docs.where(F.col("doc_id").isNotNull()).withColumn("__n", F.row_number().over(by))
-    one = named.where(F.col("__n") == 1).drop("__n").join(gone, "doc_id", "left_anti")
-    return one.select(*COLUMNS).unionByName(docs.where(F.col("doc_id").isNull()).select(*COLUMNS))
+    """One document of each group stays, and one of equal rows; rows without an id stay.
+
+    Different texts under one id are judged each: the text with the least hash goes by the id, any other by a
+    number of its own above all ids, so that a text goes only for what it resembles itself.
+    """
+    hashes = {"__h": F.xxhash64("text"), "__h2": F.xxhash64(F.lit(1), "text")}
+    named = docs.where(F.col("doc_id").isNotNull()).withColumns(hashes)
+    several = named.groupBy(F.col("doc_id").alias("__id")).agg(
+        F.min("__h").alias("__least"), F.max("__h").alias("__most")).where(F.col("__least") < F.col("__most"))
+    own = F.lit(1 << 62) + F.xxhash64("doc_id", "__h").bitwiseAND(F.lit((1 << 61) - 1))
+    alone = F.col("__least").isNull() | (F.col("__h") == F.col("__least"))
+    units = named.join(several, F.col("doc_id") == F.col("__id"), "left").withColumn(
+        "__unit", F.when(alone, F.col("doc_id")).otherwise(own))
+    found = superminhash.near_duplicates(units, "__unit", "text")
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("__unit"))
+    by = Window.partitionBy("doc_id", "__h", "__h2").orderBy("source", "lang")
+    one = units.withColumn("__n", F.row_number().over(by)).where(F.col("__n") == 1)
+    kept = one.join(gone, "__unit", "left_anti").select(*COLUMNS)
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()).select(*COLUMNS))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
