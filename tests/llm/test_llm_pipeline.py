@@ -65,6 +65,19 @@ def test_stages(spark, sf, docs_of, edge_rows):
     assert Counter((str(r.doc_id), tuple(r.ids)) for r in coded[1]) == texts
 
 
+def test_different_texts_under_one_id(spark, sf, docs_of):
+    """A text goes for what it resembles itself, not for what shares its id."""
+    prose = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(5)]
+    rows = [(1, prose[0]), (2, prose[1]), (2, prose[0] + " more"), (2, prose[1]), (3, prose[2]), (3, prose[3]),
+            (4, prose[3]), (None, prose[0]), (None, prose[0])]
+    docs = docs_of([(i, t, "en", "s") for i, t in rows]).select(*pipeline.COLUMNS)
+    got = Counter((r.doc_id, r.text) for r in pipeline.near_dedup(spark, docs, sf).collect())
+    kept = {t: [i for i, x in got if x == t and i is not None] for t in dict(got.keys()).values()}
+    assert got[(None, prose[0])] == 2 and got[(1, prose[0])] == 1 and (2, prose[0] + " more") not in got
+    assert got[(2, prose[1])] == 1 and got[(3, prose[2])] == 1
+    assert len(kept[prose[3]]) == 1  # of documents 3 and 4
+
+
 def test_empty_tables(spark, tmp_path, sf):
     for table in ("documents", "labels"):
         spark.read.parquet(f"{sf}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")

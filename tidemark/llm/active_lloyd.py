@@ -165,7 +165,7 @@ def compress(
     good = df.where(whole(vector))
     width = common_width(good.select(F.size(vector).alias("length")), parts)
     state = saved(
-        good.where(F.size(vector) == width).select(
+        good.where(F.size(vector) == (width or -1)).select(
             F.col(f"`{id_col}`").alias("vec_id"), F.col(f"`{label_col}`").alias("label"),
             floors(vector, scale).alias("x")),
         "integer-parts")
