@@ -31,7 +31,7 @@ from tidemark.llm.common import read_table, saved, small_batches
 SAMPLE_TEXTS = 400
 PIECE_BYTES = 384
 SAMPLE_PIECES = 2048
-BUCKETS = 64
+SPARE = 4
 DICTIONARY_BYTES = 256 << 10
 MOST_LANGUAGES = 500
 LEVEL = 6
@@ -44,12 +44,18 @@ def dictionary_of(pieces: list[bytes]) -> bytes:
     return b"".join(pieces)[:DICTIONARY_BYTES]
 
 
-def least_of(rows: DataFrame, order: list[str], count: int) -> DataFrame:
-    """Of each language the first ``count`` rows; buckets of them first, so that no task meets a whole language."""
-    for by in (["lang", "bucket"], ["lang"]):
-        window = Window.partitionBy(*by).orderBy(*order)
-        rows = rows.withColumn("__n", F.row_number().over(window)).where(F.col("__n") <= count).drop("__n")
-    return rows
+def least_of(rows: DataFrame, hashed: str, order: list[str], count: int) -> DataFrame:
+    """Of each language the ``count`` rows with the least hashes.
+
+    Rows whose hash is too large to be among them by far (``SPARE`` times as many are expected to stay) go
+    first, where they are, so that what meets in a task does not grow with the language.
+    """
+    place = F.pmod(hashed, F.lit(1 << 30))
+    held = rows.groupBy(F.col("lang").alias("__lang")).agg(F.count(F.lit(1)).alias("__held"))  # a row a language
+    few = rows.join(F.broadcast(held), F.col("lang") == F.col("__lang")).where(
+        place * F.col("__held") < float(SPARE * count * (1 << 30)))
+    window = Window.partitionBy("lang").orderBy(place, *order)
+    return few.withColumn("__n", F.row_number().over(window)).where(F.col("__n") <= count).drop("__n", "__lang", "__held")
 
 
 def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
@@ -58,14 +64,13 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict
         "lang IS NOT NULL AND text <> ''")
     rows = rows.withColumn("key", F.xxhash64(F.lit(SEED), "text"))
     # hashes travel, not texts: copies of a text are one
-    keys = rows.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("held"))
+    keys = saved(rows.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("held")), "learning-keys")
     known = (  # at most MOST_LANGUAGES rows
         keys.groupBy("lang").agg(F.sum("held").alias("held"))
         .orderBy(F.desc("held"), "lang").limit(MOST_LANGUAGES).select("lang")
     )
     chosen = least_of(
-        keys.join(F.broadcast(known), "lang").select("lang", "key", F.pmod("key", F.lit(BUCKETS)).alias("bucket")),
-        ["key"], SAMPLE_TEXTS).drop("bucket")
+        keys.join(F.broadcast(known), "lang").select("lang", "key"), "key", ["key"], SAMPLE_TEXTS)
     # at most SAMPLE_TEXTS rows for each of MOST_LANGUAGES languages
     texts = rows.join(F.broadcast(chosen), ["lang", "key"], "left_semi").dropDuplicates(["lang", "key"])
     texts = saved(texts, "learning-texts")
@@ -73,8 +78,7 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict
     last = F.floor((F.octet_length("text") - 1) / PIECE_BYTES)
     places = texts.select("lang", "key", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("at"))
     order = F.xxhash64(F.lit(SEED), "key", "at")
-    places = places.withColumn("order", order).withColumn("bucket", F.pmod("order", F.lit(BUCKETS)))
-    drawn = least_of(places, ["order", "key", "at"], SAMPLE_PIECES).groupBy("lang", "key").agg(
+    drawn = least_of(places.withColumn("order", order), "order", ["order", "key", "at"], SAMPLE_PIECES).groupBy("lang", "key").agg(
         F.collect_list("at").alias("places"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
