@@ -628,6 +628,131 @@ def stream_landing_to_silver(spark, sf_dir):
     )
 
 
+def _raw_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All nine files of the history by bronze table; reviews have line breaks and quotes in their cells."""
+    b = testbed.bronze(spark, sf_dir)
+    tables = {name: b[name].select(*C.BRONZE_COLUMNS[name]) for name in C.HISTORY_FILES.values() if name in b}
+    tables["geolocation"] = b["customers"].select(
+        F.col("customer_zip_code_prefix").alias("geolocation_zip_code_prefix"),
+        F.lit("-1.5").alias("geolocation_lat"), F.lit("2.25").alias("geolocation_lng"),
+        F.col("customer_city").alias("geolocation_city"), F.col("customer_state").alias("geolocation_state"))
+    tables["order_reviews"] = b["orders"].select(
+        F.concat(F.lit("r"), F.col("order_id")).alias("review_id"), "order_id",
+        F.concat(F.lit('said "'), F.col("order_status"), F.lit('",\nthen\n'), F.col("order_id")).alias("review_comment_message"))
+    return tables
+
+
+_NINE_FILES = {
+    "customers": "SELECT * FROM b_customers",
+    "geolocation": "SELECT customer_zip_code_prefix, '-1.5', '2.25', customer_city, customer_state FROM b_customers",
+    "orders": f"SELECT {', '.join(C.ORDER_COLUMNS)} FROM b_orders WHERE source_system = 'olist'",
+    "order_items": f"SELECT {', '.join(C.ITEM_COLUMNS)} FROM b_items WHERE source_system = 'olist'",
+    "order_payments": f"SELECT {', '.join(C.PAYMENT_COLUMNS)} FROM b_payments WHERE source_system = 'olist'",
+    "order_reviews": """SELECT 'r' || order_id, order_id, 'said "' || order_status || '",' || chr(10) || 'then' || chr(10)
+                        || order_id FROM b_orders WHERE source_system = 'olist'""",
+    "products": "SELECT * FROM b_products",
+    "sellers": """SELECT s_suppkey::VARCHAR, (s_suppkey * 37)::VARCHAR, '  porto/' || lower(n_name) || ' ', ' n' || s_nationkey
+                  FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+    "product_category_translation": "SELECT * FROM b_translation",
+}
+
+
+@register("csv_nine_files", D.sql(" UNION ALL ".join(f"""
+    SELECT '{table}' AS table_name, '{name}' AS source_file, count(*) AS row_count,
+           ifnull(sum(length(cells)), 0)::BIGINT AS chars,
+           ifnull(sum(length(cells) - length(replace(cells, chr(10), ''))), 0)::BIGINT AS line_breaks
+    FROM (SELECT concat_ws('', *COLUMNS(*)) AS cells FROM ({_NINE_FILES[table]}))"""
+    for name, table in C.HISTORY_FILES.items())))
+def csv_nine_files(spark, sf_dir):
+    """The whole history, nine files, through the full-refresh loader; every cell of every stored row is counted."""
+    root = scratch_dir(spark, "nine")
+    for name, table in C.HISTORY_FILES.items():
+        _raw_files(spark, sf_dir)[table].write.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(f"{root}/raw/{name}")
+    lake = Lake(spark, f"{root}/lake")
+    loaded = csv_history.load_history(lake, f"{root}/raw", "load-1")
+    stored = None
+    for table in C.HISTORY_FILES.values():
+        rows = lake.read("bronze", table)
+        cells = F.concat_ws("", *[c for c in rows.columns if c not in C.LINEAGE])
+        counted = rows.agg(
+            F.lit(table).alias("table_name"), F.coalesce(F.sum(F.char_length(cells)), F.lit(0)).alias("chars"),
+            F.coalesce(F.sum(F.regexp_count(cells, F.lit("\n"))), F.lit(0)).cast("long").alias("line_breaks"))
+        stored = counted if stored is None else stored.unionByName(counted)
+    return loaded.join(stored, "table_name")
+
+
+_LIVE = {"orders": ("b_orders", C.ORDER_COLUMNS), "order_items": ("b_items", C.ITEM_COLUMNS),
+         "order_payments": ("b_payments", C.PAYMENT_COLUMNS)}
+
+
+@register("landing_three_entities", D.sql(" UNION ALL ".join(f"""
+    SELECT '{entity}' AS entity, run, status, CASE WHEN run = 'load-1' AND status = 'new' THEN n ELSE 0 END AS rows,
+           CASE WHEN run = 'load-1' THEN n END AS logged, CASE WHEN run = 'load-1' THEN chars END AS chars
+    FROM (SELECT count(*) AS n, sum(length(concat_ws('', {', '.join(columns)})))::BIGINT AS chars FROM {table}
+          WHERE source_system = 'live'),
+         (VALUES ('load-1', 'new'), ('load-2', 'skipped')) AS runs(run, status)"""
+    for entity, (table, columns) in _LIVE.items())))
+def landing_three_entities(spark, sf_dir):
+    """Orders, items and payments through the landing zone, twice: the run summaries, the rows that the log gives for
+    the files of each entity, and all cells of the live tables."""
+    root = scratch_dir(spark, "entities")
+    b = testbed.bronze(spark, sf_dir)
+    for entity, table in C.LANDING_TABLES.items():
+        landing.export_landing(b[table].select(*_LIVE[entity][1]).repartition(3), f"{root}/landing", entity, "a")
+    lake = Lake(spark, f"{root}/lake")
+    summary = None
+    for run in ("load-1", "load-2"):
+        got = landing.ingest_landing(lake, f"{root}/landing", run).withColumn("run", F.lit(run))
+        summary = got if summary is None else summary.unionByName(got)
+    logged = landing.ingestion_log(lake).groupBy("entity", F.col("batch_id").alias("run")).agg(
+        F.sum("row_count").cast("long").alias("logged"))
+    cells = None
+    for entity in C.LANDING_TABLES:
+        columns = _LIVE[entity][1]
+        one = landing.live_table(lake, entity).groupBy(F.col("_batch_id").alias("run")).agg(
+            F.lit(entity).alias("entity"), F.sum(F.char_length(F.concat_ws("", *columns))).alias("chars"))
+        cells = one if cells is None else cells.unionByName(one)
+    return (
+        summary.where("files > 0").join(logged, ["entity", "run"], "left").join(cells, ["entity", "run"], "left")
+        .select("entity", "run", "status", "rows", "logged", "chars")
+    )
+
+
+@register("landing_files_by_status", D.sql("""
+    SELECT 'orders/orders_part' || k // 10 % 4 AS source_file, count(*) AS lines,
+           CASE WHEN k // 10 % 4 >= 2 THEN 'new' WHEN k // 10 % 4 = 1 THEN 'changed' ELSE 'known' END AS status
+    FROM b_orders WHERE source_system = 'live' GROUP BY ALL"""))
+def landing_files_by_status(spark, sf_dir):
+    """Real files listed and hashed with the default setting: two are in the log, one of them was written anew in
+    another order since, two are new."""
+    root = scratch_dir(spark, "status")
+    rows = testbed.bronze(spark, sf_dir)["live_orders"].select(*C.ORDER_COLUMNS)
+    n = F.floor(F.col("order_id").cast("long") / 10) % 4
+
+    def put(part: int, order) -> None:
+        landing.export_landing(
+            rows.where(n == part).repartition(1).sortWithinPartitions(order), f"{root}/landing", "orders", f"part{part}")
+
+    put(0, "order_id")
+    put(1, "order_id")
+    lake = Lake(spark, f"{root}/lake")
+    landing.ingest_landing(lake, f"{root}/landing", "load-1")
+    files.delete(spark, f"{root}/landing/orders/orders_part1_00000.jsonl")
+    for part in (1, 2, 3):
+        put(part, F.desc("order_id"))
+    listing = landing.list_landing(spark, f"{root}/landing", "orders")
+    states = landing.classify(listing, landing.ingestion_log(lake))
+    now = landing.fingerprints(spark, listing, "orders")
+    lines = landing.read_lines(spark, [f"{root}/landing/orders"]).groupBy(
+        F.concat(F.lit("orders/"), F.col("file_name")).alias("source_file")).agg(F.count(F.lit(1)).alias("lines"))
+    differs = F.col("file_sha256") != F.col("logged_sha256")
+    status = F.when(F.col("status") == "new", "new").when(differs, "changed").otherwise("known")
+    return states.join(now, "source_file").join(lines, "source_file").select(
+        F.regexp_replace("source_file", r"_\d+\.jsonl$", "").alias("source_file"), "lines", status.alias("status"))
+
+
 # --- profiles and samples -------------------------------------------------------------------
 
 
@@ -736,6 +861,56 @@ def dq_delivered_without_date(spark, sf_dir):
     return orders.where(checks.delivered_without_date()).select(*checks.DELIVERED_COLUMNS)
 
 
+@register("audit_tables", D.sql(f"""
+    SELECT 'not_flagged_items_is_negative_price' AS "check", count(*) AS failures, count(*) AS stored, 'warn' AS status
+    FROM stg_order_items WHERE is_negative_price
+    UNION ALL SELECT 'unique_customers_customer_unique_id', count(*), count(*), 'fail' FROM (
+      SELECT 1 FROM stg_customers GROUP BY customer_unique_id HAVING count(*) > 1)
+    UNION ALL SELECT 'relationships_products_category_name_pt_translation', count(*), count(DISTINCT category_name_pt), 'fail'
+    FROM stg_products WHERE category_name_pt NOT IN (SELECT pt FROM b_translation)
+    UNION ALL SELECT 'accepted_values_raw_order_status', count(DISTINCT order_status), count(DISTINCT order_status), 'fail'
+    FROM b_orders WHERE order_status NOT IN {D.STATUSES}
+    UNION ALL SELECT 'not_null_products_product_id', 0, 0, 'pass'"""))
+def audit_tables(spark, sf_dir):
+    """Checks that warn, fail and pass, and the failing rows that each has left in its audit table."""
+    w = written_warehouse(spark, sf_dir)
+    b = w.bronze
+    tables = {
+        "items": w.silver("stg_order_items"), "customers": w.silver("stg_customers"), "products": w.silver("stg_products"),
+        "translation": b["product_category_translation"],
+        "raw": silver.union_sources(b["orders"], b["live_orders"], C.ORDER_COLUMNS),
+    }
+    suite = quality.Suite(tables)
+    suite.not_flagged("items", "is_negative_price")
+    suite.unique("customers", "customer_unique_id")
+    suite.relationships("products", "category_name_pt", "translation", "product_category_name")
+    suite.accepted_values("raw", "order_status", C.ORDER_STATUSES)
+    suite.not_null("products", "product_id")
+    lake = Lake(spark, scratch_dir(spark, "audit"))
+    results = quality.run_checks(suite, lake, "checks-1", raise_on_error=False)
+    stored = None
+    for check in suite.checks:
+        rows = lake.read("audit", check.name).agg(F.lit(check.name).alias("check"), F.count(F.lit(1)).alias("stored"))
+        stored = rows if stored is None else stored.unionByName(rows)
+    return results.join(stored, "check").select("check", "failures", "stored", "status")
+
+
+@register("schema_change_refused", D.sql("""
+    SELECT order_id, order_item_id, price::DOUBLE AS price, 'batch_note, price' AS refused FROM stg_order_items"""))
+def schema_change_refused(spark, sf_dir):
+    """A batch with a new column and a retyped one is refused by name, and the table stays as it was."""
+    lake = Lake(spark, scratch_dir(spark, "schema"))
+    items = written_warehouse(spark, sf_dir).silver("stg_order_items").select("order_id", "order_item_id", "price")
+    write_keyed(lake, "gold", "items", items, C.ITEM_KEY, "run-1", 2)
+    other = items.withColumns({"price": F.col("price").cast("string"), "batch_note": F.lit("x")})
+    refused = ""
+    try:
+        write_keyed(lake, "gold", "items", other, C.ITEM_KEY, "run-2", 2)
+    except ValueError as error:
+        refused = str(error).rpartition(": ")[2]
+    return lake.read("gold", "items").withColumn("refused", F.lit(refused))
+
+
 def _totals(w: Warehouse, persons: DataFrame) -> DataFrame:
     return gold.revenue_totals(
         w.fct_orders, w.mart_daily_revenue, w.mart_category_performance, persons

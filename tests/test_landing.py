@@ -171,3 +171,13 @@ def test_export_writes_complete_files_with_nulls(lake, zone, spark):
     text = spark.read.text(f"{zone.root}/orders").select(F.col("value")).first().value
     assert json.loads(text)["customer_id"] is None
     assert ingest(lake, zone, "b1")["rows"] == 5
+
+
+def test_all_problems_are_kept(lake, zone):
+    """The message shows the first ones; the rest is not lost, and texts are not torn."""
+    zone("bad.jsonl", *[{"order_id": str(n), "a; b": 1} for n in range(30)])
+    with pytest.raises(landing.BadLandingFile, match="and more") as caught:
+        ingest(lake, zone, "b1")
+    found = caught.value.problems.orderBy("line_no").collect()
+    assert [r.line_no for r in found] == list(range(1, 31))
+    assert {r.problem for r in found} == {"unexpected field a; b"}

@@ -31,6 +31,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(location))
 
 
+def move(spark: SparkSession, path: str, target: str) -> bool:
+    """Rename a folder in one step; False where the target is there already."""
+    fs, location = _fs(spark, path)
+    return fs.rename(location, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target))
+
+
 def move_into(spark: SparkSession, folder: str, target: str, rename) -> list[str]:
     """Rename the data files of ``folder`` into ``target`` (same file system), each in one
     step. ``rename`` maps a running number to the new name."""

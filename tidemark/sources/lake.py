@@ -9,7 +9,14 @@ before that append leaves the previous state in place, and running it again is s
 A log entry is one of
   replace  the version is the whole table (or, with parts, one part of the new whole),
   append   the version is added to the table,
-  merge    the version replaces one part of the table (``rows`` = 0: the part is gone).
+  merge    the version replaces one part of the table (``rows`` = 0: the part is gone),
+  past     (in snapshots only) a version was committed once and is no longer part of the table.
+
+A commit is one folder ``commit=<number>`` of the log. Every ``FOLD`` commits all but the last few are put
+into one ``snapshot=<number>``, written aside and renamed when it is whole: readers take the last
+snapshot and the commits after it, so their number does not grow with the age of the lake. A driver that
+dies while folding leaves the commits as they are.
+
 Parts of a keyed table also have the range of their keys there, and a filter of them beside the data
 (:mod:`tidemark.sources.key_index`). One writer per table at a time is assumed.
 """
@@ -27,6 +34,9 @@ from pyspark.sql.types import StructType
 from tidemark import config as C
 from tidemark.sources import files, key_index
 
+FOLD = 16  # commits between two snapshots
+RECENT = 4  # the last commits are not folded: another writer may have taken the same number
+
 COMMIT_SCHEMA = (
     "seq long, layer string, table_name string, part string, version string, "
     "mode string, row_count long, loaded_at timestamp, committed_at timestamp, "
@@ -134,10 +144,51 @@ class Lake:
 
     # --- reading ---------------------------------------------------------------------------
 
-    def commits(self) -> DataFrame:
+    def _log_folders(self) -> list[tuple[int, str]]:
+        """(number, name) of the last snapshot and of the commits after it."""
         if not files.exists(self.spark, self._log):
+            return []
+        kinds: dict[str, list[int]] = {"commit": [], "snapshot": []}
+        for name in files.child_names(self.spark, self._log):
+            kind, _, number = name.partition("=")
+            if kind in kinds and number.isdigit():
+                kinds[kind].append(int(number))
+        folded = max(kinds["snapshot"], default=-1)
+        found = [(folded, f"snapshot={folded:012d}")] if folded >= 0 else []
+        return found + [(n, f"commit={n:012d}") for n in sorted(kinds["commit"]) if n > folded]
+
+    def commits(self) -> DataFrame:
+        """The entries of the log, without those that a snapshot has left out."""
+        paths = [f"{self._log}/{name}" for _, name in self._log_folders()]
+        if not paths:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._log)
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(*paths)
+
+    def _fold(self, last: int) -> None:
+        """One snapshot of the commits up to a number; the commits of the snapshot before it go."""
+        rows = self.commits().where(F.col("seq") <= last)
+        table = ["layer", "table_name"]
+        starts = rows.groupBy(*table).agg(F.max(F.when(F.col("mode") == "replace", F.col("seq"))).alias("start"))
+        unit = F.when(F.col("mode") == "append", F.col("version")).otherwise(F.lit(""))
+        live = (
+            rows.where("mode <> 'past'").join(starts, table).where(F.col("seq") >= F.coalesce("start", F.lit(0)))
+            .groupBy(*table, "part", unit.alias("unit"))
+            .agg(F.max_by(F.struct(*rows.columns), "seq").alias("last")).select("last.*")
+        )
+        named = [*table, "version"]
+        past = rows.select(*named).distinct().join(live.select(*named), named, "left_anti").select(
+            F.lit(0).cast("long").alias("seq"), *table, F.lit("").alias("part"), "version", F.lit("past").alias("mode"))
+        whole = live.unionByName(past, allowMissingColumns=True).select(*rows.columns)
+        before = [n for n, name in self._log_folders() if name.startswith("snapshot")]
+        aside = f"{self._log}/folding={last:012d}"
+        whole.coalesce(1).write.mode("overwrite").parquet(aside)
+        if not files.move(self.spark, aside, f"{self._log}/snapshot={last:012d}"):
+            return
+        # readers that found the snapshot before this one may still be at work: what is older than that goes
+        for name in files.child_names(self.spark, self._log) if before else []:
+            kind, _, number = name.partition("=")
+            if kind in ("commit", "snapshot") and int(number) < before[0] + (kind == "commit"):
+                files.delete(self.spark, f"{self._log}/{name}")
 
     def _own_commits(self, layer: str, table: str) -> DataFrame:
         return self.commits().where((F.col("layer") == layer) & (F.col("table_name") == table))
@@ -146,7 +197,7 @@ class Lake:
         """What makes up the table now: metadata, one row per part or appended batch."""
         unit = F.when(F.col("mode") == "append", F.col("version")).otherwise(F.lit(""))
         units = (
-            self._own_commits(layer, table)
+            self._own_commits(layer, table).where("mode <> 'past'")
             .groupBy("part", unit.alias("unit"))
             .agg(
                 F.max_by(F.struct(
@@ -253,8 +304,8 @@ class Lake:
 
     def commit(self, changes: Iterable[Change]) -> None:
         """Make staged changes visible, all of them at once (one file is appended)."""
-        last = self.commits().agg(F.max("seq")).first()[0]
-        seq = 0 if last is None else last + 1
+        folders = self._log_folders()
+        seq = max((n for n, _ in folders), default=-1) + 1
         now = dt.datetime.now(dt.timezone.utc)
         rows = [
             (seq, c.layer, c.table, c.part, c.version, c.mode, c.row_count, c.loaded_at, now,
@@ -265,8 +316,10 @@ class Lake:
             self.spark.createDataFrame(rows, COMMIT_SCHEMA)
             .coalesce(1)
             .write.mode("append")
-            .parquet(self._log)
+            .parquet(f"{self._log}/commit={seq:012d}")
         )
+        if sum(name.startswith("commit") for _, name in folders) >= FOLD + RECENT:
+            self._fold(seq - RECENT)
 
     def replace(
         self,

@@ -253,8 +253,18 @@ def locate_problems(spark: SparkSession, paths: Sequence[str], columns: Sequence
 # --- loading --------------------------------------------------------------------------------
 
 
+SHOWN_PROBLEMS = 20
+
+
 class BadLandingFile(ValueError):
-    """A landing file holds a line that cannot be loaded; names the file and the line."""
+    """Landing files hold lines that cannot be loaded. The message names the first ones; ``problems`` is
+    all of them: (file_name, line_no, problem)."""
+
+    def __init__(self, problems: DataFrame):
+        self.problems = problems
+        first = problems.orderBy("file_name", "line_no").limit(SHOWN_PROBLEMS + 1).collect()
+        shown = [f"{r.file_name}: {r.problem} on line {r.line_no}" for r in first[:SHOWN_PROBLEMS]]
+        super().__init__("; ".join(shown) + ("; and more" if len(first) > SHOWN_PROBLEMS else ""))
 
 
 def live_table(lake: Lake, entity: str) -> DataFrame:
@@ -284,7 +294,7 @@ def _stage_rows(
         tagged = with_lineage(rows.where("problem IS NULL"), ingested_at, source, batch_id)
         return lake.stage(
             "bronze", table, tagged.select(*columns, *C.LINEAGE), batch_id, "append",
-            loaded_at=dt.datetime.fromisoformat(ingested_at),
+            loaded_at=dt.datetime.fromisoformat(ingested_at), by_content=True,
         )
 
     watch = Observation()
@@ -382,17 +392,11 @@ def ingest_entity(
     counts["new"] = logged[0].row_count
     counts["rows"] = changes[0].row_count if changes else 0
     if bad:
-        _raise_bad(spark, [p for p in with_rows if p.rsplit("/", 1)[-1] in bad], columns)
+        paths = [p for p in with_rows if p.rsplit("/", 1)[-1] in bad]
+        raise BadLandingFile(locate_problems(spark, paths, columns))
     return counts
 
 
-def _raise_bad(spark: SparkSession, paths: list[str], columns: Sequence[str]) -> None:
-    first = (
-        locate_problems(spark, paths, columns).orderBy("file_name", "line_no").limit(20).collect()
-    )
-    raise BadLandingFile("; ".join(f"{r.file_name}: {r.problem} on line {r.line_no}" for r in first))
-
-
 def ingest_landing(
     lake: Lake,
     landing_dir: str,

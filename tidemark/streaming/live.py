@@ -29,7 +29,6 @@ log = logging.getLogger(__name__)
 
 NO_AGE = "36500d"  # files are known by the ingestion log; none is too old
 PROBLEM_TABLE = "landing_problems"
-PROBLEM_SCHEMA = "entity string, batch_id string, problem string"
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -161,9 +160,9 @@ def stream_landing(
             ingest_entity(lake, landing_dir, entity, batch_id, listing=listing)
         except BadLandingFile as bad:
             log.error("not loaded: %s", bad)
-            problems = lake.spark.createDataFrame(
-                [(entity, batch_id, problem) for problem in str(bad).split("; ")], PROBLEM_SCHEMA
-            )
+            problems = bad.problems.select(
+                F.lit(entity).alias("entity"), F.lit(batch_id).alias("batch_id"),
+                F.format_string("%s: %s on line %d", "file_name", "problem", "line_no").alias("problem"))
             lake.commit(lake.stage("bronze", PROBLEM_TABLE, problems, batch_id, "append"))
         if upsert_buckets is not None:
             catch_up(lake, entity, upsert_buckets)
