@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import left_join_spread_nulls
+from tidemark.operators.joins import heavy_keys, inner_join_spread, left_join_spread_nulls
 from tidemark.operators.latest import latest_per_key
 
 ROWS = 120_000
@@ -85,3 +85,36 @@ def test_hot_join_key_is_split(shuffled):
     )
     sizes = rows_per_partition(joined)
     assert sum(sizes) == ROWS and max(sizes) < ROWS / 6
+
+
+def test_heavy_keys_are_found_in_one_pass(shuffled):
+    rows = shuffled.range(ROWS).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, "warm").when(F.col("id") % 7 != 0, F.col("id").cast("string"))
+        .alias("k"))
+    assert heavy_keys(rows, "k") == ["hot", "warm"]
+    assert heavy_keys(rows, "k", share=10) == ["hot"]
+    assert heavy_keys(rows.where("k IS NULL"), "k") == [] and heavy_keys(rows.limit(0), "k") == []
+    plan = executed(rows.agg(F.expr("approx_top_k(k, 10, 1000)")))
+    assert "hashpartitioning" not in plan
+
+
+def test_hot_keys_are_salted_without_adaptive_execution(shuffled):
+    """A customer with a third of all orders, adaptive execution off: no task has twice the median."""
+    shuffled.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        key = F.when(F.col("id") % 3 == 0, "7").when(F.col("id") % 100 == 1, F.lit(None)).otherwise(F.col("id").cast("string"))
+        left, right = orders(shuffled, key), customers(shuffled)
+        hot = heavy_keys(left, "customer_id")
+        assert hot == ["7"]
+        joined = left_join_spread_nulls(left, right, "customer_id", "order_id", hot)
+        sizes = sorted(rows_per_partition(joined))
+        assert sum(sizes) == ROWS and sizes[-1] < 2 * sizes[len(sizes) // 2]
+        plain = left_join_spread_nulls(left, right, "customer_id", "order_id")
+        assert joined.columns == plain.columns and joined.exceptAll(plain).isEmpty()
+        inner = inner_join_spread(left, right, "customer_id", ["order_id"], hot)
+        sizes = sorted(rows_per_partition(inner))
+        assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+        want = left.join(right, "customer_id")
+        assert sum(sizes) == want.count() and inner.select(want.columns).exceptAll(want).isEmpty()
+    finally:
+        shuffled.conf.set("spark.sql.adaptive.enabled", "true")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark import config as C
 from tidemark.functions import days_between, ratio
-from tidemark.operators.joins import left_join_spread_nulls
+from tidemark.operators.joins import inner_join_spread, left_join_spread_nulls
 
 _MONEY_SUM = "decimal(38,2)"
 
@@ -40,9 +42,11 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
 
 
 def fct_orders(
-    orders: DataFrame, items: DataFrame, payments: DataFrame, customers: DataFrame
+    orders: DataFrame, items: DataFrame, payments: DataFrame, customers: DataFrame,
+    hot_customers: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per order with item, payment, delivery and quality measures.
+    """One row per order with item, payment, delivery and quality measures. ``hot_customers`` are ids with very many
+    orders (:func:`heavy_keys`), whose join is salted.
 
     Items and payments are reduced to one row per order before they are joined. The three
     sides meet on ``order_id`` first, so orders are shuffled once for deduplication and both
@@ -55,7 +59,7 @@ def fct_orders(
         orders.join(items_per_order(items), "order_id", "left")
         .join(payments_per_order(payments), "order_id", "left")
     )
-    joined = left_join_spread_nulls(per_order, persons, "customer_id", spread_by="order_id")
+    joined = left_join_spread_nulls(per_order, persons, "customer_id", "order_id", hot_customers)
 
     delivered = F.col("delivered_to_customer_at")
     base = joined.select(
@@ -206,12 +210,11 @@ def mart_daily_revenue(fct: DataFrame) -> DataFrame:
     )
 
 
-def valid_items(items: DataFrame, fct: DataFrame) -> DataFrame:
+def valid_items(items: DataFrame, fct: DataFrame, hot_orders: Sequence[str] = ()) -> DataFrame:
     """Items of orders that count as revenue."""
     counted = fct.where("is_valid_for_revenue").select("order_id", "customer_unique_id")
-    return items.select("order_id", "product_id", "price", "freight_value", "item_total").join(
-        counted, "order_id"
-    )
+    sold = items.select("order_id", "product_id", "price", "freight_value", "item_total")
+    return inner_join_spread(sold, counted, "order_id", ["product_id", "price"], hot_orders)
 
 
 def with_share_and_rank(groups: DataFrame, amount: str, share: str, position: str) -> DataFrame:
@@ -226,8 +229,12 @@ def with_share_and_rank(groups: DataFrame, amount: str, share: str, position: st
     })
 
 
-def mart_category_performance(items: DataFrame, fct: DataFrame, products: DataFrame) -> DataFrame:
-    """Volume, revenue, share and rank per category over valid orders.
+def mart_category_performance(
+    items: DataFrame, fct: DataFrame, products: DataFrame,
+    hot_orders: Sequence[str] = (), hot_products: Sequence[str] = (),
+) -> DataFrame:
+    """Volume, revenue, share and rank per category over valid orders. ``hot_orders`` and ``hot_products`` are ids
+    with very many items (:func:`heavy_keys`), whose joins are salted.
 
     Orders and customers are both counted distinct: where a customer id repeats in the customer
     list, an order has a fact row for each person. Both counts run in one aggregate keyed by (category, distinct
@@ -235,7 +242,7 @@ def mart_category_performance(items: DataFrame, fct: DataFrame, products: DataFr
     """
     categories = products.select("product_id", "category")
     sold = left_join_spread_nulls(
-        valid_items(items, fct), categories, "product_id", spread_by="order_id"
+        valid_items(items, fct, hot_orders), categories, "product_id", "order_id", hot_products
     )
     per_category = sold.groupBy(F.coalesce("category", F.lit("unknown")).alias("category")).agg(
         F.count("*").alias("units_sold"),

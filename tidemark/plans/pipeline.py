@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark import config as C
 from tidemark.operators.history import update_history
+from tidemark.operators.joins import heavy_keys
 from tidemark.operators.quality import run_checks
 from tidemark.plans import gold
 from tidemark.plans.checks import build_suite
@@ -69,18 +70,20 @@ def build_gold(
         changes.extend(lake.stage("gold", name, df, run_id, "replace"))
         return lake.read_version("gold", name, run_id)
 
+    items = s["stg_order_items"]
     fct = write("fct_orders", gold.fct_orders(
-        s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_customers"]
+        s["stg_orders"], items, s["stg_order_payments"], s["stg_customers"],
+        heavy_keys(s["stg_orders"], "customer_id"),
     ))
     products = write("dim_products", gold.dim_products(s["stg_products"]))
     write("dim_customers", gold.dim_customers(fct, s["stg_customers"]))
     write("mart_daily_revenue", gold.mart_daily_revenue(fct))
     write("mart_category_performance", gold.mart_category_performance(
-        s["stg_order_items"], fct, products
+        items, fct, products, heavy_keys(items, "order_id"), heavy_keys(items, "product_id")
     ))
     lake.commit(changes)
     update_item_fact_from_silver(
-        lake, s["stg_order_items"], run_id, item_buckets, lookback_hours, rebuild_items
+        lake, items, run_id, item_buckets, lookback_hours, rebuild_items
     )
 
 
