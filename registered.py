@@ -15,7 +15,7 @@ from tidemark.operators import history, quality
 from tidemark.operators.joins import left_join_spread_nulls
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.sample import sample_rows
-from tidemark.operators.upsert import write_keyed
+from tidemark.operators.upsert import in_parts, part_of, write_keyed
 from tidemark.plans import checks, gold, incremental_marts, item_fact, profile, silver
 from tidemark.session import prepare, scratch_dir
 from tidemark.sources import csv_history, files, landing, testbed
@@ -853,6 +853,26 @@ def dq_unique_combination(spark, sf_dir):
     return quality.unique_combination(raw, C.ITEM_KEY)
 
 
+@register("dq_unique_since_load", D.sql("""
+    SELECT order_id, order_item_id, 2 AS duplicate_count FROM stg_order_items WHERE order_id::BIGINT % 97 = 0"""))
+def dq_unique_since_load(spark, sf_dir):
+    """Items of thirty load days; the next load appends every 97th order again. Only its own keys, and the old parts
+    that may hold them, are looked at."""
+    lake = Lake(spark, scratch_dir(spark, "since"))
+    number = F.col("order_id").cast("long")
+    items = written_warehouse(spark, sf_dir).silver("stg_order_items").select("order_id", "order_item_id")
+    day = F.floor(number / 4 % 30).cast("int")
+    first = _moment("2024-01-01 00:00:00")
+    for version, mode, rows, at in (
+        ("load-1", "replace", items, first + F.make_dt_interval(days=day)),
+        ("load-2", "append", items.where(number % 97 == 0), first + F.make_dt_interval(days=F.lit(30))),
+    ):
+        parts = in_parts(rows.withColumn("part", part_of(C.ITEM_KEY, 1, at)), C.ITEM_KEY)
+        lake.commit(lake.stage("gold", "items", parts, version, mode, by_part=True, keys=C.ITEM_KEY))
+    return quality.duplicates_since(lake, "gold", "items", C.ITEM_KEY, "load-2")[0].withColumn(
+        "duplicate_count", F.col("duplicate_count").cast("int"))
+
+
 @register("dq_delivered_without_date", D.sql("""
     SELECT order_id, order_status, purchased_at, delivered_to_customer_at, source_system
     FROM stg_orders WHERE order_status = 'delivered' AND delivered_to_customer_at IS NULL"""))

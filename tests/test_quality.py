@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.operators.sample import sample_rows
+from tidemark.operators.upsert import part_of
 from tidemark.plans import checks, profile
 
 
@@ -97,3 +99,42 @@ def test_sample_is_repeatable(spark):
     again = {r.id for r in sample_rows(df.repartition(7), ["id"], 50, seed=1).collect()}
     other = {r.id for r in sample_rows(df, ["id"], 50, seed=2).collect()}
     assert len(first) == 50 and first == again and first != other
+
+
+def dated(spark, days, keys):
+    at = F.make_timestamp(F.lit(2024), F.lit(1), F.col("d"), F.lit(0), F.lit(0), F.lit(0))
+    return spark.createDataFrame([(k, d) for k in keys for d in days], "k string, d int").select(
+        "k", "d", at.alias("at"), part_of(["k"], 1, at).alias("part"))
+
+
+def test_duplicates_across_an_old_and_a_new_part(lake, spark):
+    """Thirty days are there; a load of the next one repeats a key of its own and one of day 7: only that day is opened."""
+    old = dated(spark, range(1, 31), [f"n{n}" for n in range(20)])
+    old = old.withColumn("k", F.concat(F.lit("k"), "d", F.lit("-"), F.substring("k", 2, 9))).select(
+        "k", "at", part_of(["k"], 1, F.col("at")).alias("part"))
+    lake.commit(lake.stage("gold", "t", old, "old", "replace", by_part=True, keys=["k"]))
+    fresh = dated(spark, [31], ["k31-1", "k31-1", "k7-3", "k31-2"]).drop("d")
+    lake.commit(lake.stage("gold", "t", fresh, "new", "append", by_part=True, keys=["k"]))
+    found, opened = quality.duplicates_since(lake, "gold", "t", ["k"], "new")
+    assert sorted(map(tuple, found.collect())) == [("k31-1", 2), ("k7-3", 2)] and opened <= 3
+    whole = quality.unique_combination(lake.read("gold", "t"), ["k"])
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, found.collect()))
+    assert quality.duplicates_since(lake, "gold", "t", ["k"], "none")[0].count() == 0
+
+
+def test_failing_rows_are_computed_once(lake, spark):
+    """Rows of a check that is a query are written once and counted there."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(10).repartition(1).mapInArrow(seen, "id long")
+    suite = quality.Suite({"t": spark.range(3)})
+    suite.query("some_rows", rows)
+    suite.not_null("t", "id")
+    result = {r.check: (r.failures, r.status) for r in quality.run_checks(suite, lake, "r1", raise_on_error=False).collect()}
+    assert result == {"some_rows": (10, "fail"), "not_null_t_id": (0, "pass")}
+    assert calls.value == 10 and lake.read("audit", "some_rows").count() == 10

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import broadcast_if_small
+from tidemark.operators.upsert import rows_with_keys
+from tidemark.sources import key_index
 from tidemark.sources.lake import Lake
 
 ERROR, WARN = "error", "warn"
@@ -121,8 +124,28 @@ class Suite:
         self.checks.append(Check(name, failing, severity))
 
 
-def report(suite: Suite) -> DataFrame:
-    """(check, severity, failures, status) of every check, as one lazy relation.
+def duplicates_since(lake: Lake, layer: str, table: str, keys: Sequence[str], version: str) -> tuple[DataFrame, int]:
+    """(keys..., duplicate_count) of the keys of a keyed table that a version has made double, and the number of
+    older parts opened for it.
+
+    What was unique before need not be compared again: only the keys of the parts that the version wrote are
+    counted, together with the rows of older parts that share one of them. Older parts are opened where their
+    range and filter of keys let one of them through. Keys with a NULL match nothing.
+    """
+    state = lake.state(layer, table)
+    written = {e.part for e in state.entries if e.version == version and e.row_count > 0}
+    paths = [f"{lake.table_path(layer, table)}/version={version}/part={p}" for p in sorted(written)]
+    if not paths:
+        return state.read().select(*keys).limit(0).withColumn("duplicate_count", F.lit(0).cast("long")), 0
+    new = lake.spark.read.parquet(*paths).select(*keys).where(key_index.whole_key(keys))
+    older = replace(state, entries=tuple(e for e in state.entries if e.version != version))
+    rows, opened = rows_with_keys(older, broadcast_if_small(new.distinct()), keys)
+    every = new if rows is None else new.unionByName(rows.select(*keys))
+    return unique_combination(every, keys), len(opened)
+
+
+def report(suite: Suite, rows_only: bool = False) -> DataFrame | None:
+    """(check, severity, failures, status) of every check (or of the row checks), as one lazy relation.
 
     All row checks of a table share a single aggregate over it; every other check is one
     aggregate over its failing rows.
@@ -132,11 +155,10 @@ def report(suite: Suite) -> DataFrame:
     for check in suite.checks:
         if check.table is not None:
             by_table.setdefault(check.table, []).append(check)
-            continue
-        failures = F.count("*") if check.weight is None else F.coalesce(F.sum(check.weight), F.lit(0))
-        counted.append(check.failing.agg(failures.alias("failures")).select(
-            F.lit(check.name).alias("check"), F.lit(check.severity).alias("severity"), "failures"
-        ))
+        elif not rows_only:
+            counted.append(check.failing.agg(_failures(check).alias("failures")).select(
+                F.lit(check.name).alias("check"), F.lit(check.severity).alias("severity"), "failures"
+            ))
     for table, checks in by_table.items():
         totals = suite.tables[table].agg(F.array(*[
             F.struct(
@@ -145,9 +167,19 @@ def report(suite: Suite) -> DataFrame:
             ) for c in checks
         ]).alias("counts"))
         counted.append(totals.select(F.inline("counts")))
+    if not counted:
+        return None
     merged = counted[0]
     for part in counted[1:]:
         merged = merged.unionByName(part)
+    return _with_status(merged)
+
+
+def _failures(check: Check) -> Column:
+    return F.count("*") if check.weight is None else F.coalesce(F.sum(check.weight), F.lit(0))
+
+
+def _with_status(merged: DataFrame) -> DataFrame:
     failed = F.when(F.col("severity") == ERROR, "fail").otherwise("warn")
     return merged.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(failed))
 
@@ -160,25 +192,42 @@ def run_checks(
     suite: Suite, lake: Lake | None = None, run_id: str | None = None, raise_on_error: bool = True
 ) -> DataFrame:
     """Run a suite. With a lake, the failing rows of every check replace its audit table: one
-    that passed is left with none. Warnings never raise."""
-    results = report(suite).collect()  # one row per check
-    if lake is not None:
-        run_id = run_id or uuid.uuid4().hex
-        failures = {r.check: r.failures for r in results}
-        stored = lake.row_counts("audit")
-        changes = []
-        for check in suite.checks:
-            if failures[check.name]:
-                changes += lake.stage("audit", check.name, check.failing, run_id, "replace")
-            elif stored.get(check.name) != 0:  # never written, or rows of an earlier failure
-                none = check.failing.limit(0)
-                changes += lake.stage("audit", check.name, none, run_id, "replace")
-        if changes:
-            lake.commit(changes)
+    that passed is left with none. Warnings never raise.
+
+    Row checks of a table are counted together first, and only those that fail are run again to store
+    their rows. The rows of any other check are computed once: they are written, and counted in what was written.
+    """
+    spark = next(iter(suite.tables.values())).sparkSession
+    schema = "check string, severity string, failures long, status string"
+    if lake is None:
+        results = report(suite).collect()  # one row per check
+    else:
+        results = _run_and_store(suite, lake, run_id or uuid.uuid4().hex)
     failed = [r.check for r in results if r.status == "fail"]
     if failed and raise_on_error:
         raise ChecksFailed(", ".join(failed))
-    spark = next(iter(suite.tables.values())).sparkSession
-    return spark.createDataFrame(
-        results, "check string, severity string, failures long, status string"
-    )
+    return spark.createDataFrame(results, schema)
+
+
+def _run_and_store(suite: Suite, lake: Lake, run_id: str) -> list:
+    counted = report(suite, rows_only=True)
+    counts = {r.check: r.failures for r in counted.collect()} if counted is not None else {}
+    stored = lake.row_counts("audit")
+    changes = []
+    for check in suite.checks:
+        if check.name in counts:
+            rows = check.failing if counts[check.name] else check.failing.limit(0)
+            if counts[check.name] or stored.get(check.name) != 0:  # 0: nothing is there to be replaced
+                changes += lake.stage("audit", check.name, rows, run_id, "replace")
+            continue
+        staged = lake.stage("audit", check.name, check.failing, run_id, "replace")
+        kept = lake.read_version("audit", check.name, run_id)
+        counts[check.name] = kept.agg(_failures(check)).first()[0] if check.weight else staged[0].row_count
+        if staged[0].row_count or stored.get(check.name) != 0:
+            changes += staged
+    if changes:
+        lake.commit(changes)
+    lines = lake.spark.createDataFrame(
+        [(c.name, c.severity, int(counts[c.name])) for c in suite.checks],
+        "check string, severity string, failures long")
+    return _with_status(lines).collect()  # one row per check
