@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import config as C
+from tidemark.operators.joins import broadcast_if_small
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.upsert import write_keyed
+from tidemark.operators.upsert import rows_with_keys, write_keyed
 from tidemark.plans import silver
+from tidemark.sources import key_index
 from tidemark.sources.lake import Change, Lake
 from tidemark.sources.landing import BadLandingFile, ingest_entity
 
@@ -81,15 +83,22 @@ def upsert_copies(
     the names are committed together with the rows, even if there are none."""
     flow, table = FLOWS[entity], current_table(entity)
     state = lake.state("silver", table)
+    holding = None
     if state.parts and not rebuild:
-        stored = state.read()
-        keys = copies.select(*[F.col(k).alias(f"_batch_{k}") for k in flow.keys]).distinct()
-        match = [F.col(k).eqNullSafe(F.col(f"_batch_{k}")) for k in flow.keys]
-        copies = copies.unionByName(stored.join(keys, match, "left_semi"))
+        keys = copies.select(*flow.keys).distinct()
+        if keys.where(~key_index.whole_key(flow.keys)).isEmpty():
+            # only the parts that may hold a key of the batch are opened
+            stored, holding = rows_with_keys(state, broadcast_if_small(keys), flow.keys)
+            if stored is not None:
+                copies = copies.unionByName(stored.select(*copies.columns))
+        else:  # keys with a NULL are alike here, and in no filter
+            named = keys.select(*[F.col(k).alias(f"_batch_{k}") for k in flow.keys])
+            match = [F.col(k).eqNullSafe(F.col(f"_batch_{k}")) for k in flow.keys]
+            copies = copies.unionByName(state.read().join(named, match, "left_semi"))
     newest = latest_per_key(copies, flow.keys)
     marks = [Change("silver", table, name, "merge", 0, f"{_APPLIED}{name}") for name in applied]
     return write_keyed(
-        lake, "silver", table, newest, flow.keys, run_id, buckets, rebuild=rebuild, extra=marks
+        lake, "silver", table, newest, flow.keys, run_id, buckets, rebuild=rebuild, extra=marks, holding=holding
     )
 
 
