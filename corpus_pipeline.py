@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import lines, mixing, pieces, quality_rules, superminhash
 from tidemark.llm.common import read_table, saved
+from tidemark.operators.joins import broadcast_if_small
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 MIX = {"weights": (3.0, 1.0, 2.0), "share": 1.5, "most_repeats": 2, "block_words": 512}
@@ -42,6 +43,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = docs.where(F.col("doc_id").isNotNull()).withColumns(hashes)
     several = named.groupBy(F.col("doc_id").alias("__id")).agg(
         F.min("__h").alias("__least"), F.max("__h").alias("__most")).where(F.col("__least") < F.col("__most"))
+    several = broadcast_if_small(several)  # few, as a rule: then texts stay where they are
     own = F.lit(1 << 62) + F.xxhash64("doc_id", "__h").bitwiseAND(F.lit((1 << 61) - 1))
     alone = F.col("__least").isNull() | (F.col("__h") == F.col("__least"))
     units = named.join(several, F.col("doc_id") == F.col("__id"), "left").withColumn(
