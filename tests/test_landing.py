@@ -2,12 +2,14 @@ import hashlib
 import json
 import logging
 import os
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import config as C
-from tidemark.sources import landing
+from tidemark.sources import file_blocks, landing
 
 
 @pytest.fixture
@@ -137,10 +139,91 @@ def test_fingerprint_is_the_digest_of_the_bytes(lake, zone, spark, block):
     try:
         listing = landing.list_landing(spark, zone.root, "orders")
         got = dict(map(tuple, landing.fingerprints(spark, listing, "orders").collect()))
+        by_lines = dict(map(tuple, landing.line_fingerprints(spark, listing, "orders").collect()))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     for n, body in enumerate(bodies):
         assert got[f"orders/f{n}.jsonl"] == hashlib.sha256(body).hexdigest(), body[:20]
+    assert by_lines == got
+
+
+def test_fingerprints_shuffle_names_only(zone, spark):
+    zone("a.jsonl", {"order_id": "1"})
+    listing = landing.list_landing(spark, zone.root, "orders")
+    plan = landing.fingerprints(spark, listing, "orders")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and "Sort [source_file" not in plan
+    assert landing.line_fingerprints(spark, listing, "orders")._jdf.queryExecution().executedPlan().toString().count(
+        "FileScan text") == 1
+
+
+def test_memory_of_a_fingerprint_does_not_grow_with_the_file(tmp_path):
+    path = tmp_path / "long.jsonl"
+    with open(path, "wb") as file:
+        file.write(b"{}\n")
+        file.truncate(1 << 30)
+    batch = pa.RecordBatch.from_arrays([pa.array([f"file:{path}"])], ["path"])
+    tracemalloc.start()
+    (got,) = list(file_blocks.digest_paths(1 << 20)([batch]))
+    peak = tracemalloc.get_traced_memory()[1] + pa.default_memory_pool().max_memory()
+    tracemalloc.stop()
+    with open(path, "rb") as file:
+        assert got.column(1).to_pylist() == [hashlib.file_digest(file, "sha256").hexdigest()]
+    assert peak < 64 << 20
+
+
+def test_listings_agree_and_hold_still(zone, spark):
+    zone("a.jsonl", {"order_id": "1"})
+    zone("sp ace+pl%us.jsonl", {"order_id": "2"})
+    zone("empty.jsonl", raw="")
+    for hidden in ("_a.jsonl", ".b.jsonl", "c.jsonl.tmp"):
+        zone(hidden, {"order_id": "3"})
+    listing = landing.list_landing(spark, zone.root, "orders")
+    scanned = landing._scanned_listing(spark, f"file:{zone.root}/orders")
+    name = F.regexp_extract("path", "[^/]+$", 0).alias("name")
+    by_task, by_scan = (
+        {r.name: (r.file_length, r.modified_at) for r in d.select(name, "file_length", "modified_at").collect()}
+        for d in (listing, scanned))
+    assert set(by_task) == set(by_scan) == {"a.jsonl", "sp ace+pl%us.jsonl", "empty.jsonl"}
+    assert all(by_task[n] == by_scan[n] for n in by_task if n != "empty.jsonl")
+    zone("late.jsonl", {"order_id": "4"})
+    assert listing.count() == 3
+
+
+def test_many_new_files_are_loaded_in_groups(lake, zone, monkeypatch):
+    """A driver that dies between two groups loses and repeats nothing."""
+    for n in range(7):
+        zone(f"f{n}.jsonl", {"order_id": str(n)}, *(["oops"] if n == 3 else []))
+    commit, done = lake.commit, []
+
+    def commit_once(changes):
+        if done:
+            raise OSError("driver lost")
+        done.append(1)
+        commit(changes)
+
+    with monkeypatch.context() as m:
+        m.setattr(lake, "commit", commit_once)
+        with pytest.raises(OSError):
+            ingest(lake, zone, "b1", group_files=2)
+    first = landing.live_table(lake, "orders").count()
+    assert 0 < first < 6
+    with pytest.raises(landing.BadLandingFile, match="f3.jsonl: invalid JSON on line 2"):
+        ingest(lake, zone, "b1", group_files=2)
+    rows = [r.order_id for r in landing.live_table(lake, "orders").collect()]
+    assert sorted(rows) == ["0", "1", "2", "4", "5", "6"]
+    logged = landing.ingestion_log(lake).collect()
+    assert len(logged) == 6 and {r.row_count for r in logged} == {1} and {r.batch_id for r in logged} == {"b1"}
+
+
+def test_all_changed_files_are_counted(lake, zone, caplog):
+    for n in range(landing.SHOWN_PROBLEMS + 2):
+        zone(f"f{n}.jsonl", {"order_id": str(n)})
+    ingest(lake, zone, "b1")
+    for n in range(landing.SHOWN_PROBLEMS + 2):
+        zone(f"f{n}.jsonl", {"order_id": str(-n - 1)})
+    with caplog.at_level(logging.WARNING):
+        assert ingest(lake, zone, "b2")["changed"] == landing.SHOWN_PROBLEMS + 2
+    assert f"{landing.SHOWN_PROBLEMS + 2} files of orders changed" in caplog.text
 
 
 def test_uncommitted_rows_are_invisible(lake, zone, monkeypatch):

@@ -11,6 +11,12 @@ def _fs(spark: SparkSession, path: str):
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and host."""
+    fs, location = _fs(spark, path)
+    return fs.makeQualified(location).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, location = _fs(spark, path)
     return fs.exists(location)

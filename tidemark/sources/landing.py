@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import logging
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -14,7 +16,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from tidemark import config as C
-from tidemark.sources import files
+from tidemark.session import scratch_dir
+from tidemark.sources import file_blocks, files
 from tidemark.sources.csv_history import utc_now_text, with_lineage
 from tidemark.sources.lake import Change, Lake
 
@@ -54,34 +57,32 @@ def _decoded(name: Column) -> Column:
 def list_landing(spark: SparkSession, landing_dir: str, entity: str) -> DataFrame:
     """Complete files of one entity: ``*.jsonl``, never ``*.jsonl.tmp``. Reads no content.
 
-    Scans give no row for a zero-byte file, so such files are added from the file listing.
+    The listing is taken once, by an executor, and written to the scratch folder: a file that arrives later is
+    in the next one. Names do not come to the driver.
     """
-    folder = f"{landing_dir.rstrip('/')}/{entity}"
-    files_found = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl").load(folder)
-    )
-    source_file = F.concat(F.lit(f"{entity}/"), _file_name(F.col("path")))
-    seen = files_found.select(
-        "path", source_file.alias("source_file"),
-        F.col("length").alias("file_length"), F.col("modificationTime").alias("modified_at"),
-    )
-    # Same file index as the scan: a file that arrives in between is in neither.
-    paths = files_found.inputFiles()
-    if len(paths) == seen.count():
-        return seen
-    listed = spark.createDataFrame([(p,) for p in paths], "path string").select(
-        _decoded(F.col("path")).alias("path")
-    )
+    folder = files.qualified(spark, f"{landing_dir.rstrip('/')}/{entity}")
+    if file_blocks.reachable(folder):
+        found = file_blocks.list_folder(spark, folder, ".jsonl")
+    else:
+        found = _scanned_listing(spark, folder)
+    kept = scratch_dir(spark, "listing")
+    found.select(
+        "path", F.concat(F.lit(f"{entity}/"), _file_name(F.col("path"))).alias("source_file"),
+        "file_length", "modified_at",
+    ).write.parquet(kept)
+    return spark.read.schema(LISTING_SCHEMA).parquet(kept)
+
+
+def _scanned_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """The listing by Spark's file scan, for file systems that only the JVM opens. A scan gives no row for a
+    zero-byte file, so such files are added from its file index."""
+    scan = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl").load(folder)
+    seen = scan.select("path", F.col("length").alias("file_length"), F.col("modificationTime").alias("modified_at"))
     plain = F.regexp_replace("path", "^file:/+", "file:/")
-    empty = (
-        listed.withColumn("_plain", plain)
-        .join(seen.select(plain.alias("_plain")), "_plain", "left_anti")
-        .select(
-            "path", source_file.alias("source_file"),
-            F.lit(0).cast("long").alias("file_length"),
-            F.lit(None).cast("timestamp").alias("modified_at"),
-        )
-    )
+    listed = spark.createDataFrame([(p,) for p in scan.inputFiles()], "path string").select(
+        _decoded(F.col("path")).alias("path"))
+    empty = listed.withColumn("_plain", plain).join(seen.select(plain.alias("_plain")), "_plain", "left_anti").select(
+        "path", F.lit(0).cast("long").alias("file_length"), F.lit(None).cast("timestamp").alias("modified_at"))
     return seen.unionByName(empty)
 
 
@@ -113,23 +114,30 @@ def classify(listing: DataFrame, loaded: DataFrame, rehash_known: bool = True) -
     )
 
 
-def _paths(listing: DataFrame, condition: Column) -> list[str]:
-    """Paths of a few files to open: file metadata, no content."""
-    return [r.path for r in listing.where(condition).select("path").collect()]
-
-
 def fingerprints(spark: SparkSession, listing: DataFrame, entity: str) -> DataFrame:
     """(source_file, file_sha256) of the listed files: SHA-256 of their bytes, whatever their
     size, computed on the executors in constant memory.
 
+    Where the file system allows it, a task reads a file in blocks, and only names are shuffled.
+    """
+    listing = listing.select("path", "source_file", "file_length")
+    scheme = F.substring_index("path", ":", 1)
+    foreign = listing.where(~scheme.isin(*file_blocks.SCHEMES))
+    if foreign.isEmpty():
+        return listing.join(file_blocks.digests(listing), "path").select("source_file", "file_sha256")
+    return line_fingerprints(spark, listing, entity)
+
+
+def line_fingerprints(spark: SparkSession, listing: DataFrame, entity: str) -> DataFrame:
+    """``fingerprints`` through Spark's text scan, for file systems that only the JVM opens.
+
     The lines of a file are brought together in their order and fed to one running digest. The
     text reader leaves out a byte-order mark and does not tell whether the last line ends; both follow
     from the length of the file.
     """
-    listing = listing.select("path", "source_file", "file_length")
     empty = F.col("file_length") == 0
     result = listing.where(empty).select("source_file", F.lit(EMPTY_SHA256).alias("file_sha256"))
-    paths = _paths(listing, ~empty)
+    paths = [r.path for r in listing.where(~empty).select("path").collect()]
     if not paths:
         return result
     lines = spark.read.text(paths, lineSep="\n").select(
@@ -254,6 +262,7 @@ def locate_problems(spark: SparkSession, paths: Sequence[str], columns: Sequence
 
 
 SHOWN_PROBLEMS = 20
+GROUP_FILES = 10_000  # new files opened and committed together
 
 
 class BadLandingFile(ValueError):
@@ -279,7 +288,7 @@ def ingestion_log(lake: Lake) -> DataFrame:
 
 
 def _stage_rows(
-    lake: Lake, entity: str, paths: list[str], columns: Sequence[str], batch_id: str, ingested_at: str
+    lake: Lake, entity: str, paths: list[str], columns: Sequence[str], batch_id: str, version: str, ingested_at: str
 ) -> tuple[list[Change], list[str]]:
     """Write the rows of the good files. Returns the pending change and the bad file names.
 
@@ -293,7 +302,7 @@ def _stage_rows(
     def stage(rows: DataFrame) -> list[Change]:
         tagged = with_lineage(rows.where("problem IS NULL"), ingested_at, source, batch_id)
         return lake.stage(
-            "bronze", table, tagged.select(*columns, *C.LINEAGE), batch_id, "append",
+            "bronze", table, tagged.select(*columns, *C.LINEAGE), version, "append",
             loaded_at=dt.datetime.fromisoformat(ingested_at), by_content=True,
         )
 
@@ -303,7 +312,13 @@ def _stage_rows(
         return changes, []
     names = parsed.where("problem IS NOT NULL").select("file_name").distinct().collect()
     bad = [r.file_name for r in names]
-    return stage(parsed.where(~F.col("file_name").isin(bad))), bad
+    return stage(_without(parsed, bad)), bad
+
+
+def _without(rows: DataFrame, bad: Sequence[str]) -> DataFrame:
+    """Rows of other files than the named ones, of which there are at most GROUP_FILES."""
+    named = rows.sparkSession.createDataFrame([(n,) for n in bad], "file_name string")
+    return rows.join(F.broadcast(named), "file_name", "left_anti")
 
 
 def ingest_entity(
@@ -315,8 +330,10 @@ def ingest_entity(
     columns: Sequence[str] | None = None,
     rehash_known: bool = True,
     listing: DataFrame | None = None,
+    group_files: int = GROUP_FILES,
 ) -> dict[str, int]:
-    """Load the new files of one entity; rows and log entries become visible together.
+    """Load the new files of one entity; rows and log entries become visible together. More than
+    ``group_files`` new files are loaded in several commits, so the driver never holds more names.
 
     Known files are compared by content (without ``rehash_known`` only where length or
     modification time differ) and skipped; files that changed after they were loaded are reported and not
@@ -338,34 +355,60 @@ def ingest_entity(
     by_status = {r.status: r["count"] for r in states.groupBy("status").count().collect()}
     counts["skipped"] = by_status.get("known", 0)
     if by_status.get("check"):
-        suspects = states.where("status = 'check'")
-        compared = suspects.join(fingerprints(spark, suspects, entity), "source_file")
-        differing = [
-            r.source_file
-            for r in compared.where("file_sha256 <> logged_sha256").select("source_file").collect()
-        ]
-        for name in differing:
-            log.warning("changed after it was loaded, not loaded again: %s", name)
-        counts["changed"] = len(differing)
-        counts["skipped"] += by_status["check"] - len(differing)
+        kept = scratch_dir(spark, "changed")
+        changed_files(spark, states, entity).write.parquet(kept)
+        differing = spark.read.schema("source_file string").parquet(kept)
+        counts["changed"] = differing.count()
+        counts["skipped"] += by_status["check"] - counts["changed"]
+        for r in differing.orderBy("source_file").limit(SHOWN_PROBLEMS).collect():
+            log.warning("changed after it was loaded, not loaded again: %s", r.source_file)
+        if counts["changed"] > SHOWN_PROBLEMS:
+            log.warning("%d files of %s changed after they were loaded; all are in %s", counts["changed"], entity, kept)
     if not by_status.get("new"):
         return counts
 
     new_files = states.where("status = 'new'").drop("logged_sha256", "status")
-    with_rows = _paths(new_files, F.col("file_length") > 0)
+    groups = -(-by_status["new"] // group_files)
+    ingested_at = ingested_at or utc_now_text()
+    problems: list[DataFrame] = []
+    for group in range(groups):
+        # a run that is taken up again finds some groups committed, and cuts the rest anew
+        version = batch_id if groups == 1 else f"{batch_id}-{uuid.uuid4().hex[:12]}"
+        part = new_files.where(F.pmod(F.xxhash64("source_file"), F.lit(groups)) == group)
+        found = _ingest_files(lake, entity, part, columns, batch_id, version, ingested_at)
+        counts["new"] += found[0]
+        counts["rows"] += found[1]
+        problems += found[2]
+    if problems:
+        raise BadLandingFile(reduce(DataFrame.unionByName, problems))
+    return counts
+
+
+def changed_files(spark: SparkSession, states: DataFrame, entity: str) -> DataFrame:
+    """(source_file) of the files of ``classify`` whose content is not what was loaded."""
+    suspects = states.where("status = 'check'")
+    return suspects.join(fingerprints(spark, suspects, entity), "source_file").where(
+        "file_sha256 <> logged_sha256").select("source_file")
+
+
+def _ingest_files(
+    lake: Lake, entity: str, new_files: DataFrame, columns: Sequence[str], batch_id: str, version: str,
+    ingested_at: str,
+) -> tuple[int, int, list[DataFrame]]:
+    """Rows and log entries of one group of new files, in one commit. Returns the numbers of files and rows,
+    and the problems where files were left out."""
+    spark = lake.spark
+    with_rows = [r.path for r in new_files.where("file_length > 0").select("path").collect()]
     changes: list[Change] = []
     bad: list[str] = []
-    ingested_at = ingested_at or utc_now_text()
     if with_rows:
-        changes, bad = _stage_rows(lake, entity, with_rows, columns, batch_id, ingested_at)
+        changes, bad = _stage_rows(lake, entity, with_rows, columns, batch_id, version, ingested_at)
 
     good = new_files
     if bad:
-        good = new_files.where(~_file_name(F.col("path")).isin(bad))
+        good = _without(new_files.withColumn("file_name", _file_name(F.col("path"))), bad).drop("file_name")
     if changes and changes[0].row_count:
-        staged = spark.read.parquet(
-            f"{lake.table_path('bronze', C.LANDING_TABLES[entity])}/version={batch_id}"
-        )
+        staged = lake.read_version("bronze", C.LANDING_TABLES[entity], version)
         per_file = staged.groupBy(F.col("_source_file").alias("source_file")).agg(
             F.count("*").cast("int").alias("loaded_rows")
         )
@@ -386,15 +429,15 @@ def ingest_entity(
             "modified_at",
         )
     )
-    logged = lake.stage("bronze", LOG_TABLE, entries, f"{batch_id}-{entity}", "append")
+    logged = lake.stage("bronze", LOG_TABLE, entries, f"{version}-{entity}", "append")
     if logged[0].row_count:
         lake.commit([*changes, *logged])
-    counts["new"] = logged[0].row_count
-    counts["rows"] = changes[0].row_count if changes else 0
+    problems = []
     if bad:
-        paths = [p for p in with_rows if p.rsplit("/", 1)[-1] in bad]
-        raise BadLandingFile(locate_problems(spark, paths, columns))
-    return counts
+        left_out = set(bad)
+        paths = [p for p in with_rows if p.rsplit("/", 1)[-1] in left_out]
+        problems.append(locate_problems(spark, paths, columns))
+    return logged[0].row_count, changes[0].row_count if changes else 0, problems
 
 
 def ingest_landing(
