@@ -117,3 +117,22 @@ def test_distances_of_any_scale():
     x[50] *= 1e9
     want = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
     assert np.allclose(nn_descent.distances(x), want, rtol=1e-6, atol=0)
+
+
+def test_recall_where_trees_and_entries_say_little(spark, monkeypatch):
+    """20,000 vectors in 200 clusters, trees of a few leaves and 32 entry nodes: what is found comes from the graph."""
+    monkeypatch.setattr(nn_descent, "TREE_SAMPLE", 64)
+    monkeypatch.setattr(nn_descent, "ENTRIES", 32)
+    rng = np.random.default_rng(5)
+    n = 20_000
+    x = (rng.standard_normal((200, 32))[rng.integers(0, 200, n)] + 0.15 * rng.standard_normal((n, 32))).astype(np.float32)
+    df = table(spark, [(i, v.tolist()) for i, v in enumerate(x)]).repartition(8)
+    got = result(nn_descent.nearest_neighbours(df.where("vec_id % 100 = 0"), df, 10))
+    assert set(got) == set(range(0, n, 100))
+    hits = 0
+    for q, found in got.items():
+        d = np.sqrt(((x.astype(float) - x[q].astype(float)) ** 2).sum(1))
+        d[q] = np.inf
+        hits += len({i for _, i in found} & set(np.argsort(d, kind="stable")[:10].tolist()))
+    print(f"recall {hits / (10 * len(got)):.4f}")
+    assert hits >= 0.9 * 10 * len(got)
