@@ -14,6 +14,19 @@ from tidemark.operators.joins import inner_join_spread, left_join_spread_nulls
 
 _MONEY_SUM = "decimal(38,2)"
 
+# The silver columns that the gold relations are made of (of products: all).
+SILVER_COLUMNS = {
+    "stg_orders": (
+        "order_id", "customer_id", "order_status", "purchased_at", "delivered_to_customer_at",
+        "estimated_delivery_at", "is_missing_customer", "source_system",
+    ),
+    "stg_order_items": (
+        "order_id", "product_id", "price", "freight_value", "item_total", "is_negative_price",
+    ),
+    "stg_order_payments": ("order_id", "payment_value", "is_unknown_payment_type"),
+    "stg_customers": ("customer_id", "customer_unique_id", "city", "state", "zip_code_prefix"),
+}
+
 
 def _zero_if_null(name: str):
     return F.coalesce(F.col(name), F.lit(0)).alias(name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -14,12 +14,16 @@ class Warehouse:
 
     Without ``root`` everything is lazy: a relation that two others read is planned into both.
     With it, every relation is written below ``root`` when first asked for and read back, as
-    the pipeline does: right for results that read the same relation several times.
+    the pipeline does: right for results that read the same relation several times. ``columns`` names
+    those silver relations of which some columns only will be read: others are neither shuffled nor written.
     """
 
-    def __init__(self, bronze: silver.Bronze, root: str | None = None):
+    def __init__(
+        self, bronze: silver.Bronze, root: str | None = None, columns: Mapping[str, Sequence[str]] | None = None
+    ):
         self.bronze = bronze
         self._root = root
+        self._columns = columns or {}
         self._kept: dict[str, DataFrame] = {}
 
     def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -33,7 +37,11 @@ class Warehouse:
         return self._kept[name]
 
     def silver(self, name: str) -> DataFrame:
-        return self._keep(name, lambda: silver.SILVER[name](self.bronze))
+        def build() -> DataFrame:
+            whole = silver.SILVER[name](self.bronze)
+            return whole.select(*self._columns[name]) if name in self._columns else whole
+
+        return self._keep(name, build)
 
     @property
     def fct_orders(self) -> DataFrame:
