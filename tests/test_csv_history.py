@@ -122,3 +122,37 @@ def test_a_version_is_written_once(lake, spark):
 
 def test_registry_covers_all_files():
     assert len(C.HISTORY_FILES) == 9 and len(set(C.HISTORY_FILES.values())) == 9
+
+
+@pytest.mark.parametrize("rows", [1, 7, 10_000])
+def test_records_over_blocks_and_batches(spark, raw, rows):
+    """Records longer than a block, files without a record's end in their first blocks, blank lines before the header."""
+    long = "\n".join(f"line {i}" for i in range(60))
+    body = f'\n  \nid,a\n1,"{long}"\n2,x\n\n3,"y\n"\n4,"{long}\n\n"\n'
+    folder = raw(body.encode())
+    raw(b'id,a\n5,"two\nlines"\n', "other.csv")
+    confs = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}
+    for key, value in confs.items():
+        spark.conf.set(key, value)
+    try:
+        df = csv_history.read_csv_text(spark, folder)
+        got = sorted(map(tuple, df.collect()))
+    finally:
+        for key in confs:
+            spark.conf.unset(key)
+    assert got == [("1", long), ("2", "x"), ("3", "y\n"), ("4", f"{long}\n\n"), ("5", "two\nlines")]
+
+
+def test_lines_are_not_shuffled(spark, raw):
+    """Windows and exchanges see one row a block, and the pieces of records that leave their block."""
+    plan = csv_history.logical_records(spark, raw(b'id,a\n1,"x\ny"\n') + f"/{CSV}")._jdf.queryExecution().sparkPlan()
+
+    def windows(node):
+        if node.nodeName() == "Window":
+            yield node.child().output().mkString(",")
+        children = node.children()
+        for i in range(children.size()):
+            yield from windows(children.apply(i))
+
+    found = list(windows(plan))
+    assert found and not any("value#" in columns for columns in found)

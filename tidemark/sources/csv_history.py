@@ -5,8 +5,13 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import io
-from collections.abc import Mapping
+import sys
+from collections.abc import Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -16,6 +21,8 @@ from tidemark import config as C
 from tidemark.sources import files
 from tidemark.sources.lake import Lake
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors have no copy of this package
+
 _OVERFLOW = "_overflow"
 
 
@@ -34,9 +41,10 @@ def spans_lines(spark: SparkSession, path: str) -> bool:
 def logical_records(spark: SparkSession, path: str) -> DataFrame:
     """(record, is_header) of every CSV record, put together from physical lines in parallel.
 
-    A line starts a record if the quotes before it in the file are even in number. Within a
-    block of the file that is a running sum; what earlier blocks add is a running sum over one
-    row per block. Only the lines of records that span lines are grouped. The header is the
+    A line starts a record if the quotes before it in the file are even in number. What earlier
+    blocks of the file add is a running sum over one row per block, which goes to every task; the
+    task that scans a block keeps the sum within it and joins the lines of records. Only what is
+    open where a block begins or ends is shuffled, at most two pieces a block. The header is the
     first record of a file that is not blank, whether or not it spans lines.
     """
     value = F.col("value")
@@ -44,56 +52,106 @@ def logical_records(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path, lineSep="\n").select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"),
         "value",
         (quotes % 2).alias("odd"),
+        _blank(_without_cr(value)).alias("blank"),
     )
-    in_block = Window.partitionBy("file", "block").orderBy("id")
     earlier_blocks = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    parity = (
-        lines.groupBy("file", "block").agg(F.sum("odd").alias("odd"))
-        .select("file", "block", F.coalesce(F.sum("odd").over(earlier_blocks), F.lit(0)).alias("odd_before"))
-    )
-    before = F.coalesce(
-        F.sum("odd").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    placed = (
-        lines.withColumn("_before", before)
-        .join(parity, ["file", "block"])
-        .withColumn("inside", (F.col("_before") + F.col("odd_before")) % 2)
+    blocks = (
+        lines.groupBy("file", "block").agg(F.sum("odd").alias("odd"), F.bool_and("blank").alias("blank"))
+        .select(
+            "file", "block",
+            (F.coalesce(F.sum("odd").over(earlier_blocks), F.lit(0)) % 2).alias("inside"),
+            F.coalesce(F.bool_and("blank").over(earlier_blocks), F.lit(True)).alias("no_header"),
+        )
     )
-    start = F.when(F.col("inside") == 0, F.col("id"))
-    own_start = F.last(start, ignorenulls=True).over(
-        in_block.rowsBetween(Window.unboundedPreceding, 0)
+    pieces = (  # the lines of a block stay in order
+        lines.join(F.broadcast(blocks), ["file", "block"])
+        .select("file", "block", "inside", "no_header", "odd", "blank", "value")
+        .mapInArrow(_joined_lines, "file string, block long, line long, record string, "
+                                   "starts boolean, ends boolean, is_header boolean")
     )
+    whole = F.col("starts") & F.col("ends")
     # The record that is open when a block begins started in an earlier one.
-    carried = placed.groupBy("file", "block").agg(F.max(start).alias("last_start")).select(
-        "file", "block",
-        F.last("last_start", ignorenulls=True).over(earlier_blocks).alias("carried_start"),
-    )
-    single = (F.col("inside") == 0) & (F.col("odd") == 0)
-    whole = placed.where(single).select(
-        "file", F.struct("block", "id").alias("at"), value.alias("record")
-    )
-    piece = F.struct("block", "id", "value")
+    so_far = Window.partitionBy("file").orderBy("block", "line").rowsBetween(Window.unboundedPreceding, 0)
+    start = F.last(F.when(F.col("starts"), F.struct("block", "line")), ignorenulls=True).over(so_far)
     joined = (
-        placed.withColumn("own_start", own_start)
-        .where(~single)
-        .join(carried, ["file", "block"])
-        .groupBy("file", F.coalesce("own_start", "carried_start").alias("start"))
-        .agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
-        .select(
-            "file", F.struct(F.col("pieces")[0]["block"], F.col("pieces")[0]["id"]).alias("at"),
-            F.array_join(F.col("pieces.value"), "\n").alias("record"),
+        pieces.where(~whole).withColumn("start", start)
+        .groupBy("file", "start").agg(
+            F.array_sort(F.collect_list(F.struct("block", "line", "record"))).alias("pieces"),
+            F.max("is_header").alias("is_header"),
         )
+        .select(F.array_join(F.col("pieces.record"), "\n").alias("record"), "is_header")
     )
-    records = whole.unionByName(joined).withColumn("record", F.regexp_replace("record", "\r$", ""))
-    first = records.where(~_blank("record")).groupBy("file").agg(F.min("at").alias("first"))
-    return records.join(first, "file", "left").select(
-        "record", F.col("at").eqNullSafe(F.col("first")).alias("is_header")
-    )
+    records = pieces.where(whole).select("record", "is_header").unionByName(joined)
+    return records.select(_without_cr(F.col("record")).alias("record"), "is_header")
+
+
+def _joined_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of the lines of blocks (file, block, inside, no_header, odd, blank, value), one block after the other.
+
+    ``inside`` (odd quotes before the block) and ``no_header`` (only blank lines before it) hold for the whole
+    block. A piece that does not start or end a record goes on in another block.
+    """
+    own = None  # block at hand
+    pending: list[pa.Array] = []  # its lines since the last record that ended
+    inside, no_header, line, starts, header = 0, False, 0, True, -1
+
+    def rows(lines: list[pa.Array], sizes: np.ndarray, ends: bool) -> pa.RecordBatch:
+        values = pa.concat_arrays(lines)
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), values)
+        first = line - len(values) + offsets[:-1]
+        n = len(sizes)
+        return pa.RecordBatch.from_arrays([
+            pa.array([own[0]] * n, pa.string()), pa.array([own[1]] * n, pa.int64()), pa.array(first, pa.int64()),
+            pc.binary_join(lists, "\n"), pa.array(np.arange(n) > 0 if not starts else np.ones(n, bool)),
+            pa.array([ends] * n, pa.bool_()), pa.array(first == header),
+        ], ["file", "block", "line", "record", "starts", "ends", "is_header"])
+
+    for batch in batches:
+        files, places = batch.column("file"), batch.column("block").to_numpy()
+        changes = np.flatnonzero(
+            (places[1:] != places[:-1])
+            | pc.not_equal(files.slice(1), files.slice(0, max(len(files) - 1, 0))).to_numpy(zero_copy_only=False)) + 1
+        cuts = [0, *changes.tolist(), batch.num_rows]
+        for low, high in zip(cuts, cuts[1:]):
+            if low == high:
+                continue
+            part = batch.slice(low, high - low)
+            key = (part.column("file")[0].as_py(), part.column("block")[0].as_py())
+            if key != own:
+                if pending:
+                    yield rows(pending, np.array([sum(map(len, pending))]), False)
+                own, pending, line, header = key, [], 0, -1
+                inside, no_header = part.column("inside")[0].as_py(), part.column("no_header")[0].as_py()
+                starts = inside == 0
+            if no_header:
+                text = np.flatnonzero(~part.column("blank").to_numpy(zero_copy_only=False))
+                if len(text):
+                    header, no_header = line + int(text[0]), False
+            after = (inside + np.cumsum(part.column("odd").to_numpy())) % 2
+            last = np.flatnonzero(after == 0) + 1
+            inside = int(after[-1])
+            if not len(last):
+                pending.append(part.column("value"))
+                line += len(part)
+                continue
+            sizes = np.diff(last, prepend=-sum(map(len, pending)))
+            line += int(last[-1])
+            yield rows([*pending, part.column("value").slice(0, last[-1])], sizes, True)
+            starts = True
+            rest = part.column("value").slice(last[-1])
+            pending = [rest] if len(rest) else []
+            line += len(rest)
+    if pending:
+        yield rows(pending, np.array([sum(map(len, pending))]), False)
+
+
+def _without_cr(text):
+    return F.regexp_replace(text, "\r$", "")
 
 
 def _blank(record: str):
