@@ -124,3 +124,16 @@ def test_query_equals_brute_force(spark, sf):
     got = s.op13_simhash_anchors(spark, sf)
     assert got.columns == ["doc_id", "fingerprint", "component_id"]
     assert sorted(map(tuple, got.collect())) == expected(rows)
+
+
+def test_anchors_are_not_broadcast(spark, docs_of, edge_rows, monkeypatch):
+    """Spark takes the anchors of a fingerprint, some thousand bytes, for one row: it would send all of them to the driver."""
+    plans, kept = {}, s.saved
+
+    def saved(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(s, "saved", saved)
+    assert s.near_duplicates(docs_of(edge_rows)).count() == len(edge_rows)
+    assert "SortMergeJoin" in plans["links"] and "Broadcast" not in plans["links"]

@@ -14,7 +14,8 @@ fingerprint are listed without a search.
 
 What is compared are distinct fingerprints, so exact copies and texts that collide cost one row. A
 fingerprint has few others within the threshold (2,080 within two bits), so links do not grow with the
-square of a group; components of links are joined by large and small stars.
+square of a group; components of links are joined by large and small stars. Tables with a row a fingerprint or
+more meet by shuffle and are never broadcast.
 
 Defined results: a null or wordless text has fingerprint zero and is linked like any other; a text of fewer
 words than a shingle is one shingle; rows that share a doc_id are one document with the links of any of its
@@ -175,8 +176,8 @@ def links(words: DataFrame, codes: tuple, threshold: int) -> DataFrame:
     home = at_anchors(words, codes, threshold, 0).withColumnRenamed("fingerprint", "x")
     others = at_anchors(words, codes, threshold, threshold).withColumnRenamed("fingerprint", "y")
     near = (F.col("x") < F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= threshold)
-    # the smaller one is at home: each pair is met once
-    return home.join(others, "anchor").where(near).select("x", "y")
+    # the smaller one is at home: each pair is met once; Spark sizes the anchors of a fingerprint like the fingerprint
+    return home.join(others.hint("merge"), "anchor").where(near).select("x", "y")
 
 
 def near_duplicates(
@@ -199,8 +200,8 @@ def near_duplicates(
     met = links(words, codes, threshold)
     several = named.groupBy("doc_id").agg(
         F.min("fingerprint").alias("x"), F.max("fingerprint").alias("top")).where("x < top").drop("top")
-    bound = named.join(several, "doc_id").select("x", F.col("fingerprint").alias("y")).where("x < y").distinct()
-    node = words.select("fingerprint", "node")
+    bound = named.join(several.hint("merge"), "doc_id").select("x", F.col("fingerprint").alias("y")).where("x < y").distinct()
+    node = words.select("fingerprint", "node").hint("merge")
     edges = saved(
         met.union(bound)
         .join(node.toDF("x", "a"), "x").join(node.toDF("y", "b"), "y")
