@@ -77,3 +77,48 @@ def test_lines_are_made_from_written_facts(lake, spark, bronze_rows, monkeypatch
     facts = gold.fct_orders(*(tables[t] for t in ("stg_orders", "stg_order_items", "stg_order_payments", "stg_customers")))
     got = [tuple(r) for r in m.daily_revenue(lake).select("order_date", "total_orders", "revenue").collect()]
     assert got == [tuple(r) for r in gold.mart_daily_revenue(facts).select("order_date", "total_orders", "revenue").collect()]
+
+
+def test_items_are_summed_without_objects(spark):
+    """Fact rows that repeat an order count as often as they are; what is collected is collected from facts, not items."""
+    facts = spark.createDataFrame(
+        [("1", "u", True, None), ("1", "v", False, None), ("1", "v", None, None), ("2", None, None, None), ("3", "w", True, None)],
+        "order_id string, customer_unique_id string, is_valid_for_revenue boolean, order_date date")
+    items = spark.createDataFrame(
+        [("1", "p", 3, 1), ("1", "p", None, 1), ("1", "q", 5, None), ("2", None, 7, 1), (None, "p", 9, 1), ("4", "p", 9, 1)],
+        "order_id string, product_id string, price int, freight_value int").select(
+            "order_id", "product_id", F.col("price").cast("decimal(12,2)").alias("price"),
+            F.col("freight_value").cast("decimal(12,2)").alias("freight_value"),
+            (F.col("price") + F.col("freight_value")).cast("decimal(13,2)").alias("item_total"))
+    products = spark.createDataFrame([("p", "a"), ("q", "b")], "product_id string, category string")
+    lines = m.order_lines(items, facts, products)
+    rows = {(r.order_id, r.category): (r.units, int(r.price), int(r.freight), int(r.total), r.priced, r.freighted, r.totalled,
+                                       r.valid, sorted(r.persons)) for r in lines.collect()}
+    assert rows == {
+        ("1", "a"): (6, 9, 6, 12, 3, 6, 3, True, ["u", "v"]),
+        ("1", "b"): (3, 15, 0, 0, 3, 0, 0, True, ["u", "v"]),
+        ("2", "unknown"): (1, 7, 1, 8, 1, 1, 1, False, []),
+    }
+    objects = [x for x in _plan(lines).splitlines() if "ObjectHashAggregate" in x or "SortAggregate" in x]
+    assert objects and not any("category" in x for x in objects)
+
+
+def test_a_first_run_writes_its_rows_once(lake, spark, monkeypatch):
+    """Facts, lines and counts that replace nothing are not copied beside themselves."""
+    names, kept = [], m._Run.kept
+    monkeypatch.setattr(m._Run, "kept", lambda self, name, df: names.append(name) or kept(self, name, df))
+    facts = spark.createDataFrame(
+        [("1", "u", None, 1, 1, 1, None, None, True)],
+        "order_id string, customer_unique_id string, order_date date, order_total int, items_value int, freight_value int, "
+        "delivered_to_customer_at timestamp_ntz, is_late_delivery boolean, is_valid_for_revenue boolean")
+    lines = spark.createDataFrame(
+        [("1", "a", 1, 1, 1, 2, 1, 1, 1, True, None, ["u"])],
+        "order_id string, category string, units long, price int, freight int, total int, priced long, freighted long, "
+        "totalled long, valid boolean, order_date date, persons array<string>")
+    m.update_marts(lake, facts, lines, "r1")
+    assert {"facts", "lines"} < set(names) and len(names) == len(set(names))
+    assert not {"signed_facts", "signed_lines", "merged_day_people", "merged_category_people"} & set(names)
+    names.clear()
+    m.update_marts(lake, facts, lines, "r2", written=True)
+    assert not {"facts", "lines"} & set(names) and "old_order_facts" in names
+    assert [r.unique_customers for r in m.daily_revenue(lake).collect()] == [1]
